@@ -65,15 +65,19 @@ def pivot_metrics(metrics: DataFrame, spec: ChurnSpec, *keys: str) -> DataFrame:
 
 
 def training_dataset_from_metrics(metrics: DataFrame, labels: DataFrame, spec: ChurnSpec) -> DataFrame:
-    snapshot = measured_time(metrics, spec.cutoff).scalar()
-    features = pivot_metrics(metrics.where(F.col("metric_time") == snapshot), spec, "account_id")
+    (snapshot,) = measured_time(metrics, spec.cutoff).first()
+    features = pivot_metrics(_measured_at(metrics, snapshot), spec, "account_id")
     return _onto_labels(labels.where(F.col("observation_date") == F.lit(spec.cutoff)), features, spec)
 
 
 def current_dataset_from_metrics(metrics: DataFrame, spec: ChurnSpec) -> DataFrame:
-    latest = measured_time(metrics).scalar()
-    current = metrics.where(F.col("metric_time") == latest)
-    return pivot_metrics(current, spec, *CURRENT_IDS).select(*CURRENT_IDS, *spec.features)
+    (latest,) = measured_time(metrics).first()
+    return pivot_metrics(_measured_at(metrics, latest), spec, *CURRENT_IDS)
+
+
+def _measured_at(metrics: DataFrame, at: dt.datetime | None) -> DataFrame:
+    """A literal time, so that the filter skips row groups of a stored table."""
+    return metrics.where(F.col("metric_time") == timestamp_literal(at) if at else F.lit(False))
 
 
 def _onto_labels(labels: DataFrame, features: DataFrame, spec: ChurnSpec) -> DataFrame:
