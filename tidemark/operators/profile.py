@@ -120,25 +120,30 @@ def churn_cohorts(
     )
     value = F.round("value", EDGE_DECIMALS)
     below = F.size(F.filter("edges", lambda e: e < value))
-    rows = (
+    n_cohort = F.size("edges") - 1
+    cohorts = (
         counts.join(F.broadcast(edges), "name")
-        .select("name", (F.greatest(below, F.lit(1)) - 1).alias("cohort"), "value", "n", "churned")
-        .groupBy("name", "cohort")
+        .select("name", n_cohort.alias("n_cohort"), (F.greatest(below, F.lit(1)) - 1).alias("cohort"), "value", "n", "churned")
+        .groupBy("name", "n_cohort", "cohort")
         .agg(
             F.sum("n").alias("n_accounts"),
             (F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("cohort_mean"),
             (F.sum("churned") / F.sum("n")).alias("churn_rate"),
         )
     )
-    every = edges.select("name", F.explode(F.sequence(F.lit(0), F.size("edges") - 2)).alias("cohort"))
+    # at most n_cohorts entries per metric; the sequence puts back the empty ones
+    entry = F.struct("cohort", F.struct("n_accounts", "cohort_mean", "churn_rate"))
     return (
-        every.join(rows, ["name", "cohort"], "left")
+        cohorts.groupBy("name", "n_cohort")
+        .agg(F.map_from_entries(F.collect_list(entry)).alias("found"))
+        .select("name", "found", F.explode(F.sequence(F.lit(0), F.col("n_cohort") - 1)).alias("cohort"))
+        .withColumn("row", F.try_element_at("found", F.col("cohort")))
         .select(
             F.col("name").alias("metric"),
             "cohort",
-            F.coalesce("n_accounts", F.lit(0)).alias("n_accounts"),
-            "cohort_mean",
-            "churn_rate",
+            F.coalesce("row.n_accounts", F.lit(0)).alias("n_accounts"),
+            "row.cohort_mean",
+            "row.churn_rate",
         )
         .orderBy("metric", "cohort")
     )

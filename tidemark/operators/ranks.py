@@ -70,15 +70,15 @@ def exact_quantiles(counts: DataFrame, group: str, value: str, probabilities: Se
         .withColumn("upto", F.sum("in_bucket").over(by_bucket.rowsBetween(Window.unboundedPreceding, 0)))
         .withColumn("before", F.col("upto") - F.col("in_bucket"))
     )
-    wanted = ranges.select(group, F.explode(F.array(*map(F.lit, probabilities))).alias("p"), "total").select(
-        group, "p", (F.col("p") * (F.col("total") - 1)).alias("rank")
-    )
-    ranks = wanted.select(
-        group, "p", "rank", F.explode(F.array_distinct(F.array(F.floor("rank"), F.ceil("rank")))).alias("at")
-    )
+    rank = F.col("p") * (F.col("total") - 1)
+    neighbours = F.array_distinct(F.array(F.floor("rank"), F.ceil("rank")))
     # at most two ranks per group and probability
     targets = (
-        ranks.join(totals, group)
+        totals.withColumn("total", F.sum("in_bucket").over(Window.partitionBy(group)))
+        .withColumn("p", F.explode(F.array(*map(F.lit, probabilities))))
+        .withColumn("rank", rank)
+        .where((F.col("rank") > F.col("before") - 1) & (F.col("rank") < F.col("upto")))
+        .withColumn("at", F.explode(neighbours))
         .where((F.col("before") <= F.col("at")) & (F.col("at") < F.col("upto")))
         .groupBy(group, "bucket")
         .agg(F.collect_list(F.struct("p", "rank", (F.col("at") - F.col("before")).alias("place"))).alias("targets"))

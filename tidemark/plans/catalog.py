@@ -79,7 +79,8 @@ def _prepared(events: DataFrame, spec: ChurnSpec) -> prepare.Prepared:
 
 
 def _trained(events: DataFrame, spec: ChurnSpec) -> tuple[prepare.Prepared, train.Trained]:
-    data = _prepared(events, spec)
+    p = _prepared(events, spec)
+    data = prepare.Prepared(stored(p.train), stored(p.valid), stored(p.current), p.features)
     return data, train.train_model(data.train, data.features, TRAINING_GRID)
 
 
