@@ -159,6 +159,7 @@ def test_snapshot_falls_back_to_the_last_time_with_rows(spark, log):
     expected = datasets.measured_time(every, SPEC.cutoff).first()
     assert expected.metric_time == day("2019-03-26")
     assert datasets.metric_snapshot(events, SPEC).first() == expected
+    assert metrics.find_measured_time(events, SPEC, SPEC.cutoff) == expected.metric_time
     assert datasets.latest_metric_time(events, SPEC).first() == datasets.measured_time(every).first()
 
 
@@ -238,8 +239,10 @@ def test_sweep_equals_direct_evaluation(spark, log, seed):
     for r in every.collect():
         found.setdefault((r.account_id, r.metric_time, r.metric_name_id), []).append(r.metric_value)
     assert {k: sorted(v) for k, v in found.items()} == _naive(rows, spec)
-    assert datasets.metric_snapshot(events, spec).first() == datasets.measured_time(every, spec.cutoff).first()
-    assert datasets.latest_metric_time(events, spec).first() == datasets.measured_time(every).first()
+    for cutoff in (None, spec.cutoff, dt.date(2020, 1, 9), dt.date(2020, 1, 2)):
+        (expected,) = datasets.measured_time(every, cutoff).first()
+        assert metrics.last_measured_time(events, spec, cutoff).first() == (expected,)
+        assert metrics.find_measured_time(events, spec, cutoff) == expected
     by_account = datasets.current_customer_dataset(events, spec).orderBy("account_id")
     stored = datasets.current_dataset_from_metrics(every, spec).select(by_account.columns).orderBy("account_id")
     assert by_account.collect() == stored.collect()

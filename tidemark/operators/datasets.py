@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.columns import timestamp_literal
 from tidemark.operators.grid import Grid
 from tidemark.operators.labels import observation
-from tidemark.operators.metrics import all_counters, counters_at, last_measured_time
+from tidemark.operators.metrics import all_counters, counters_at, find_measured_time, last_measured_time
 from tidemark.spec import CURRENT_IDS, TARGET, TRAIN_IDS, ChurnSpec
 
 
@@ -31,7 +31,7 @@ def latest_metric_time(events: DataFrame, spec: ChurnSpec, grid: Grid | None = N
 def churn_training_dataset(events: DataFrame, spec: ChurnSpec, grid: Grid | None = None) -> DataFrame:
     """Labels with the features at the snapshot; accounts without any metric there get zeros."""
     counters = all_counters(spec)
-    (snapshot,) = metric_snapshot(events, spec, grid).first()
+    snapshot = find_measured_time(events, spec, spec.cutoff, grid)
     features = counters_at(events, counters, snapshot).select("account_id", *counters.features())
     return _onto_labels(observation(events, spec), features, spec)
 
@@ -39,7 +39,7 @@ def churn_training_dataset(events: DataFrame, spec: ChurnSpec, grid: Grid | None
 def current_customer_dataset(events: DataFrame, spec: ChurnSpec, grid: Grid | None = None) -> DataFrame:
     """Accounts with any metric at the last measured time, and their features."""
     counters = all_counters(spec)
-    (latest,) = latest_metric_time(events, spec, grid).first()
+    latest = find_measured_time(events, spec, grid=grid)
     time = timestamp_literal(latest) if latest else F.lit(None).cast("timestamp_ntz")
     return counters_at(events, counters, latest).select(
         "account_id", time.alias("metric_time"), *counters.features()

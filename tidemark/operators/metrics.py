@@ -287,6 +287,27 @@ def last_measured_time(
     )
 
 
+def find_measured_time(
+    events: DataFrame, spec: ChurnSpec, cutoff: dt.date | None = None, grid: Grid | None = None
+) -> dt.datetime | None:
+    """The time of :func:`last_measured_time`, usually without reading the log.
+
+    One event inside a window of the last candidate time settles it, and looking for
+    one stops at the first hit.
+    """
+    grid = grid or Grid.of(events, spec)
+    limit = grid.last_position if cutoff is None else grid.position_of(cutoff)
+    if limit < 0:
+        return None
+    t, last = F.col("event_time"), timestamp_literal(grid.time(limit))
+    reaches = _reaches(spec)
+    earliest = window_start(last, max(d for _, d in reaches))
+    hit = reduce(lambda a, b: a | b, (c & (t >= window_start(last, d)) for c, d in reaches))
+    if not events.where((t < last) & (t >= earliest) & hit).isEmpty():
+        return grid.time(limit)
+    return last_measured_time(events, spec, cutoff, grid).first()["metric_time"]
+
+
 def _reaches(spec: ChurnSpec) -> list[tuple[Column, int]]:
     """(condition, look-back) of every metric that a row can come from; dominated ones left out."""
     always = max((d.lookback_days for d in spec.definitions if d.metric_kind == TOTAL_EVENTS), default=0)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import label_to_int, numeric_or_zero
 from tidemark.operators.ranks import hash_cuts, hash_key
+from tidemark.sources.storage import stored
 from tidemark.spec import CURRENT_IDS, TARGET, TRAIN_IDS
 
 SEED = 42
@@ -125,11 +126,10 @@ def prepare(
     ids: Sequence[str] = TRAIN_IDS,
     target: str = TARGET,
 ) -> Prepared:
-    """Check, coerce and split."""
+    """Check, coerce and split. The split rows are stored, so that both parts come from one computation."""
     features = feature_columns(train, current, target)
-    split = assign_split(
-        coerce_label(coerce_features(train, features), target), test_size, seed, ids, target
-    )
+    labelled = coerce_label(coerce_features(train, features), target)
+    split = stored(assign_split(labelled, test_size, seed, ids, target))
     return Prepared(
         split.where("split = 'train'").drop("split"),
         split.where("split = 'valid'").drop("split"),

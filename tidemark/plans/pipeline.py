@@ -37,7 +37,7 @@ class Marts:
 
 
 def build_marts(events: DataFrame, spec: ChurnSpec, out: str) -> Marts:
-    """Write the metric, label and feature tables below ``out``; unions and statistics stay lazy."""
+    """Write the metric, label and feature tables below ``out``; the union and its statistics become views."""
     spark = events.sparkSession
     grid = Grid.of(events, spec)
 
@@ -50,9 +50,10 @@ def build_marts(events: DataFrame, spec: ChurnSpec, out: str) -> Marts:
     labels = table("observation", observation(events, spec))
     training = table("churn_training_dataset", training_dataset_from_metrics(metrics, labels, spec))
     current = table("current_customer_dataset", current_dataset_from_metrics(metrics, spec))
-    return Marts(
-        metric, derived, metrics, labels, training, current, quality.metric_stats_over_time(metrics, spec)
-    )
+    statistics = quality.metric_stats_over_time(metrics, spec)
+    metrics.createOrReplaceTempView("all_metrics")
+    statistics.createOrReplaceTempView("metric_stats_over_time")
+    return Marts(metric, derived, metrics, labels, training, current, statistics)
 
 
 def export_csv(marts: Marts, out: str) -> None:
