@@ -21,6 +21,8 @@ def spark(tmp_path_factory):
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
+        .config("spark.driver.extraJavaOptions", "-XX:TieredStopAtLevel=1")  # many short jobs
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.maxMetadataStringLength", "5000")
         .config("spark.sql.session.timeZone", "America/New_York")  # must never matter
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))

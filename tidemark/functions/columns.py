@@ -40,13 +40,6 @@ def safe_divide(numerator: Column, denominator: Column) -> Column:
     return F.try_divide(as_double(numerator), as_double(denominator))
 
 
-def guarded_ratio(numerator: Column, denominator: Column) -> Column:
-    """0 when the denominator is not positive; a missing numerator counts as 0."""
-    return F.when(
-        denominator > 0, F.coalesce(as_double(numerator), F.lit(0.0)) / as_double(denominator)
-    ).otherwise(F.lit(0.0))
-
-
 def numeric_or_zero(c: str) -> Column:
     """Read a column as double; anything that is not a number becomes 0 (infinities stay)."""
     value = F.col(c).try_cast("double")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import as_double, safe_divide
@@ -27,14 +27,15 @@ def events_per_account_per_month(events: DataFrame) -> DataFrame:
     per_type = events.groupBy("event_type").agg(
         F.count(F.lit(1)).alias("n_event"), F.min("event_time").alias("first"), F.max("event_time").alias("last")
     )
-    # a few rows (one per event type) from here on
-    span = per_type.agg(
-        (F.datediff(F.to_date(F.max("last")), F.to_date(F.min("first"))) / F.lit(MONTH_DAYS)).alias("n_months")
+    # one row per event type from here on
+    everything = Window.partitionBy()
+    days = F.datediff(
+        F.to_date(F.max("last").over(everything)), F.to_date(F.min("first").over(everything))
     )
     rate = safe_divide(F.col("n_event"), F.col("n_account"))
     return (
         per_type.withColumn("n_account", n_account)
-        .withColumn("n_months", span.scalar())
+        .withColumn("n_months", days / F.lit(MONTH_DAYS))
         .select(
             "event_type",
             "n_account",
