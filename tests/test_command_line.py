@@ -3,11 +3,13 @@ import json
 from conftest import TESTDATA
 
 from tidemark.__main__ import main
+from tidemark.operators.train import SMALL_GRID
 from tidemark.plans.catalog import LOGS
 from tidemark.sources.storage import write_csv
 
 
-def test_every_step(spark, tmp_path, capsys):
+def test_every_step(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("tidemark.__main__.SMALL_GRID", {**SMALL_GRID, "n_estimators": [2], "max_depth": [2]})
     load, _ = LOGS["o"]
     log = write_csv(load(spark, TESTDATA), str(tmp_path / "log.csv"))
     marts, processed, out = (str(tmp_path / n) for n in ("marts", "processed", "out"))

@@ -74,7 +74,8 @@ def _by_score(scored: DataFrame, label: str, score: str, descending: bool) -> Da
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg")
     )
     sign = -1 if descending else 1
-    bucket = F.floor(F.col("score") * BUCKETS) * sign
+    clipped = F.greatest(F.least(F.col("score"), F.lit(1.0)), F.lit(0.0))
+    bucket = F.floor(clipped * BUCKETS) * sign
     order = F.col("score").desc() if descending else F.col("score").asc()
     return running_totals(steps.withColumn("bucket", bucket), "bucket", order, ["pos", "neg"])
 

@@ -54,8 +54,8 @@ def group_ranges(counts: DataFrame, group: str, value: str) -> DataFrame:
 def exact_quantiles(counts: DataFrame, group: str, value: str, probabilities: Sequence[float]) -> DataFrame:
     """``group, p, quantile``: linear interpolation between the two neighbouring ranks.
 
-    ``counts`` comes from :func:`value_counts`. Only values in the few buckets
-    that hold a wanted rank are sorted.
+    ``counts`` comes from :func:`value_counts`; groups are few (columns of a dataset).
+    Only values in the few buckets that hold a wanted rank are sorted.
     """
     ranges = group_ranges(counts, group, value)
     bucketed = (
