@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-import tempfile
 import uuid
 from collections.abc import Mapping
 from pathlib import PurePosixPath
@@ -15,18 +14,24 @@ from pyspark.sql import types as T
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
+def _file_system(spark: SparkSession, path: str):
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """A fresh folder that every executor can reach: below the session's checkpoint directory.
+    """The name of a fresh folder that every executor can reach; it is removed when the application ends.
 
-    Only a purely local session may fall back to a temporary folder of its own.
+    It lies in the folder of ``spark.checkpoint.dir``, or, where that is not set, in the warehouse.
     """
     root = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
     if root is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder shared by the cluster")
-        root = tempfile.mkdtemp(prefix="tidemark-")
-        spark.sparkContext.setCheckpointDir(root)
-    return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
+    path = f"{root.rstrip('/')}/{uuid.uuid4().hex}"
+    fs, hadoop_path = _file_system(spark, path)
+    fs.mkdirs(hadoop_path)  # only what exists can be marked
+    fs.deleteOnExit(hadoop_path)
+    return path
 
 
 def stored(df: DataFrame) -> DataFrame:
@@ -55,15 +60,14 @@ def write_metric_table(df: DataFrame, path: str) -> str:
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
+    fs, hadoop_path = _file_system(spark, path)
+    return fs.exists(hadoop_path)
 
 
 def _holds_parquet(spark: SparkSession, path: str) -> bool:
     if PurePosixPath(path).suffix.lower() == ".parquet":
         return True
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs, hadoop_path = _file_system(spark, path)
     if not fs.getFileStatus(hadoop_path).isDirectory():
         return False
     return not any(f.getPath().getName().endswith((".csv", ".csv.gz")) for f in fs.listStatus(hadoop_path))
@@ -84,8 +88,7 @@ def read_dataset(spark: SparkSession, path: str, schema: T.StructType | str | No
 
 def write_json(spark: SparkSession, content: Mapping | list, path: str) -> str:
     """A small report or feature list as one JSON document."""
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs, hadoop_path = _file_system(spark, path)
     stream = fs.create(hadoop_path, True)
     try:
         stream.write(bytearray(json.dumps(content, indent=2).encode()))
