@@ -11,14 +11,13 @@ once. Near copies nearly always share it, documents with a common passage seldom
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import BLANKS, Memo, map_rows, per_process
+from tidemark.llm.common import BLANKS, map_rows
+from tidemark.llm.hashing import hash64, window_hashes, word_hashes
 from tidemark.sources.storage import stored
 
 SYMBOLS = b"#*$%&|<>"
@@ -31,35 +30,10 @@ MAX_SHARE = 0.01
 #: A document is depleted if fewer words, or a smaller share of its words, are left.
 MIN_WORDS_LEFT = 10
 MIN_SHARE_LEFT = 0.3
-MEMO_WORDS = 250_000
 #: Stands for a missing host.
 NO_HOST = "\x00null"
 
 _NORMAL = bytes.maketrans(bytes(range(65, 91)) + b"123456789", bytes(range(97, 123)) + b"0" * 9)
-_MULTIPLIERS = np.random.default_rng(20).integers(0, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-
-
-def hash64(data: bytes) -> int:
-    """A fixed signed 64-bit hash, the same in every process."""
-    return int.from_bytes(hashlib.blake2b(data, digest_size=8).digest(), "little", signed=True)
-
-
-def word_hashes(words: list[bytes]) -> np.ndarray:
-    memo = per_process("word_hashes", lambda: Memo(hash64, MEMO_WORDS))
-    return np.fromiter(map(memo.__getitem__, words), np.int64, len(words)).view(np.uint64)
-
-
-def window_hashes(hashes: np.ndarray, width: int) -> np.ndarray:
-    """A 64-bit hash of every run of ``width`` words, in order."""
-    n = len(hashes) - width + 1
-    if n <= 0:
-        return np.zeros(0, np.uint64)
-    out = np.zeros(n, np.uint64)
-    for j in range(width):
-        out += hashes[j : j + n] * _MULTIPLIERS[j]
-    out ^= out >> np.uint64(31)
-    out *= np.uint64(0x9E3779B97F4A7C15)
-    return out ^ (out >> np.uint64(29))
 
 
 def repeated_words(hashes: np.ndarray, width: int = WINDOW) -> int:

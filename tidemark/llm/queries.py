@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import packing, quality_rules, secrets_scan, sharding, token_counts
+from tidemark.llm import near_dedup, packing, pieces, pii, quality_rules, secrets_scan, sharding, token_counts, topk, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,6 +25,23 @@ def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.quality_rules(documents(spark, folder))
 
 
+def op2_pii(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.find_pii(documents(spark, folder))
+    base = F.filter("spans", lambda s: s["base"])
+    text = lambda spans: F.concat_ws(
+        ",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"]))
+    )
+    count = lambda kind: F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select(
+        "doc_id", *[count(k) for k in pii.KINDS], F.sha2(text(base), 256).alias("base_sha256"), text(F.col("spans")).alias("spans")
+    )
+
+
+def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder)
+    return toxicity.score(docs, toxicity.fit(docs, spark.read.parquet(f"{folder}/labels.parquet")))
+
+
 def op4_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     found = secrets_scan.find_secrets(documents(spark, folder))
     base = tuple(r.kind for r in secrets_scan.BASE_RULES)
@@ -38,6 +55,41 @@ def op4_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    """The ids of every text, and whether decoding them gives the text back."""
+    model = f"{TOKENIZERS}/piece_bpe_32k.model"
+    docs = documents(spark, folder).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    decoded = pieces.decode(pieces.encode(docs.select(F.struct("doc_id", F.xxhash64("text").alias("h")).alias("key"), "text"), model, id_column="key"), model)
+    return decoded.select(
+        "key.doc_id",
+        F.size("ids").cast("long").alias("n_pieces"),
+        F.crc32(F.col("text").cast("binary")).alias("decoded_crc32"),
+        (F.xxhash64("text") == F.col("key.h")).alias("round_trip"),
+        "ids",
+    )
+
+
+def op6_topk(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.search(spark.read.parquet(f"{folder}/embeddings.parquet"), F.col("vec_id") % 100 == 0)
+
+
+OP6_SQL = """
+with v as (
+    select vec_id, list_transform(embedding, lambda x: cast(floor(1024 * cast(x as double)) as bigint)) as q
+    from embeddings
+    where vec_id is not null and embedding is not null
+      and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), s as (
+    select a.vec_id as query_id, b.vec_id as vec_id,
+           cast(list_sum(list_transform(list_zip(a.q, b.q), lambda p: coalesce(p[1], 0) * coalesce(p[2], 0))) as bigint) as score
+    from v a join v b on a.vec_id <> b.vec_id
+    where a.vec_id % 100 = 0
+)
+select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank, vec_id, score
+from s qualify rank <= 10
+"""
+
+
 def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.token_counts(documents(spark, folder), f"{TOKENIZERS}/byte_bpe_50k.json")
 
@@ -46,6 +98,10 @@ def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(documents(spark, folder), f"{TOKENIZERS}/word_bpe_49k.json").drop("sequence_length")
 
 
+def op9_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.near_duplicates(documents(spark, folder))
+
+
 def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.assign(documents(spark, folder), [1.0] * SHARDS)
 
@@ -53,12 +109,17 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
 def all_queries() -> dict[str, Query]:
     return {
         "op1_quality_rules": op1_quality_rules,
+        "op2_pii": op2_pii,
+        "op3_toxicity": op3_toxicity,
         "op4_secret_scan": op4_secret_scan,
+        "op5_pieces": op5_pieces,
+        "op6_topk": op6_topk,
         "op7_token_counts": op7_token_counts,
         "op8_packing": op8_packing,
+        "op9_near_dedup": op9_near_dedup,
         "op10_sharding": op10_sharding,
     }
 
 
 def all_checks() -> dict[str, str]:
-    return {}
+    return {"op6_topk": OP6_SQL}
