@@ -60,8 +60,8 @@ def test_random_texts_like_regular_expressions(spark):
 def test_many_matches_and_long_runs(spark):
     texts = {
         1: "é x@y.zz " * 3000,
-        2: "a" * 200_000 + "@",
-        3: "1" * 200_000 + " 1.2.3.4",
+        2: "a" * 3000 + "@",
+        3: "1" * 3000 + " 1.2.3.4",
         4: "+1" + " " * 100_000 + "2345678",
         5: "1-" * 60_000,
         6: "a@" * 50_000,

@@ -8,9 +8,9 @@
 3. Candidate pairs are compared by size, then by their signature bits, then confirmed on the full sets.
 4. Buckets are not expanded into pairs. First each document is compared with one centre (the smallest id it shares a
    bucket with), and links are joined to components. Buckets whose members all lie in one component are done. In the
-   others, members are compared with the centre of each bucket, and at last, where a bucket still holds
-   several components, with the members of the *other* components. So every pair of a bucket is
-   either compared or known to be connected, and a group of near copies costs about one comparison a document.
+   others, members are compared with a centre drawn at random for each bucket (``CENTRES`` times), and at last, where a
+   bucket still holds several components, with the members of the *other* components. So every pair of a
+   bucket is either compared or known to be connected, and a group of near copies costs a few comparisons a document.
 5. Components by alternating large-star and small-star steps, on links between component ids from the second round on.
 
 Whatever is read again is written to the shared folder. Groups are handled by joins and partial
@@ -35,7 +35,9 @@ PERCENT = 75
 BANDS = 64
 ROWS = 6
 #: Standard deviations by which the agreement of signature bits may fall short of what the similarity lets expect.
-SLACK = 6
+SLACK = 5
+#: Rounds of comparison with random centres.
+CENTRES = 2
 #: Size of the bitmap of wanted ids, in bits (4 MB). It only saves work: rows that it lets through by chance do no harm.
 WANTED_BITS = 1 << 25
 
@@ -264,10 +266,14 @@ def near_duplicates(
     links = confirm(members.where("id > c").groupBy(F.col("id").alias("b")).agg(F.min("c").alias("a")))
     parts = components(links)
 
-    mixed = mixed_buckets(members, parts)
-    centres = mixed.groupBy("key").agg(F.min_by(F.struct("id", "component"), "id").alias("c"))
-    star = mixed.join(centres, "key").where("component != c.component").select(F.col("c.id").alias("a"), F.col("id").alias("b"))
-    parts = joined_parts(parts, confirm(star.distinct()))
+    mixed = members
+    for turn in range(CENTRES):
+        mixed = mixed_buckets(mixed, parts)
+        by_chance = F.xxhash64("key", "id", F.lit(turn))
+        centres = mixed.groupBy("key").agg(F.min_by(F.struct("id", "component"), by_chance).alias("c"))
+        star = mixed.join(centres, "key").where("component != c.component")
+        star = star.select(F.least("c.id", "id").alias("a"), F.greatest("c.id", "id").alias("b"))
+        parts = joined_parts(parts, confirm(star.distinct()))
 
     mixed = mixed_buckets(mixed, parts).join(classes.select("id", "n_shingles", "bits"), "id")
     one, two = (mixed.select("key", F.struct("id", "component", "n_shingles", "bits").alias(s)) for s in ("x", "y"))

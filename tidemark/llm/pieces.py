@@ -2,7 +2,8 @@
 
 The automaton holds all pieces. In one pass over a text it reports, at each position, the pieces that end there, the
 longest first; each relaxes the best score of the position from the one where it begins. Back pointers give
-the segmentation with the highest sum of piece scores. Of equal sums the longer last piece wins.
+the segmentation with the highest sum of piece scores. Of equal sums the longer last piece wins. This is the search of
+a unigram model; the pieces and scores of any model file can be used, also of one that was trained for merging.
 
 Pieces hold the space mark only at their beginning, and some characters are in no piece at all; no segmentation
 reaches across such places, so a text is searched unit by unit (usually a word) and frequent units are remembered. The

@@ -49,7 +49,7 @@ ROUNDS = 50
 _BEFORE = 30
 _FOR = r"(?i)(mail|contact|reach|write|call|tel|phone|fax|mobile|card|visa|pay|credit|debit|ip|host|server|login|address)\W*(\w+\W+)?$"
 _AGAINST = r"(?i)(version|release|isbn|issn|order|invoice|serial|item|part|section|build|ticket|model)\W*(\w+\W+)?$"
-_DOMAINS = r"\.(com|org|net|edu|gov|info|io|eu|de|fr|es|it|uk|us|ch|at|nl|be|pl|se|pt|ca|au|in|br|jp)$"
+_DOMAINS = r"(?:\.|dot[\])]? ?)(com|org|net|edu|gov|info|io|eu|de|fr|es|it|uk|us|ch|at|nl|be|pl|se|pt|ca|au|in|br|jp)$"
 _ROLES = r"^(info|support|noreply|no-reply|admin|webmaster|postmaster|sales|office)@"
 _RESERVED = r"^(0|127|255)\.|^(22[4-9]|2[3-5][0-9])\."
 _ISSUERS = r"^(4|5[1-5]|2[2-7]|3[47]|6011|65|62)"
@@ -101,8 +101,8 @@ def _vote(yes: Column, no: Column) -> Column:
     return F.when(yes, 1).when(no, -1).otherwise(0)
 
 
-def votes(kind: str, m: Column, before: Column, after: Column, base: Column) -> list[Column]:
-    """Six votes: 1 for personal data, -1 against, 0 for no opinion."""
+def votes(kind: str, m: Column, before: Column, after: Column, base: Column, wide: bool) -> list[Column]:
+    """Six votes: 1 for personal data, -1 against, 0 for no opinion. On wide matches the base filter has no opinion."""
     clean = F.rlike(F.right(before, F.lit(1)), F.lit(r"^[^A-Za-z0-9]?$")) & F.rlike(after, F.lit(r"^[^A-Za-z0-9]?$"))
     rare = {  # gazetteers: (for, against)
         "email": (F.rlike(F.lower(m), F.lit(_DOMAINS)), F.rlike(F.lower(m), F.lit(_ROLES))),
@@ -111,13 +111,13 @@ def votes(kind: str, m: Column, before: Column, after: Column, base: Column) ->
         "phone": (F.rlike(m, F.lit(_COUNTRIES)), F.rlike(_digits(m), F.lit(r"^0{3}"))),
     }[kind]
     shape = {  # stricter forms than the base pattern
-        "email": F.rlike(m, F.lit(r"[A-Za-z0-9]@.*\.[A-Za-z]{2,24}$")),
+        "email": F.rlike(m, F.lit(r"[A-Za-z0-9] ?(@|\[at\]|\(at\)|at).*[. ][A-Za-z]{2,24}$")),
         "ip": F.rlike(m, F.lit(r"^(?!0)[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}$|:")),
         "card": F.rlike(m, F.lit(r"^[0-9]{16}$|^[0-9]{4}([ .-])[0-9]{4}\1[0-9]{4}\1[0-9]{4}$")),
         "phone": F.length(_digits(m)).between(10, 13),
     }[kind]
     return [
-        _vote(base, ~base),
+        F.lit(0) if wide else _vote(base, ~base),
         _vote(shape, ~shape),
         _vote(rare[0], rare[1]),
         _vote(F.lit(False), rare[1]),
@@ -148,21 +148,37 @@ def _with_matches(df: DataFrame, name: str, kind: str, pattern: str, worth: Colu
     df = df.withColumn("_parts", F.when(F.size("_found") > 0, F.split(text, pattern, -1)).otherwise(none))
     step = F.zip_with("_found", F.slice("_parts", F.lit(1), F.size("_found")), lambda m, p: F.length(m) + F.length(p))
     df = df.withColumn("_ends", running_sums(step))
+    # one pass over the matches, each with what stands around it
+    around = F.arrays_zip(
+        F.col("_found").alias("m"),
+        F.slice("_parts", F.lit(1), F.size("_found")).alias("before"),
+        F.slice("_parts", F.lit(2), F.size("_found")).alias("after"),
+        F.col("_ends").alias("end"),
+    )
+
+    def span(x: Column) -> Column:
+        m = x["m"]
+        return F.struct(
+            m.alias("m"),
+            F.right(x["before"], F.lit(_BEFORE)).alias("before"),
+            F.left(x["after"], F.lit(1)).alias("after"),
+            (x["end"] - F.length(m)).cast("long").alias("start"),
+            x["end"].cast("long").alias("end"),
+            (F.lit(False) if wide else passes(kind, m)).alias("base"),
+        )
 
-    def span(m: Column, i: Column) -> Column:
-        before, after = F.right(F.get("_parts", i), F.lit(_BEFORE)), F.left(F.get("_parts", i + 1), F.lit(1))
-        base = F.lit(False) if wide else passes(kind, m)
-        end = F.get("_ends", i)
+    def judged(x: Column) -> Column:
+        known = (kind, x["m"], x["before"], x["after"], x["base"])
         return F.struct(
             F.lit(kind).alias("kind"),
-            (end - F.length(m)).cast("long").alias("start"),
-            end.cast("long").alias("end"),
-            base.alias("base"),
-            F.array(*votes(kind, m, before, after, base)).alias("votes"),
-            F.array(*properties(kind, m, before, after, base)).alias("properties"),
+            x["start"].alias("start"),
+            x["end"].alias("end"),
+            x["base"].alias("base"),
+            F.array(*votes(*known, wide)).alias("votes"),
+            F.array(*properties(*known)).alias("properties"),
         )
 
-    return df.withColumn(name, F.transform("_found", span)).drop("_found", "_parts", "_ends")
+    return df.withColumn(name, F.transform(F.transform(around, span), judged)).drop("_found", "_parts", "_ends")
 
 
 def candidates(df: DataFrame, id_column: str, text_column: str) -> DataFrame:

@@ -1,9 +1,10 @@
 """Toxicity: boosted trees over dense text features, with isotonic calibration.
 
 Training uses at most ``MAX_TOXIC`` and ``MAX_CLEAN`` labelled rows (those with the smallest hash of their id) and splits
-them by another hash: half of them show which words and word beginnings are typical of toxic texts (a lexicon of at
-most ``MAX_TERMS`` entries), a quarter trains the trees, a quarter calibrates them. Rows are weighted so that
-the classes count as in all labelled rows. Every text is then scored whole.
+them by another hash into ``PARTS`` parts. Words and word beginnings that are typical of toxic texts make a lexicon of at most
+``MAX_TERMS`` entries. The features of a training row use the lexicon of the other parts, so that the trees
+see hits as they will be in unknown texts; scoring uses the lexicon of all parts. One part calibrates, the others train
+the trees. Rows are weighted so that the classes count as in all labelled rows. Every text is scored whole.
 
 Features are rates and counts: lexicon hits and densities, hits near words of the second person, capitals, punctuation,
 symbols, and signs of obfuscation (digits for letters, letters parted by signs, letters repeated).
@@ -32,13 +33,14 @@ MAX_TOXIC = 20_000
 MAX_CLEAN = 40_000
 MAX_TERMS = 500
 #: Toxic documents of the sample that a term must be in, and its least log odds ratio.
-MIN_SUPPORT = 5
+MIN_SUPPORT = 4
 MIN_LOG_ODDS = 3.0
 #: Lengths of the word beginnings that may become terms, so that inflected forms are found by their stem.
 STEMS = (4, 5, 6, 7)
 #: A hit counts as near if a word of the second person is at most so many words away.
 NEAR = 5
 TREES, DEPTH = 20, 3
+PARTS = 4
 MEMO_WORDS = 250_000
 
 #: Common insults; the learned terms add those of the labelled texts.
@@ -51,7 +53,7 @@ SECOND_PERSON = frozenset("you your yours yourself u ur du dich dein deine ihr t
 _LEET = str.maketrans("013457@$!|", "oieastasil")
 _EDGES = re.compile(r"^[\W_]+|[\W_]+$")
 _INNER = re.compile(r"[\W_]+")
-_REPEAT = re.compile(r"(.)\1{2,}")
+_REPEAT = re.compile(r"([^\W\d_])\1{2,}")
 _HIT, _LEARNED, _YOU, _HIDDEN, _CAPS, _DIGIT = 1, 2, 4, 8, 16, 32
 _UPPER, _PUNCTUATION, _SYMBOLS, _MARKS = bytes(range(65, 91)), b".,;:'\"()-", b"#*$%&@^~<>|_=+", b"!?"
 
@@ -142,14 +144,15 @@ def features(text: str | None, flags: Memo) -> list[float]:
     ]
 
 
-def with_features(df: DataFrame, text_column: str, terms: frozenset[str]) -> DataFrame:
-    """``df`` with the text replaced by an array of ``FEATURES``."""
+def with_features(df: DataFrame, text_column: str, lexicons: list[frozenset[str]], part_column: str | None = None) -> DataFrame:
+    """``df`` with the text replaced by an array of ``FEATURES``; the lexicon is the first, or that of the row's part."""
     others = [c for c in df.columns if c != text_column]
     schema = T.StructType([*(df.schema[c] for c in others), T.StructField("features", T.ArrayType(T.DoubleType()))])
+    place = others.index(part_column) if part_column else None
 
     def start():
-        flags = word_flags(terms)
-        return lambda *row: [(*row[:-1], features(row[-1], flags))]
+        flags = [word_flags(terms) for terms in lexicons]
+        return lambda *row: [(*row[:-1], features(row[-1], flags[0 if place is None else row[place]]))]
 
     return map_rows(df.select(*others, text_column), schema, start)
 
@@ -169,40 +172,48 @@ def held_out(key: Column) -> Column:
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % 3 == 1, F.lit(True))
 
 
-def learned_terms(texts: DataFrame, max_terms: int) -> frozenset[str]:
-    """Words and beginnings that are typical of the toxic among ``texts`` (text, toxic)."""
+def learned_terms(texts: DataFrame, max_terms: int) -> list[frozenset[str]]:
+    """Lexicons of ``texts`` (text, toxic, part): for each part the one of all other parts, at last that of all.
+
+    Documents with a term are counted in tasks first; the counts meet by term.
+    """
     schema = T.StructType(
-        [
-            T.StructField("term", T.StringType()),
-            T.StructField("toxic", T.LongType()),
-            T.StructField("clean", T.LongType()),
-        ]
-    )
+        [T.StructField("term", T.StringType()), T.StructField("counts", T.ArrayType(T.LongType()))]
+    )  # counts: clean and toxic documents of part 0, of part 1, ...
 
     def start():
-        seen: dict[int, Counter] = {0: Counter(), 1: Counter()}
+        seen: Counter = Counter()
         keys = Memo(lambda word: keys_of(plain_word(word.decode())[0]), MEMO_WORDS)
 
         def flush():
-            rows = [(k, seen[1][k], seen[0][k]) for k in {**seen[0], **seen[1]}]
-            seen[0].clear()
-            seen[1].clear()
-            return rows
+            rows: dict[str, list[int]] = {}
+            for (key, slot), n in seen.items():
+                rows.setdefault(key, [0] * (2 * PARTS))[slot] = n
+            seen.clear()
+            return list(rows.items())
 
-        def call(text, toxic):
-            seen[toxic].update({k for word in set(text_words(text)) for k in keys[word]})
-            return flush() if len(seen[0]) + len(seen[1]) > 300_000 else ()
+        def call(text, toxic, part):
+            slot = 2 * part + toxic
+            seen.update({(k, slot) for word in set(text_words(text)) for k in keys[word]})
+            return flush() if len(seen) > 300_000 else ()
 
         call.close = flush
         return call
 
-    total = {r["toxic"]: r["n"] for r in texts.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    counts = map_rows(texts.select("text", "toxic"), schema, start).groupBy("term")
-    counts = counts.agg(F.sum("toxic").alias("t"), F.sum("clean").alias("c")).where(F.col("t") >= MIN_SUPPORT)
-    odds = F.log((F.col("t") + 0.5) / (total.get(1, 0) + 1.0)) - F.log((F.col("c") + 0.5) / (total.get(0, 0) + 1.0))
-    chosen = counts.withColumn("odds", odds).where(F.col("odds") >= MIN_LOG_ODDS)
-    top = chosen.orderBy(F.desc(F.col("t") * F.col("odds")), "term").limit(max_terms)  # the lexicon is a bounded list
-    return frozenset(r["term"] for r in top.select("term").collect())
+    slots = range(2 * PARTS)
+    per_term = map_rows(texts.select("text", "toxic", "part"), schema, start).groupBy("term")
+    per_term = per_term.agg(*[F.sum(F.get("counts", F.lit(s))).alias(f"n{s}") for s in slots])
+    per_term = stored(per_term.where(sum(F.col(f"n{s}") for s in slots if s % 2) >= MIN_SUPPORT))
+    total = Counter({(r["part"], r["toxic"]): r["n"] for r in texts.groupBy("part", "toxic").agg(F.count("*").alias("n")).collect()})
+    out = []
+    for left_out in [*range(PARTS), None]:
+        t, c = (sum(F.col(f"n{s}") for s in slots if s % 2 == y and s // 2 != left_out) for y in (1, 0))
+        all_t, all_c = (sum(n for (p, l), n in total.items() if l == y and p != left_out) for y in (1, 0))
+        odds = F.log((t + 0.5) / (all_t + 1.0)) - F.log((c + 0.5) / (all_c + 1.0))
+        chosen = per_term.where((t >= MIN_SUPPORT) & (odds >= MIN_LOG_ODDS))
+        top = chosen.orderBy(F.desc(t * odds), "term").limit(max_terms)  # the lexicon is a bounded list
+        out.append(frozenset(r["term"] for r in top.select("term").collect()))
+    return out
 
 
 def fit(
@@ -233,25 +244,23 @@ def fit(
     sample = stored(chosen[0].unionByName(chosen[1]))
     # at most max_toxic + max_clean small rows, so this side may be broadcast
     texts = docs.select(key.alias("key"), F.col(text_column).alias("text")).join(F.broadcast(sample), "key")
-    part = F.crc32(F.concat(F.lit("part "), F.col("key").cast("string")).cast("binary")) % 4
+    part = (F.crc32(F.concat(F.lit("part "), F.col("key").cast("string")).cast("binary")) % PARTS).cast("int")
     texts = stored(texts.select("text", "toxic", part.alias("part")))
     weight = {y: max(1.0, n / taken[y]) for y, n in total.items()}
     texts = texts.withColumn("weight", F.when(F.col("toxic") == 1, weight.get(1, 1.0)).otherwise(weight.get(0, 1.0)))
-    terms = learned_terms(texts.where("part < 2"), max_terms)
-    rows = with_features(texts.select("toxic", "part", "weight", "text"), "text", terms)
-    rows = stored(rows).withColumn("features", array_to_vector("features")).withColumn("label", F.col("toxic").cast("double"))
+    *others, terms = learned_terms(texts, max_terms)
+    rows = stored(with_features(texts.select("toxic", "part", "weight", "text"), "text", others, "part"))
+    rows = rows.withColumn("features", array_to_vector("features")).withColumn("label", F.col("toxic").cast("double"))
     classes = {(r["part"], r["toxic"]) for r in rows.select("part", "toxic").distinct().collect()}
-
-    def part_or_all(number: int) -> DataFrame:  # tiny tables may leave a part without one of the classes
-        both = {(number, 0), (number, 1)} <= classes
-        return rows.where(F.col("part") == number) if both else rows
-
     if len({y for _, y in classes}) < 2:
         return ToxicityModel(terms, None, None, (total.get(1, 0) + 1) / (sum(total.values()) + 2))
-    trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=7, weightCol="weight").fit(part_or_all(2))
-    scored = with_raw(trees, part_or_all(3))
-    calibration = IsotonicRegression(featuresCol="raw", labelCol="label", weightCol="weight", predictionCol="calibrated").fit(scored)
-    return ToxicityModel(terms, trees, calibration, 0.0)
+    last = PARTS - 1
+    # tiny tables may leave either side without one of the classes: then both use all rows
+    both = {(last, 0), (last, 1)} <= classes and {y for p, y in classes if p != last} == {0, 1}
+    trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=7, weightCol="weight")
+    fitted = trees.fit(rows.where(F.col("part") != last) if both else rows)
+    isotonic = IsotonicRegression(featuresCol="raw", labelCol="label", weightCol="weight", predictionCol="calibrated")
+    return ToxicityModel(terms, fitted, isotonic.fit(with_raw(fitted, rows.where(F.col("part") == last) if both else rows)), 0.0)
 
 
 def with_raw(trees: GBTClassificationModel, rows: DataFrame) -> DataFrame:
@@ -270,7 +279,7 @@ def score(
     if model.trees is None:
         scored = df.select(id_column, F.lit(model.prior).alias("score"))
     else:
-        rows = with_features(df.select(F.col(id_column).alias("key"), F.col(text_column).alias("text")), "text", model.terms)
+        rows = with_features(df.select(F.col(id_column).alias("key"), F.col(text_column).alias("text")), "text", [model.terms])
         scored = model.calibration.transform(with_raw(model.trees, rows.withColumn("features", array_to_vector("features"))))
         mixed = F.greatest(F.lit(0.0), F.least(F.lit(1.0), 0.99 * F.col("calibrated") + 0.01 * F.col("raw")))
         scored = scored.select(F.col("key").alias(id_column), mixed.alias("score"))
