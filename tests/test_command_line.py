@@ -3,13 +3,11 @@ import json
 from conftest import TESTDATA
 
 from tidemark.__main__ import main
-from tidemark.operators.train import SMALL_GRID
 from tidemark.plans.catalog import LOGS
 from tidemark.sources.storage import write_csv
 
 
-def test_every_step(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr("tidemark.__main__.SMALL_GRID", {**SMALL_GRID, "n_estimators": [2], "max_depth": [2]})
+def test_every_step(spark, tmp_path):
     load, _ = LOGS["o"]
     log = write_csv(load(spark, TESTDATA), str(tmp_path / "log.csv"))
     marts, processed, out = (str(tmp_path / n) for n in ("marts", "processed", "out"))
@@ -27,7 +25,7 @@ def test_every_step(spark, tmp_path, monkeypatch):
     )
     assert spark.read.parquet(f"{processed}/train").count() == 112
     assert spark.read.parquet(f"{processed}/valid").count() == 29
-    run("train", "--processed-dir", processed, "--out", out, "--search", "small")
+    run("train", "--processed-dir", processed, "--out", out, "--grid", '{"n_estimators": [2], "max_depth": [2]}')
     run("score", "--processed-dir", processed, "--out", out)
     run("explain", "--processed-dir", processed, "--out", out)
     run("summary", "--path", f"{exports}/churn_training_dataset_csv", "--out", f"{out}/summary")

@@ -14,7 +14,7 @@ from tidemark.plans.catalog import LOGS
 from tidemark.sources.storage import load_model, save_model
 
 FEATURES = ["a", "b", "c"]
-GRID = {**train.SMALL_GRID, "n_estimators": [4], "max_depth": [2, 3], "subsample": [0.8]}
+GRID = {"n_estimators": [4], "max_depth": [2, 3], "subsample": [0.8]}
 
 
 @pytest.fixture(scope="module")
@@ -126,7 +126,7 @@ def test_importance(data, trained):
 def test_whole_flow(spark, tmp_path):
     load, spec = LOGS["o"]
     out = str(tmp_path / "run")
-    grid = {**train.SMALL_GRID, "n_estimators": [2], "max_depth": [2]}
+    grid = {"n_estimators": [2], "max_depth": [2]}
     report = pipeline.run(load(spark, TESTDATA), spec, out, grid)
     assert report["scoring"]["n_customers_scored"] == 51
     assert 0 <= report["training"]["roc_auc"] <= 1

@@ -104,11 +104,11 @@ def test_bad_numbers(spark):
 def test_feature_mismatch_names_both_sides(spark):
     train = spark.sql("select 'a' account_id, current_date() observation_date, true is_churn, 1 f, 2 g")
     current = spark.sql("select 'a' account_id, 1 metric_time, 1 g, 2 h")
-    with pytest.raises(ValueError, match=r"missing in current: \['f'\].*extra in current: \['h'\]"):
+    with pytest.raises(ValueError, match="current table lacks f and does not expect h"):
         prepare.feature_columns(train, current)
     with pytest.raises(ValueError, match="is_churn"):
         prepare.feature_columns(train.drop("is_churn"), current)
-    with pytest.raises(ValueError, match=r"\['f'\]"):
+    with pytest.raises(ValueError, match="current table lacks f"):
         score.prepare_features(current, ["f", "g"])
 
 

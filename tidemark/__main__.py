@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.operators import profile
 from tidemark.operators.prepare import SEED, TEST_SIZE, Prepared, coerce_features
-from tidemark.operators.train import FULL_GRID, SMALL_GRID
+from tidemark.operators.train import FULL_GRID
 from tidemark.plans import pipeline
 from tidemark.sources.events import as_event_log, read_event_csv
 from tidemark.sources.storage import read_dataset, read_json, write_csv
@@ -46,7 +46,7 @@ def _parser() -> argparse.ArgumentParser:
     train = steps.add_parser("train")
     train.add_argument("--processed-dir", required=True)
     train.add_argument("--out", required=True)
-    train.add_argument("--search", choices=("small", "full"), default="full")
+    train.add_argument("--grid", type=json.loads, default=FULL_GRID, help="JSON: parameter to list of values")
 
     for name in ("score", "explain"):
         step = steps.add_parser(name)
@@ -93,8 +93,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     elif args.step == "train":
         parts = [spark.read.parquet(f"{args.processed_dir}/{n}") for n in ("train", "valid", "current")]
         data = Prepared(*parts, read_json(spark, f"{args.processed_dir}/feature_columns.json"))
-        grid = FULL_GRID if args.search == "full" else SMALL_GRID
-        _, report = pipeline.train_and_evaluate(data, args.out, grid)
+        _, report = pipeline.train_and_evaluate(data, args.out, args.grid)
         print(json.dumps(report, indent=2))
     elif args.step == "score":
         current = read_dataset(spark, f"{args.processed_dir}/current")

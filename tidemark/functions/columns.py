@@ -52,8 +52,11 @@ def required(c: str, message: str) -> Column:
 
 
 def label_to_int(c: str) -> Column:
-    """Boolean or 0/1 label to 0/1; a missing label fails the job."""
-    return required(c, f"{c} must not be NULL").cast("boolean").cast("int")
+    """Boolean or 0/1 label (also as text) to 0/1; anything else, a missing label too, fails the job."""
+    given = required(c, f"{c} must not be NULL")
+    number, text = given.try_cast("double"), F.lower(F.trim(given.cast("string")))
+    wrong = F.raise_error(F.concat(F.lit(f"{c} must be boolean, 0 or 1, not "), given.cast("string")))
+    return F.when((number == 1) | (text == "true"), 1).when((number == 0) | (text == "false"), 0).otherwise(wrong)
 
 
 def quantile_name(p: float) -> str:

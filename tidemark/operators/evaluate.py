@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import safe_divide
-from tidemark.operators.ranks import BUCKETS, running_totals
+from tidemark.operators.ranks import range_buckets, running_totals
 from tidemark.spec import TARGET
 
 THRESHOLD = 0.5
@@ -69,26 +69,25 @@ def classification_report(scored: DataFrame, label: str = TARGET, score: str = S
 
 
 def _by_score(scored: DataFrame, label: str, score: str, descending: bool) -> DataFrame:
-    """Positives and negatives per distinct score, with running totals in score order."""
+    """Positives and negatives per distinct score (stored when called), with running totals in score order."""
     steps = scored.groupBy(F.col(score).alias("score")).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg")
     )
-    sign = -1 if descending else 1
-    clipped = F.greatest(F.least(F.col("score"), F.lit(1.0)), F.lit(0.0))
-    bucket = F.floor(clipped * BUCKETS) * sign
+    steps = range_buckets(steps, "score")
+    if descending:
+        steps = steps.withColumn("bucket", -F.col("bucket"))
     order = F.col("score").desc() if descending else F.col("score").asc()
-    return running_totals(steps.withColumn("bucket", bucket), "bucket", order, ["pos", "neg"])
+    return running_totals(steps, "bucket", order, ["pos", "neg"])
 
 
 def roc_auc(scored: DataFrame, label: str = TARGET, score: str = SCORE) -> DataFrame:
     """One row ``roc_auc``: chance that a positive outranks a negative, ties counting half; NULL with one class."""
     steps = _by_score(scored, label, score, descending=False)
     below = F.col("neg_upto") - F.col("neg")
-    return steps.agg(
-        safe_divide(
-            F.sum(F.col("pos") * (2 * below + F.col("neg"))), 2 * F.sum("pos") * F.sum("neg")
-        ).alias("roc_auc")
-    )
+    wide = "decimal(19,0)"  # products of counts outgrow 64 bits
+    wins = F.sum(F.col("pos").cast(wide) * (2 * below + F.col("neg")).cast(wide))
+    pairs = F.sum("pos").cast(wide) * F.sum("neg").cast(wide)
+    return steps.agg(safe_divide(wins, 2 * pairs.cast("double")).alias("roc_auc"))
 
 
 def roc_curve(scored: DataFrame, label: str = TARGET, score: str = SCORE) -> DataFrame:

@@ -22,6 +22,9 @@ from tidemark.functions.columns import as_timestamp, timestamp_literal
 from tidemark.spec import ChurnSpec
 
 
+MANDATORY = ("account_id", "event_time", "event_type")
+
+
 def log_bounds(events: DataFrame) -> DataFrame:
     """One row: date of the first and of the last event (NULLs for an empty log)."""
     return events.agg(
@@ -30,11 +33,24 @@ def log_bounds(events: DataFrame) -> DataFrame:
     )
 
 
+def checked_bounds(events: DataFrame) -> tuple[dt.date | None, dt.date | None]:
+    """The bounds, after making sure in the same job that no mandatory value is missing.
+
+    The check is not part of later plans, so their filters still reach the scan.
+    """
+    nulls = [F.count_if(F.col(c).isNull()).alias(c) for c in MANDATORY]
+    row = events.agg(F.to_date(F.min("event_time")).alias("a"), F.to_date(F.max("event_time")).alias("b"), *nulls).first()
+    missing = [f"{row[c]} in {c}" for c in MANDATORY if row[c]]
+    if missing:
+        raise ValueError(f"event log: NULL values where none may be: {', '.join(missing)}")
+    return row["a"], row["b"]
+
+
 @dataclass(frozen=True)
 class Grid:
     """Where the grid of one event log lies.
 
-    The two dates are fetched once (a one-row aggregate over a single column) and
+    The two dates are fetched once (a one-row aggregate, which also checks for missing values) and
     enter every plan as literals, so time filters reach the scan and prune files.
     Build it once per log and pass it on.
     """
@@ -45,7 +61,7 @@ class Grid:
 
     @classmethod
     def of(cls, events: DataFrame, spec: ChurnSpec) -> Grid:
-        first, last = log_bounds(events).first()
+        first, last = checked_bounds(events)
         if first is None:
             return cls(dt.date(1970, 1, 1), -1, spec.step_days)
         return cls(first, (last - first).days // spec.step_days, spec.step_days)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import label_to_int, numeric_or_zero
+from tidemark.functions.schema import expect_columns
 from tidemark.operators.ranks import hash_cuts, hash_key
 from tidemark.sources.storage import stored
 from tidemark.spec import CURRENT_IDS, TARGET, TRAIN_IDS
@@ -19,17 +20,10 @@ TEST_SIZE = 0.2
 
 def feature_columns(train: DataFrame, current: DataFrame, target: str = TARGET) -> list[str]:
     """Features of the training table, which must be exactly those of the current table."""
-    if target not in train.columns:
-        raise ValueError(f"the training dataset must contain {target!r}")
-    ours = [c for c in train.columns if c not in (*TRAIN_IDS, target)]
-    theirs = [c for c in current.columns if c not in CURRENT_IDS]
-    missing, extra = sorted(set(ours) - set(theirs)), sorted(set(theirs) - set(ours))
-    if missing or extra:
-        raise ValueError(
-            "training and current datasets differ in their features; "
-            f"missing in current: {missing}; extra in current: {extra}"
-        )
-    return ours
+    expect_columns(train, [target], "training table")
+    features = [c for c in train.columns if c not in {*TRAIN_IDS, target}]
+    expect_columns(current, features, "current table", allowed=CURRENT_IDS)
+    return features
 
 
 def coerce_features(df: DataFrame, features: Sequence[str]) -> DataFrame:
@@ -39,9 +33,8 @@ def coerce_features(df: DataFrame, features: Sequence[str]) -> DataFrame:
 
 
 def coerce_label(df: DataFrame, target: str = TARGET) -> DataFrame:
-    """Label as 0 or 1; a missing label fails the job."""
-    if target not in df.columns:
-        raise ValueError(f"the training dataset must contain {target!r}")
+    """Label as 0 or 1; a label that is missing or anything else fails the job."""
+    expect_columns(df, [target], "training table")
     return df.withColumn(target, label_to_int(target))
 
 
@@ -57,7 +50,8 @@ def split_sizes(df: DataFrame, test_size: float, target: str = TARGET) -> DataFr
     return classes.selectExpr(target, "n", "sum(n) over () as total").selectExpr(
         target, "n", f"total - cast(ceil({test_size}d * total) as bigint) as n_train", "total"
     ).selectExpr(
-        target, "n", "n_train", "(n * n_train) div total as share", "(n * n_train) % total as remainder"
+        target, "n", "n_train", "cast(cast(n as decimal(19,0)) * cast(n_train as decimal(19,0)) div total as bigint) as share",
+        "cast(n as decimal(19,0)) * cast(n_train as decimal(19,0)) % total as remainder"
     ).selectExpr(
         target,
         "n",

@@ -160,8 +160,3 @@ def daily_event_counts(events: DataFrame, event_types: Iterable[str]) -> DataFra
         .select("event_type", "event_date", F.coalesce("n_event", F.lit(0)).alias("n_event"))
         .orderBy("event_type", "event_date")
     )
-
-
-def daily_counts_of(events: DataFrame, event_type: str) -> DataFrame:
-    """The series of one event type."""
-    return daily_event_counts(events, [event_type]).select("event_date", "n_event").orderBy("event_date")

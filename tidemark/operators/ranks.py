@@ -1,8 +1,9 @@
 """Exact order statistics without bringing a group into one task.
 
-Ranks and running totals over a sorted order are computed in two levels. Values are
-first put into buckets by a *monotone* function of the value, so bucket totals (at most
-``BUCKETS`` per group) give every bucket its offset; the order inside a bucket is
+Ranks and running totals over a sorted order are computed in two levels. Distinct values are
+first put into buckets by range, the edges coming from a sample of the values themselves, so that
+buckets hold about as many values each, however the values are distributed. Bucket totals
+(at most ``BUCKETS`` in all) give every bucket its offset; the order inside a bucket is
 resolved per (group, bucket), which spreads one group over many tasks. Any monotone
 bucketing gives the exact answer.
 """
@@ -17,27 +18,24 @@ from pyspark.sql import functions as F
 from tidemark.functions.columns import quantile_name
 from tidemark.sources.storage import stored
 
-BUCKETS = 4096
+BUCKETS = 256
 
 
-def value_bucket(value: str, low: str, high: str) -> Column:
-    """Monotone bucket of a number between ``low`` and ``high``; the logarithm keeps long tails apart."""
-    v, lo, hi = (F.signum(c) * F.log1p(F.abs(c)) for c in (value, low, high))
-    return F.when(
-        F.col(low) < F.col(high), F.least(F.floor((v - lo) / (hi - lo) * BUCKETS), F.lit(BUCKETS))
-    ).otherwise(F.lit(0))
+def range_buckets(df: DataFrame, *order: str) -> DataFrame:
+    """``df``, stored, with ``bucket``: the number of its range in the order of the given columns."""
+    ranged = df.repartitionByRange(BUCKETS, *order)
+    return stored(ranged.withColumn("bucket", F.spark_partition_id()))
 
 
 def value_counts(df: DataFrame, group: str, value: str, **sums: Column) -> DataFrame:
-    """Rows per (group, value) and optional sums, stored.
+    """Rows per (group, value) and optional sums, stored in range buckets when the function is called.
 
     All later steps read only these distinct values, several times over.
     """
-    return stored(
-        df.groupBy(group, value).agg(
-            F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(name) for name, c in sums.items()]
-        )
+    counts = df.groupBy(group, value).agg(
+        F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(name) for name, c in sums.items()]
     )
+    return range_buckets(counts, group, value)
 
 
 def group_ranges(counts: DataFrame, group: str, value: str) -> DataFrame:
@@ -57,12 +55,7 @@ def exact_quantiles(counts: DataFrame, group: str, value: str, probabilities: Se
     ``counts`` comes from :func:`value_counts`; groups are few (columns of a dataset).
     Only values in the few buckets that hold a wanted rank are sorted.
     """
-    ranges = group_ranges(counts, group, value)
-    bucketed = (
-        counts.where(F.col(value).isNotNull())
-        .join(F.broadcast(ranges), group)  # one row per group
-        .select(group, value, "n", value_bucket(value, "low", "high").alias("bucket"))
-    )
+    bucketed = counts.where(F.col(value).isNotNull()).select(group, value, "n", "bucket")
     by_bucket = Window.partitionBy(group).orderBy("bucket")
     totals = (
         bucketed.groupBy(group, "bucket")

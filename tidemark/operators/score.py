@@ -9,6 +9,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.schema import expect_columns
 from tidemark.operators.evaluate import SCORE, THRESHOLD
 from tidemark.operators.prepare import coerce_features
 from tidemark.operators.ranks import exact_quantiles, value_counts
@@ -19,9 +20,7 @@ PREDICTED = "predicted_is_churn"
 
 def prepare_features(df: DataFrame, features: Sequence[str]) -> DataFrame:
     """All features must be there (extra columns are fine) and are read as numbers."""
-    missing = sorted(set(features) - set(df.columns))
-    if missing:
-        raise ValueError(f"current dataset is missing features: {missing}")
+    expect_columns(df, features, "current table")
     return coerce_features(df, features)
 
 

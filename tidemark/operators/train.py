@@ -13,6 +13,7 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.schema import expect_columns
 from tidemark.operators.prepare import SEED, assign_folds
 from tidemark.spec import TARGET, TRAIN_IDS
 
@@ -25,13 +26,8 @@ FULL_GRID: dict[str, list] = {
     "colsample_bytree": [0.8, 1.0],
 }
 
-SMALL_GRID: dict[str, list] = {
-    "n_estimators": [10],
-    "max_depth": [2, 3],
-    "learning_rate": [0.1],
-    "subsample": [1.0],
-    "colsample_bytree": [1.0],
-}
+#: Partitions of the training rows. Bagging draws per partition, so this is part of the model.
+PARTITIONS = 16
 
 # Spark's name for each search parameter. Columns are drawn per node, not per tree.
 SPARK_PARAMS = {
@@ -42,6 +38,9 @@ SPARK_PARAMS = {
     "colsample_bytree": "featureSubsetStrategy",
 }
 
+# Defaults of the estimator for parameters that a grid does not name.
+DEFAULTS = {"n_estimators": 20, "max_depth": 5, "learning_rate": 0.1, "subsample": 1.0, "colsample_bytree": 1.0}
+
 
 @dataclass(frozen=True)
 class Trained:
@@ -55,16 +54,10 @@ class Trained:
         """One row per candidate: its parameters, mean AUC over the folds and rank."""
         ranked = sorted(range(len(self.search)), key=lambda i: -self.search[i]["mean_roc_auc"])
         rank = {i: r + 1 for r, i in enumerate(ranked)}
+        # a parameter that the grid leaves out has the estimator's default
+        kinds = {"n_estimators": int, "max_depth": int, "learning_rate": float, "subsample": float, "colsample_bytree": float}
         rows = [
-            (
-                int(c["n_estimators"]),
-                int(c["max_depth"]),
-                float(c["learning_rate"]),
-                float(c["subsample"]),
-                float(c["colsample_bytree"]),
-                float(c["mean_roc_auc"]),
-                rank[i],
-            )
+            (*(kind(c.get(name, DEFAULTS[name])) for name, kind in kinds.items()), float(c["mean_roc_auc"]), rank[i])
             for i, c in enumerate(self.search)
         ]
         return like.sparkSession.createDataFrame(
@@ -74,12 +67,6 @@ class Trained:
         )
 
 
-def check_columns(df: DataFrame, features: Sequence[str], target: str = TARGET) -> None:
-    missing = sorted({*features, target} - set(df.columns))
-    if missing:
-        raise ValueError(f"missing required columns: {missing}")
-
-
 def _spark_value(name: str, value):
     if name == "colsample_bytree":
         return "all" if value == 1.0 else str(value)
@@ -89,18 +76,20 @@ def _spark_value(name: str, value):
 def train_model(
     train: DataFrame,
     features: Sequence[str],
-    grid: Mapping[str, Sequence] = SMALL_GRID,
+    grid: Mapping[str, Sequence] = FULL_GRID,
     folds: int = 3,
     seed: int = SEED,
     parallelism: int = 4,
     ids: Sequence[str] = TRAIN_IDS,
     target: str = TARGET,
+    partitions: int = PARTITIONS,
 ) -> Trained:
     """Pick the candidate with the best mean fold AUC and refit it on all rows.
 
-    Folds and row order depend on the ids only, so the same data gives the same model.
+    ``grid`` is the searched grid, by default the full one. Folds, row order and, by ``partitions``, the cut
+    into tasks depend on the ids only, so the same data gives the same model whatever the session's settings.
     """
-    check_columns(train, features, target)
+    expect_columns(train, [*ids, *features, target], "training rows", numeric=features)
     assembler = VectorAssembler(inputCols=list(features), outputCol="features")
     booster = GBTClassifier(labelCol=target, featuresCol="features", lossType="logistic", seed=seed)
     pipeline = Pipeline(stages=[booster])
@@ -119,7 +108,7 @@ def train_model(
     )
     rows = assign_folds(train, folds, seed, ids, target)
     # bagging draws rows in partition order: fix that order
-    rows = assembler.transform(rows.repartition(*ids).sortWithinPartitions(*ids)).select(
+    rows = assembler.transform(rows.repartition(partitions, *ids).sortWithinPartitions(*ids)).select(
         F.col(target).cast("double").alias(target), "features", "fold"
     )
     rows.persist()

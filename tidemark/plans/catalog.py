@@ -45,7 +45,14 @@ MESSY_CELL = """case cast(account_id as bigint) % 7
     when 0 then 'x' when 1 then '' when 2 then 'nan' when 3 then concat(' ', cast({c} as string), ' ')
     when 4 then cast(null as string) else cast({c} as string) end as {c}"""
 
-TRAINING_GRID = {**train.SMALL_GRID, "n_estimators": [5]}
+# The grid that the model queries search. It varies all five parameters; the full one is the default of the operators.
+QUERY_GRID = {
+    "n_estimators": [2, 3],
+    "max_depth": [2, 3],
+    "learning_rate": [0.1, 0.3],
+    "subsample": [0.8, 1.0],
+    "colsample_bytree": [0.8, 1.0],
+}
 
 
 def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
@@ -78,9 +85,16 @@ def _prepared(events: DataFrame, spec: ChurnSpec) -> prepare.Prepared:
     )
 
 
+_fitted: dict[tuple, tuple[prepare.Prepared, train.Trained]] = {}
+
+
 def _trained(events: DataFrame, spec: ChurnSpec) -> tuple[prepare.Prepared, train.Trained]:
-    data = _prepared(events, spec)
-    return data, train.train_model(data.train, data.features, TRAINING_GRID)
+    """One search per application and log, shared by the queries on the model."""
+    key = (events.sparkSession.sparkContext.applicationId, tuple(sorted(events.inputFiles())), spec.cutoff)
+    if key not in _fitted:
+        data = _prepared(events, spec)
+        _fitted[key] = data, train.train_model(data.train, data.features, QUERY_GRID, parallelism=8)
+    return _fitted[key]
 
 
 def _messy(events: DataFrame, spec: ChurnSpec) -> DataFrame:
@@ -209,7 +223,7 @@ ON_EVENTS: dict[str, Callable[[DataFrame, ChurnSpec], DataFrame]] = {
     ),
     "roc_auc": lambda e, s: rounded(evaluate.roc_auc(_scored_training(e, s)), "roc_auc"),
     "roc_curve": lambda e, s: rounded(
-        evaluate.roc_curve(_scored_training(e, s)).where("threshold <= 1"), "threshold", "fpr", "tpr"
+        evaluate.roc_curve(_scored_training(e, s)), "threshold", "fpr", "tpr"
     ),
     "predictions": lambda e, s: rounded(_scored_current(e, s), evaluate.SCORE),
     "score_histogram": lambda e, s: rounded(

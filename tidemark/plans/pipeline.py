@@ -12,7 +12,7 @@ from tidemark.operators.datasets import current_dataset_from_metrics, training_d
 from tidemark.operators.grid import Grid
 from tidemark.operators.labels import observation
 from tidemark.operators.metrics import derived_metrics, event_count_metrics, union_metrics
-from tidemark.operators.train import SMALL_GRID, Trained, feature_importance, train_model
+from tidemark.operators.train import FULL_GRID, Trained, feature_importance, train_model
 from tidemark.sources.storage import (
     load_model,
     read_json,
@@ -78,7 +78,7 @@ def prepare_data(training: DataFrame, current: DataFrame, out: str, **options) -
 
 
 def train_and_evaluate(
-    data: prepare.Prepared, out: str, grid: Mapping[str, Sequence] = SMALL_GRID
+    data: prepare.Prepared, out: str, grid: Mapping[str, Sequence] = FULL_GRID
 ) -> tuple[Trained, dict]:
     """Train, evaluate on the validation rows, and write model and reports."""
     spark = data.train.sparkSession
@@ -129,7 +129,7 @@ def explain_model(spark: SparkSession, valid: DataFrame, out: str) -> DataFrame:
     return importance
 
 
-def run(events: DataFrame, spec: ChurnSpec, out: str, grid: Mapping[str, Sequence] = SMALL_GRID) -> dict:
+def run(events: DataFrame, spec: ChurnSpec, out: str, grid: Mapping[str, Sequence] = FULL_GRID) -> dict:
     """Everything, below one output folder."""
     spark = events.sparkSession
     marts = build_marts(events, spec, f"{out}/marts")

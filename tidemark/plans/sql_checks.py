@@ -358,7 +358,8 @@ def _curve(s: Sql) -> str:
           / (select count(*) from scored where is_churn = 0), 6) as fpr,
         round((select count(*) from scored where is_churn = 1 and p >= t.p)::double
           / (select count(*) from scored where is_churn = 1), 6) as tpr
-        from (select distinct p from scored) t""",
+        from (select distinct p from scored) t
+        union all select 'inf'::double, 0.0, 0.0""",
         "scored",
     )
 

@@ -11,7 +11,6 @@ from tidemark.spec import DEFAULT_SPEC, RATIO, SUM_OF_METRICS, ChurnSpec, Metric
 DEFINITION_SCHEMA = (
     "metric_name_id int, metric_name string, event_type string, lookback_days int, metric_kind string"
 )
-MAX_DEFINITIONS = 1000
 
 
 def read_definitions(spark: SparkSession, path: str) -> DataFrame:
@@ -36,9 +35,7 @@ def spec_with_definitions(table: DataFrame, like: ChurnSpec = DEFAULT_SPEC) -> C
     The table does not say what sums and ratios are made of; that comes from the
     metric of the same id in ``like``.
     """
-    rows = table.orderBy("metric_name_id").limit(MAX_DEFINITIONS + 1).collect()
-    if len(rows) > MAX_DEFINITIONS:
-        raise ValueError(f"more than {MAX_DEFINITIONS} metric definitions")
+    rows = table.orderBy("metric_name_id").collect()  # each definition is a column of every plan
     definitions = []
     for r in rows:
         d = MetricDefinition(*r)

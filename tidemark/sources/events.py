@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.columns import required
+from tidemark.functions.schema import expect_columns
+from tidemark.sources.storage import NO_VALUE
 from tidemark.spec import DEFAULT_SPEC, ChurnSpec
 
 EVENT_SCHEMA = T.StructType(
@@ -39,6 +41,7 @@ def read_event_csv(spark: SparkSession, path: str, *, multi_line: bool = False)
         .option("escape", '"')
         .option("mode", "FAILFAST")
         .option("enforceSchema", False)
+        .option("nullValue", NO_VALUE)  # an empty field is NULL, quoted empty text stays text
         .option("multiLine", multi_line)
         .csv(path)
     )
@@ -54,9 +57,7 @@ def read_event_csv(spark: SparkSession, path: str, *, multi_line: bool = False)
 
 def as_event_log(df: DataFrame) -> DataFrame:
     """Bring any frame that has the five columns to the canonical types."""
-    missing = sorted(set(EVENT_COLUMNS) - set(df.columns))
-    if missing:
-        raise ValueError(f"event log is missing columns: {missing}")
+    expect_columns(df, EVENT_COLUMNS, "event log")
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in EVENT_SCHEMA])
 
 

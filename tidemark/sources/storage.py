@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+#: Stands for NULL inside the CSV reader. No text is equal to it, so that only empty fields without quotes are NULL.
+NO_VALUE = "\ufffe\ufffeNULL"
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -50,6 +52,7 @@ def write_parquet(df: DataFrame, path: str) -> str:
 def write_csv(df: DataFrame, path: str) -> str:
     """Replace the CSV table (header, quotes doubled, full timestamps) at ``path``."""
     writer = df.write.mode("overwrite").option("header", True).option("escape", '"')
+    writer = writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
     writer.option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]").csv(path)
     return path
 
@@ -82,7 +85,7 @@ def read_dataset(spark: SparkSession, path: str, schema: T.StructType | str | No
         raise FileNotFoundError(f"dataset not found: {path}")
     if _holds_parquet(spark, path):
         return spark.read.parquet(path)
-    reader = spark.read.option("header", True).option("escape", '"')
+    reader = spark.read.option("header", True).option("escape", '"').option("nullValue", NO_VALUE)
     return (reader.schema(schema) if schema is not None else reader).csv(path)
 
 

@@ -122,6 +122,8 @@ class ChurnSpec:
         by_id = {d.metric_name_id: d for d in self.definitions}
         if len(by_id) != len(self.definitions):
             raise ValueError("metric_name_id must be unique")
+        if len({d.metric_name for d in self.definitions}) != len(self.definitions):
+            raise ValueError("metric_name must be unique")
         unknown = sorted(set(self.feature_order) - set(by_id))
         if unknown:
             raise ValueError(f"feature_order names unknown metric ids: {unknown}")
@@ -157,10 +159,6 @@ class ChurnSpec:
     def features(self) -> list[str]:
         return [self.by_id[i].feature for i in self.feature_order]
 
-    @property
-    def max_lookback(self) -> int:
-        return max(d.lookback_days for d in self.definitions)
-
     def at(self, cutoff: dt.date) -> ChurnSpec:
         return replace(self, cutoff=cutoff)
 
