@@ -2,6 +2,7 @@
 
 import datetime as dt
 import math
+import re
 
 import duckdb
 import pandas as pd
@@ -51,7 +52,8 @@ def test_query_equals_sql(spark, duck, name):
 
 
 def test_every_query_but_the_models_has_sql():
-    without = {n for n in QUERIES if n not in SQL}
+    # those of the optional training-data operators have tests of their own
+    without = {n for n in QUERIES if n not in SQL and n != "pipeline" and not re.match(r"op\d+_", n)}
     assert without == {
         "trained_model_scores_o",
         "trained_model_metrics_o",

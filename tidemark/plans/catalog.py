@@ -47,8 +47,8 @@ MESSY_CELL = """case cast(account_id as bigint) % 7
 
 # The grid that the model queries search. It varies all five parameters; the full one is the default of the operators.
 QUERY_GRID = {
-    "n_estimators": [2, 3],
-    "max_depth": [2, 3],
+    "n_estimators": [1, 2],
+    "max_depth": [1, 2],
     "learning_rate": [0.1, 0.3],
     "subsample": [0.8, 1.0],
     "colsample_bytree": [0.8, 1.0],
@@ -160,6 +160,35 @@ def _shapley_importance(events: DataFrame, spec: ChurnSpec) -> DataFrame:
     return explain.shapley_importance(_shapley(events, spec))
 
 
+def _model_facts(events: DataFrame, spec: ChurnSpec) -> DataFrame:
+    """One row of facts that hold for every fitted model, whatever its values."""
+    data, trained = _trained(events, spec)
+    p = F.col(evaluate.SCORE)
+    scored = score.score_current(trained.model, data.current, data.features)
+    current = scored.agg(
+        F.count(F.lit(1)).alias("n_scored"),
+        F.count_if(~p.between(0, 1)).alias("n_outside"),
+        F.count_if((p >= evaluate.THRESHOLD).cast("int") != F.col(score.PREDICTED)).alias("n_contradicting"),
+    )
+    contributions = explain.shapley_values(trained.model, data.valid, data.features)
+    summed = contributions.groupBy("account_id").agg(F.sum("contribution").alias("explained"))
+    odds = score.with_probability(trained.model, data.valid).select("account_id", F.log(p / (1 - p)).alias("odds"))
+    # contributions add up to log-odds minus one baseline, the same for all accounts
+    rest = odds.join(summed, "account_id").select((F.col("odds") - F.col("explained")).alias("rest"))
+    explained = rest.agg(
+        F.count(F.lit(1)).alias("n_explained"), (F.max("rest") - F.min("rest") < 1e-6).alias("adds_up")
+    )
+    gain = train.feature_importance(trained, data.train).agg(F.round(F.sum("importance"), 6).alias("total"))
+    best = trained.search_results(data.train).where(F.col("rank") == 1)
+    return events.sparkSession.range(1).select(
+        *[current.select(c).scalar().alias(c) for c in current.columns],
+        *[explained.select(c).scalar().alias(c) for c in explained.columns],
+        gain.scalar().alias("total_importance"),
+        F.lit(len(trained.search)).cast("long").alias("n_candidates"),
+        best.agg(F.count(F.lit(1))).scalar().alias("n_best"),
+    )
+
+
 SUMMARY_COLUMNS = ("nonzero", "mean", "std", "skew", "1pct", "25pct", "50pct", "75pct", "99pct")
 
 ON_EVENTS: dict[str, Callable[[DataFrame, ChurnSpec], DataFrame]] = {
@@ -242,8 +271,9 @@ ON_EVENTS: dict[str, Callable[[DataFrame, ChurnSpec], DataFrame]] = {
     "csv_export_roundtrip": _dataset_csv_roundtrip,
 }
 
-# Fitted models: no SQL equivalent.
+# Fitted models. SQL can state the facts, not the values.
 ON_MODELS: dict[str, Callable[[DataFrame, ChurnSpec], DataFrame]] = {
+    "model_facts": _model_facts,
     "trained_model_scores": _model_scores,
     "trained_model_metrics": _model_metrics,
     "grid_search_results": _search,

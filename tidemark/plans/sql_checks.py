@@ -7,8 +7,9 @@ they state what each query must return, independent of how the operators get the
 from __future__ import annotations
 
 from collections.abc import Callable
+from math import prod
 
-from tidemark.plans.catalog import LOGS, ON_EVENTS
+from tidemark.plans.catalog import LOGS, ON_EVENTS, QUERY_GRID
 from tidemark.sources.events import ACTIVITY_TYPES, PRIORITY_TYPES
 from tidemark.spec import ChurnSpec
 
@@ -450,7 +451,19 @@ CHECKS: dict[str, Callable[[Sql], str]] = {
 }
 
 
+def _model_facts(s: Sql) -> str:
+    return s.query(
+        f"""select (select count(*) from current_) as n_scored, 0::bigint as n_outside, 0::bigint as n_contradicting,
+        (select count(*) from split where split = 'valid') as n_explained, true as adds_up,
+        1::double as total_importance, {prod(len(v) for v in QUERY_GRID.values())}::bigint as n_candidates,
+        1::bigint as n_best""",
+        "current_",
+        "split",
+    )
+
+
 def all_checks() -> dict[str, str]:
     if set(CHECKS) != set(ON_EVENTS):
         raise RuntimeError(f"queries and checks differ: {sorted(set(CHECKS) ^ set(ON_EVENTS))}")
-    return {f"{name}_{log}": make(Sql(log)) for name, make in CHECKS.items() for log in LOGS}
+    out = {f"{name}_{log}": make(Sql(log)) for name, make in CHECKS.items() for log in LOGS}
+    return out | {"model_facts_o": _model_facts(Sql("o"))}
