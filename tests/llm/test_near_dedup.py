@@ -5,7 +5,11 @@ import numpy as np
 import pytest
 from brute import ODD, WORD, odd_table
 
-from tidemark.llm.near_dedup import components, minima, hash_functions, near_duplicates, shingle_set, signature_bits
+from pyspark.sql import functions as F
+
+from tidemark.llm.near_dedup import (
+    components, differing_bytes, hash_functions, minima, near_duplicates, shingle_set, signature,
+)
 
 TEST = "/root/testdata/sf0.001"
 
@@ -97,11 +101,21 @@ def test_signature_is_unbiased():
             a, b = np.sort(pool[: n + (400 - n) // 2]), np.sort(np.concatenate([pool[:n], pool[n + (400 - n) // 2 :]]))
             la, lb = minima(a, functions), minima(b, functions)
             errors.append((la == lb).mean() - share)
-            differing = int(np.bitwise_count(signature_bits(la) ^ signature_bits(lb)).sum())
-            assert abs(differing / 384 - (1 - share) / 2) < 0.12
+            bytes_equal = signature(la).view(np.uint8) == signature(lb).view(np.uint8)
+            assert ((la == lb) <= bytes_equal).all() and bytes_equal.mean() - (la == lb).mean() < 0.02
         assert abs(np.mean(errors)) < 0.02
 
 
+def test_differing_bytes(spark):
+    rng = np.random.default_rng(3)
+    x, y = rng.integers(-(1 << 62), 1 << 62, (2, 300))
+    y[:150] = x[:150] ^ (rng.integers(0, 256, 150) << rng.integers(0, 7, 150))
+    table = spark.createDataFrame(list(zip(x.tolist(), y.tolist(), strict=True)), "x long, y long")
+    for r in table.select("x", "y", differing_bytes(F.col("x"), F.col("y")).alias("n")).collect():
+        z = (r.x ^ r.y) & (1 << 64) - 1
+        assert r.n == sum(b != 0 for b in z.to_bytes(8, "little"))
+
+
 def test_components_of_random_links(spark):
     rng = random.Random(4)
     for n, m in ((1, 0), (30, 12), (60, 45), (60, 200)):

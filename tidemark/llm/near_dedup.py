@@ -5,7 +5,7 @@
    Documents with equal sets are one class, represented by the smallest id.
 2. Representatives that share a band key are in one bucket. Two sets with a similarity of 0.75 miss each other in all 64
    bands of 6 rows with a chance of 4 in a million, more similar ones far more seldom.
-3. Candidate pairs are compared by size, then by their signature bits, then confirmed on the full sets.
+3. Candidate pairs are compared by size, then by their signatures, then confirmed on the full sets.
 4. Buckets are not expanded into pairs. First each document is compared with one centre (the smallest id it shares a
    bucket with), and links are joined to components. Buckets whose members all lie in one component are done. In the
    others, members are compared with a centre drawn at random for each bucket (``CENTRES`` times), and at last, where a
@@ -34,8 +34,9 @@ SHINGLE = 5
 PERCENT = 75
 BANDS = 64
 ROWS = 6
-#: Standard deviations by which the agreement of signature bits may fall short of what the similarity lets expect.
-SLACK = 5
+#: Standard deviations by which the agreement of signatures may fall short of what the similarity lets expect. Sets that
+#: are exactly as similar as the limit fail by chance 3 times in 100,000, more similar ones far more seldom.
+SLACK = 4
 #: Rounds of comparison with random centres.
 CENTRES = 2
 #: Size of the bitmap of wanted ids, in bits (4 MB). It only saves work: rows that it lets through by chance do no harm.
@@ -83,10 +84,10 @@ def band_keys(low: np.ndarray, bands: int) -> np.ndarray:
     return key
 
 
-def signature_bits(low: np.ndarray) -> np.ndarray:
-    """One bit of each minimum, 64 in a number."""
-    bits = np.packbits(((low * _MIX) >> np.uint32(31)).astype(np.uint8))
-    return np.pad(bits, (0, -len(bits) % 8)).view(np.uint64)
+def signature(low: np.ndarray) -> np.ndarray:
+    """One byte of each minimum, eight in a number."""
+    some = ((low * _MIX) >> np.uint32(24)).astype(np.uint8)
+    return np.pad(some, (0, -len(some) % 8)).view(np.uint64)
 
 
 def describe(df: DataFrame, id_column: str, text_column: str, bands: int, rows: int) -> DataFrame:
@@ -96,7 +97,7 @@ def describe(df: DataFrame, id_column: str, text_column: str, bands: int, rows:
             T.StructField("n_shingles", T.LongType()),
             T.StructField("set_key", T.BinaryType()),
             T.StructField("bands", T.ArrayType(T.LongType())),
-            T.StructField("bits", T.ArrayType(T.LongType())),
+            T.StructField("signature", T.ArrayType(T.LongType())),
         ]
     )
 
@@ -107,7 +108,7 @@ def describe(df: DataFrame, id_column: str, text_column: str, bands: int, rows:
             shingles = shingle_set(text)
             if len(shingles) and key is not None:
                 low = minima(shingles, functions)
-                lists = band_keys(low, bands).view(np.int64).tolist(), signature_bits(low).view(np.int64).tolist()
+                lists = band_keys(low, bands).view(np.int64).tolist(), signature(low).view(np.int64).tolist()
                 yield key, len(shingles), hashlib.blake2b(shingles.tobytes(), digest_size=16).digest(), *lists
             else:
                 yield key, len(shingles), None, None, None
@@ -152,27 +153,36 @@ def full_sets(df: DataFrame, id_column: str, text_column: str, ids: DataFrame) -
     return stored(map_rows(rows_with(df.select(id_column, text_column), id_column, ids), schema, start))
 
 
-def max_differing_bits(bits: int, percent: int) -> int:
-    """Signature bits in which two sets of that similarity differ, with ``SLACK`` standard deviations to spare."""
-    p = (1 - percent / 100) / 2
-    return int(bits * p + SLACK * (bits * p * (1 - p)) ** 0.5)
+def least_equal(minima: int, percent: int) -> int:
+    """Bytes of a signature that two sets of that similarity share, with ``SLACK`` standard deviations to spare."""
+    p = percent / 100
+    p += (1 - p) / 256
+    return int(minima * p - SLACK * (minima * p * (1 - p)) ** 0.5)
 
 
-def may_be_linked(a: str, b: str, percent: int, bits: int) -> Column:
-    """Whether sizes and signature bits (columns of structs ``a`` and ``b``) leave a link possible."""
+def differing_bytes(x: Column, y: Column) -> Column:
+    """In how many of their eight bytes two numbers differ: the lowest bit of a byte gathers its other bits."""
+    z = x.bitwiseXOR(y)
+    for places in (4, 2, 1):
+        z = z.bitwiseOR(F.shiftrightunsigned(z, places))
+    return F.bit_count(z.bitwiseAND(F.lit(0x0101010101010101)))
+
+
+def may_be_linked(a: str, b: str, percent: int, minima: int) -> Column:
+    """Whether sizes and signatures (columns of structs ``a`` and ``b``) leave a link possible."""
     small, large = F.least(f"{a}.n_shingles", f"{b}.n_shingles"), F.greatest(f"{a}.n_shingles", f"{b}.n_shingles")
     differing = F.aggregate(
-        F.zip_with(f"{a}.bits", f"{b}.bits", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x
+        F.zip_with(f"{a}.signature", f"{b}.signature", differing_bytes), F.lit(0), lambda s, x: s + x
     )
-    return (100 * small >= percent * large) & (differing <= max_differing_bits(bits, percent))
+    return (100 * small >= percent * large) & (differing <= minima - least_equal(minima, percent))
 
 
-def confirmed(pairs: DataFrame, classes: DataFrame, df: DataFrame, names: tuple[str, str], percent: int, bits: int) -> DataFrame:
+def confirmed(pairs: DataFrame, classes: DataFrame, df: DataFrame, names: tuple[str, str], percent: int, minima: int) -> DataFrame:
     """Those of the pairs (a < b) that are links, checked by size and signature, then on the full sets."""
-    facts = classes.select("id", F.struct("n_shingles", "bits").alias("f"))
+    facts = classes.select("id", F.struct("n_shingles", "signature").alias("f"))
     for side in "ab":
         pairs = pairs.join(facts.select(F.col("id").alias(side), F.col("f").alias(f"f{side}")), side)
-    likely = stored(pairs.where(may_be_linked("fa", "fb", percent, bits)).select("a", "b"))
+    likely = stored(pairs.where(may_be_linked("fa", "fb", percent, minima)).select("a", "b"))
     ids = likely.select(F.explode(F.array("a", "b")).alias("id"))
     sets = full_sets(df, *names, ids)
     both = likely.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb")), "b").join(
@@ -249,7 +259,7 @@ def near_duplicates(
     linked with nothing. Rows that repeat an id share its component; if their texts differ, it is the smallest
     of any of them. Rows with a null id are linked with nothing, have no component and are kept. Other columns are ignored. An empty table gives no rows.
     """
-    names, bits = (id_column, text_column), bands * rows
+    names, minima = (id_column, text_column), bands * rows
     every = stored(describe(df, *names, bands, rows))
     sets = every.where("set_key is not null")
     copies = sets.groupBy("set_key").agg(F.min("id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
@@ -261,7 +271,7 @@ def near_duplicates(
     members = stored(members.join(buckets.select("key", "c"), "key"))
 
     def confirm(pairs: DataFrame) -> DataFrame:
-        return confirmed(pairs, classes, df, names, percent, bits)
+        return confirmed(pairs, classes, df, names, percent, minima)
 
     links = confirm(members.where("id > c").groupBy(F.col("id").alias("b")).agg(F.min("c").alias("a")))
     parts = components(links)
@@ -275,12 +285,12 @@ def near_duplicates(
         star = star.select(F.least("c.id", "id").alias("a"), F.greatest("c.id", "id").alias("b"))
         parts = joined_parts(parts, confirm(star.distinct()))
 
-    mixed = mixed_buckets(mixed, parts).join(classes.select("id", "n_shingles", "bits"), "id")
-    one, two = (mixed.select("key", F.struct("id", "component", "n_shingles", "bits").alias(s)) for s in ("x", "y"))
+    mixed = mixed_buckets(mixed, parts).join(classes.select("id", "n_shingles", "signature"), "id")
+    one, two = (mixed.select("key", F.struct("id", "component", "n_shingles", "signature").alias(s)) for s in ("x", "y"))
     across = one.join(two, "key").where(
         (F.col("x.id") < F.col("y.id"))
         & (F.col("x.component") != F.col("y.component"))
-        & may_be_linked("x", "y", percent, bits)
+        & may_be_linked("x", "y", percent, minima)
     )
     parts = joined_parts(parts, confirm(across.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()))
 
