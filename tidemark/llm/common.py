@@ -28,11 +28,19 @@ def ship_package(spark: SparkSession) -> None:
         _shipped.add(context.applicationId)
 
 
+def _cells(column: pa.Array) -> Callable:
+    """A function that gives the value of a row."""
+    kind = column.type
+    if not (pa.types.is_list(kind) and (pa.types.is_integer(kind.value_type) or pa.types.is_floating(kind.value_type))):
+        return lambda i: column[i].as_py()
+    return lambda i: column[i].values.to_numpy(zero_copy_only=False) if column[i].is_valid else None
+
+
 def map_rows(df: DataFrame, schema: T.StructType, start: Callable[[], Callable[..., Iterable[tuple]]]) -> DataFrame:
     """One call per row on Arrow batches; each call gives any number of rows of ``schema``.
 
-    ``start`` runs once per task and returns the function that is called with the columns of ``df``. If that
-    function has an attribute ``close``, its rows are added at the end of the task. Output goes back
+    ``start`` runs once per task and returns the function that is called with the columns of ``df``, arrays of
+    numbers as numpy arrays. If that function has an attribute ``close``, its rows are added at the end of the task. Output goes back
     in batches of some thousand rows, so memory does not follow the size of a partition.
     """
     ship_package(df.sparkSession)
@@ -48,8 +56,9 @@ def map_rows(df: DataFrame, schema: T.StructType, start: Callable[[], Callable[.
         call = start()
         out: list[tuple] = []
         for given in batches:
+            cells = [_cells(column) for column in given.columns]
             for i in range(given.num_rows):
-                out.extend(call(*(column[i].as_py() for column in given.columns)))
+                out.extend(call(*(cell(i) for cell in cells)))
                 if len(out) >= 4096:
                     yield batch(out)
                     out = []

@@ -12,6 +12,7 @@ result is the same as that of one search over the whole text. Where a model brea
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -26,7 +27,7 @@ from tidemark.llm.common import Memo, map_rows, per_process
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNKNOWN_PENALTY = 10.0
-MEMO_UNITS = 250_000
+MEMO_UNITS = 400_000
 LONGEST_UNIT = 64
 SLICE = 1 << 20
 
@@ -108,21 +109,27 @@ class Encoder:
     def search(self, text: str) -> np.ndarray:
         """The ids of the best segmentation of one unit."""
         n = len(text)
-        best, back = [0.0] + [None] * n, [None] * (n + 1)
-        found: list[list] = [[] for _ in range(n)]
-        for end, piece in self.automaton.iter(text):
-            found[end].append(piece)
-        for end in range(1, n + 1):
-            top, by, single = None, None, False
-            for piece in found[end - 1]:
-                length, score, _ = piece
-                total = best[end - length] + score
-                single = single or length == 1
-                if top is None or total > top:
-                    top, by = total, piece
-            if not single and (top is None or best[end - 1] + self.unknown_score > top):
-                top, by = best[end - 1] + self.unknown_score, (1, 0.0, -1)
-            best[end], back[end] = top, by
+        best, back = [0.0] + [-math.inf] * n, [None] * (n + 1)
+        known = bytearray(n + 1)  # 1: the character before the position is a piece itself
+        done = 0  # positions up to here have their best score
+
+        def settle(upto: int) -> None:
+            nonlocal done
+            while done < upto:
+                done += 1
+                if not known[done] and best[done - 1] + self.unknown_score > best[done]:
+                    best[done], back[done] = best[done - 1] + self.unknown_score, (1, 0.0, -1)
+
+        for last, piece in self.automaton.iter(text):
+            if done < last:
+                settle(last)
+            length, score, _ = piece
+            total = best[last + 1 - length] + score
+            if total > best[last + 1]:
+                best[last + 1], back[last + 1] = total, piece
+            if length == 1:
+                known[last + 1] = 1
+        settle(n)
         ids, at = [], n
         while at:
             length, _, piece = back[at]
@@ -171,7 +178,8 @@ class Decoder:
 
     def decode(self, ids) -> str:
         """The text of the ids; bytes that are no UTF-8 become replacement characters."""
-        text = b"".join(map(self.bytes.__getitem__, ids)).decode(errors="replace")
+        numbers = ids.tolist() if isinstance(ids, np.ndarray) else ids
+        text = b"".join(map(self.bytes.__getitem__, numbers)).decode(errors="replace")
         return text[1:] if self.dummy_prefix and text.startswith(" ") else text
 
 
