@@ -41,7 +41,7 @@ STEMS = (4, 5, 6, 7)
 NEAR = 5
 TREES, DEPTH = 20, 3
 PARTS = 4
-MEMO_WORDS = 250_000
+MEMO_WORDS = 600_000
 
 #: Common insults; the learned terms add those of the labelled texts.
 INSULTS = frozenset(
@@ -51,10 +51,12 @@ INSULTS = frozenset(
 SECOND_PERSON = frozenset("you your yours yourself u ur du dich dein deine ihr tu toi ton vous votre usted tú ustedes".split())
 
 _LEET = str.maketrans("013457@$!|", "oieastasil")
+_SIGNS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _EDGES = re.compile(r"^[\W_]+|[\W_]+$")
 _INNER = re.compile(r"[\W_]+")
+_DIGITS = re.compile(r"\d")
 _REPEAT = re.compile(r"([^\W\d_])\1{2,}")
-_HIT, _LEARNED, _YOU, _HIDDEN, _CAPS, _DIGIT = 1, 2, 4, 8, 16, 32
+_HIT, _YOU, _HIDDEN, _CAPS, _DIGIT, _LEARNED = 1, 2, 4, 8, 16, 32  # _LEARNED << i: in lexicon i
 _UPPER, _PUNCTUATION, _SYMBOLS, _MARKS = bytes(range(65, 91)), b".,;:'\"()-", b"#*$%&@^~<>|_=+", b"!?"
 
 FEATURES = (
@@ -66,10 +68,12 @@ FEATURES = (
 
 def plain_word(word: str) -> tuple[str, bool]:
     """The word in lower case without what hides it, and whether something hid it."""
-    bare = _EDGES.sub("", word).lower()
-    letters = _INNER.sub("", bare)
-    if not letters.isdigit():
-        letters = letters.translate(_LEET)
+    bare = letters = word.strip(_SIGNS).lower()
+    if not bare.isalpha():
+        bare = _EDGES.sub("", bare)
+        letters = _INNER.sub("", bare)
+        if not letters.isdigit():
+            letters = letters.translate(_LEET)
     letters = _REPEAT.sub(r"\1", letters)
     return letters, letters != bare and any(c.isalpha() for c in bare)
 
@@ -83,29 +87,32 @@ def text_words(text: str | None) -> list[bytes]:
     return (text or "").encode().split()
 
 
-def word_flags(terms: frozenset[str]):
+def word_flags(*lexicons: frozenset[str]) -> Memo:
+    """What a word is, as bits; at most eight lexicons."""
+
     def make(word: bytes) -> int:
         raw = word.decode()
         plain, hidden = plain_word(raw)
-        letters = [c for c in raw if c.isalpha()]
+        keys = keys_of(plain)
         return (
             _HIT * (plain in INSULTS)
-            + _LEARNED * any(k in terms for k in keys_of(plain))
             + _YOU * (plain in SECOND_PERSON)
             + _HIDDEN * hidden
-            + _CAPS * (len(letters) > 1 and all(c.isupper() for c in letters))
-            + _DIGIT * any(c.isdigit() for c in raw)
+            + _CAPS * (raw.isupper() and len(plain) > 1)
+            + _DIGIT * bool(_DIGITS.search(raw))
+            + sum(_LEARNED << i for i, terms in enumerate(lexicons) if not terms.isdisjoint(keys))
         )
 
     return Memo(make, MEMO_WORDS)
 
 
-def features(text: str | None, flags: Memo) -> list[float]:
+def features(text: str | None, flags: Memo, lexicon: int = 0) -> list[float]:
     data = (text or "").encode()
     words = data.split()
     n, size = max(len(words), 1), max(len(data), 1)
-    of = np.fromiter(map(flags.__getitem__, words), np.int8, len(words))
-    hits = (of & (_HIT | _LEARNED)) > 0
+    of = np.fromiter(map(flags.__getitem__, words), np.int16, len(words))
+    learned = _LEARNED << lexicon
+    hits = (of & (_HIT | learned)) > 0
     you = np.flatnonzero(of & _YOU)
     near = 0
     if len(you) and hits.any():
@@ -123,7 +130,7 @@ def features(text: str | None, flags: Memo) -> list[float]:
     def rate(chars: bytes) -> float:
         return (len(data) - len(data.translate(None, chars))) / size
 
-    insults, terms = count(_HIT), count(_LEARNED)
+    insults, terms = count(_HIT), count(learned)
     return [
         math.log1p(len(words)),
         float(min(insults, 20)),
@@ -151,8 +158,8 @@ def with_features(df: DataFrame, text_column: str, lexicons: list[frozenset[str]
     place = others.index(part_column) if part_column else None
 
     def start():
-        flags = [word_flags(terms) for terms in lexicons]
-        return lambda *row: [(*row[:-1], features(row[-1], flags[0 if place is None else row[place]]))]
+        flags = word_flags(*lexicons)
+        return lambda *row: [(*row[:-1], features(row[-1], flags, 0 if place is None else row[place]))]
 
     return map_rows(df.select(*others, text_column), schema, start)
 
@@ -182,20 +189,20 @@ def learned_terms(texts: DataFrame, max_terms: int) -> list[frozenset[str]]:
     )  # counts: clean and toxic documents of part 0, of part 1, ...
 
     def start():
-        seen: Counter = Counter()
+        seen = [Counter() for _ in range(2 * PARTS)]
         keys = Memo(lambda word: keys_of(plain_word(word.decode())[0]), MEMO_WORDS)
 
         def flush():
             rows: dict[str, list[int]] = {}
-            for (key, slot), n in seen.items():
-                rows.setdefault(key, [0] * (2 * PARTS))[slot] = n
-            seen.clear()
+            for slot, counts in enumerate(seen):
+                for key, n in counts.items():
+                    rows.setdefault(key, [0] * (2 * PARTS))[slot] = n
+                counts.clear()
             return list(rows.items())
 
         def call(text, toxic, part):
-            slot = 2 * part + toxic
-            seen.update({(k, slot) for word in set(text_words(text)) for k in keys[word]})
-            return flush() if len(seen) > 300_000 else ()
+            seen[2 * part + toxic].update(set().union(*map(keys.__getitem__, set(text_words(text)))))
+            return flush() if sum(map(len, seen)) > 300_000 else ()
 
         call.close = flush
         return call
