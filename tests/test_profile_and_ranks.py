@@ -191,3 +191,15 @@ def test_folds_are_even(spark, sizes):
     for label in sizes:
         per_fold = [sum(r.fold == k and r.is_churn == label for r in rows) for k in range(3)]
         assert max(per_fold) - min(per_fold) <= 1 and sum(per_fold) == sizes[label]
+
+
+@pytest.mark.parametrize("values", [
+    [1000 + i / 50000 for i in range(5000)] + [1e300],
+    [1 / (1 + 0.3 * n) for n in range(1000, 6000)],
+    [float("inf"), float("-inf"), *map(float, range(3000))],
+])
+def test_buckets_follow_the_data(spark, values):
+    """No bucket holds more than a few times the mean, however the values lie."""
+    frame = spark.createDataFrame([("g", v) for v in values], "g string, v double")
+    counts = ranks.value_counts(frame, "g", "v").groupBy("bucket").count().toPandas()["count"]
+    assert len(counts) > 50 and counts.max() <= 8 * counts.mean()

@@ -2,8 +2,8 @@ import datetime as dt
 
 import pytest
 
-from tidemark.operators import prepare, score
-from tidemark.sources import definitions, storage
+from tidemark.operators import grid, prepare, score
+from tidemark.sources import definitions, events, storage
 from tidemark.sources.events import activity_events, as_event_log, read_event_csv
 from tidemark.spec import DEFAULT_SPEC
 
@@ -134,3 +134,34 @@ def test_adapter_columns(spark):
         ("additional_data", "string"),
     ]
     assert df.where("product_id is null").count() == 14
+
+
+def test_csv_keeps_texts(spark, tmp_path):
+    """Blanks at the ends, empty text, NULL, quotes and line breaks survive; only an empty field is NULL."""
+    texts = [" a ", "  ", "", None, 'say "x"', "a,b", "line\nbreak", "NULL"]
+    now = dt.datetime(2024, 1, 1)
+    rows = [(f" id{i}", now, "view", i, t) for i, t in enumerate(texts)]
+    path = storage.write_csv(spark.createDataFrame(rows, events.EVENT_SCHEMA), str(tmp_path / "log.csv"))
+    back = events.read_event_csv(spark, path, multi_line=True).orderBy("product_id").collect()
+    assert [tuple(r) for r in back] == rows
+
+
+@pytest.mark.parametrize("column", ["account_id", "event_time", "event_type"])
+def test_missing_mandatory_values_are_found(spark, column):
+    row = {"account_id": "a", "event_time": dt.datetime(2024, 1, 1), "event_type": "view", "product_id": 1}
+    log = spark.createDataFrame([row, row | {column: None}], "account_id string, event_time timestamp_ntz, event_type string, product_id int")
+    with pytest.raises(ValueError, match=f"1 in {column}"):
+        grid.Grid.of(log, DEFAULT_SPEC)
+
+
+@pytest.mark.parametrize("label", ["NaN", "2", "0.5", "yes"])
+def test_odd_labels_fail(spark, label):
+    df = spark.createDataFrame([(label,)], "is_churn string")
+    for kind in ("string", "double") if label != "yes" else ("string",):
+        with pytest.raises(Exception, match="must be boolean, 0 or 1"):
+            prepare.coerce_label(df.withColumn("is_churn", df["is_churn"].cast(kind))).collect()
+
+
+def test_good_labels(spark):
+    df = spark.createDataFrame([("True",), ("1",), ("0.0",), ("false",)], "is_churn string")
+    assert [r[0] for r in prepare.coerce_label(df).collect()] == [1, 1, 0, 0]

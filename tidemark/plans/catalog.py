@@ -121,12 +121,16 @@ def _dataset_csv_roundtrip(events: DataFrame, spec: ChurnSpec) -> DataFrame:
     return back.withColumn("metric_time", F.col("metric_time").cast("timestamp_ntz"))
 
 
-def _from_stored_metrics(events: DataFrame, spec: ChurnSpec) -> DataFrame:
+def _stored_metrics(events: DataFrame, spec: ChurnSpec) -> DataFrame:
     grid_of_log = grid.Grid.of(events, spec)
-    table = metrics.union_metrics(
+    return metrics.union_metrics(
         stored(metrics.event_count_metrics(events, spec, grid_of_log)),
         stored(metrics.derived_metrics(events, spec, grid=grid_of_log)),
     )
+
+
+def _from_stored_metrics(events: DataFrame, spec: ChurnSpec) -> DataFrame:
+    table = _stored_metrics(events, spec)
     dataset = datasets.training_dataset_from_metrics(table, labels.observation(events, spec), spec)
     return date_text(dataset, "observation_date")
 
@@ -210,6 +214,7 @@ ON_EVENTS: dict[str, Callable[[DataFrame, ChurnSpec], DataFrame]] = {
     ),
     "training_dataset_from_metrics": _from_stored_metrics,
     "current_customer_dataset": datasets.current_customer_dataset,
+    "current_dataset_from_metrics": lambda e, s: datasets.current_dataset_from_metrics(_stored_metrics(e, s), s),
     "events_per_account_per_month": lambda e, s: rounded(
         quality.events_per_account_per_month(e),
         "events_per_account",

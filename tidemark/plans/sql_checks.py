@@ -418,6 +418,7 @@ CHECKS: dict[str, Callable[[Sql], str]] = {
     "churn_training_dataset": _training_text,
     "training_dataset_from_metrics": _training_text,
     "current_customer_dataset": lambda s: s.query("select * from current_", "current_"),
+    "current_dataset_from_metrics": lambda s: s.query("select * from current_", "current_"),
     "events_per_account_per_month": _per_month,
     "metric_coverage": _coverage,
     "metric_stats_over_time": _stats,
