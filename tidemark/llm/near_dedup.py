@@ -183,7 +183,7 @@ def confirmed(pairs: DataFrame, classes: DataFrame, df: DataFrame, names: tuple[
     for side in "ab":
         pairs = pairs.join(facts.select(F.col("id").alias(side), F.col("f").alias(f"f{side}")), side)
     likely = stored(pairs.where(may_be_linked("fa", "fb", percent, minima)).select("a", "b"))
-    ids = likely.select(F.explode(F.array("a", "b")).alias("id"))
+    ids = likely.select(F.col("a").alias("id")).distinct().union(likely.select(F.col("b").alias("id")).distinct())
     sets = full_sets(df, *names, ids)
     both = likely.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb")), "b").join(
         sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa")), "a"
