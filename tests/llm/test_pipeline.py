@@ -4,6 +4,7 @@ from collections import defaultdict
 
 import pytest
 from brute import base_facts, base_secrets, odd_table
+from pyspark.sql import functions as F
 from test_near_dedup import brute
 
 import corpus_pipeline
@@ -80,14 +81,17 @@ def test_run(spark, stages):
 
 
 def test_odd_rows(spark, tmp_path):
-    docs = odd_table(spark)
+    odd = odd_table(spark)
+    words = " ".join(f"w{'abcdefghij'[i % 10]}{'klmno'[i // 10]}" for i in range(50))
+    clean = odd.where("doc_id = 4").withColumns({"doc_id": F.lit(900).cast("long"), "text": F.lit(words)})
+    docs = odd.unionByName(clean)  # the odd ones all fail the base rules
     for name, stage in corpus_pipeline.STAGES:
         stage(spark, docs, TEST).write.parquet(str(tmp_path / name))
         after = spark.read.parquet(str(tmp_path / name))
         if name != "packing":
             assert after.columns == docs.columns
             docs = after
-    assert spark.read.parquet(str(tmp_path / "packing")).count() > 0
+    assert {r.doc_id for r in spark.read.parquet(str(tmp_path / "packing")).collect()} == {900}
     empty = odd_table(spark).limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, TEST).count() == 0
