@@ -83,7 +83,8 @@ def test_added_spans(spark):
     got = {r.doc_id: r.spans for r in find_pii(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     added = [{s.kind for s in got[i] if not s.base} for i in range(400)]
     assert sum({"email", "phone"} <= a for a in added) > 380
-    assert sum(bool(got[2000 + i]) for i in range(400)) < 20
+    # versions that look like addresses are base spans and stay; nothing is added
+    assert sum(any(not s.base for s in got[2000 + i]) for i in range(400)) < 20
 
 
 def test_estimate_finds_the_bad_labeler():
