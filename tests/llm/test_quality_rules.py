@@ -58,6 +58,21 @@ def test_boilerplate_goes_and_copies_stay(crowd):
     assert got[600].kept and got[600].n_words_left == got[600].n_words
 
 
+def test_documents_that_are_mostly_boilerplate(spark):
+    """A shared license with a line of its own in each document goes; near copies changed in any line stay."""
+    rng = random.Random(8)
+    license_text = "\n".join(words(rng, 50) for _ in range(8))
+    rows = [(i, f"{license_text}\n{words(rng, 5)}", "h") for i in range(60)]
+    lines = [words(rng, 10).split() for _ in range(8)]
+    for i in range(60):
+        near = [list(line) for line in lines]
+        near[i % 8][i % 10] = words(rng, 1)
+        rows.append((100 + i, "\n".join(map(" ".join, near)), "h"))
+    got = {r.doc_id: r for r in quality_rules(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert all(not got[i].kept and not got[i].base_failed and got[i].n_words_left == 5 for i in range(60))
+    assert all(got[100 + i].kept and got[100 + i].n_words_left == 80 for i in range(60))
+
+
 def test_odd_rows(spark):
     rows = quality_rules(odd_table(spark)).collect()
     assert len(rows) == len(ODD) + 3

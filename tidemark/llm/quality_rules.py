@@ -4,20 +4,26 @@ Lines are normalised (lower case, digits to 0, single blanks) and hashed. For ea
 documents are counted; a line found in more of them than both limits allow is boilerplate and removed. A document
 that is left with too few words is depleted and rejected.
 
-*Distinct* documents: copies and near copies of one text must not make its own lines look like boilerplate.
-Each text has a sketch, the smallest hash of its three-word windows; documents with the same sketch count
-once. Near copies nearly always share it, documents with a common passage seldom do.
+*Distinct* documents: the distinct whole normalised texts. Copies and near copies of one text must not make its own
+lines look like boilerplate, so near copies count once too. Documents are near copies if
+
+* their whole texts are linked by the comparison of full sets in ``near_dedup``, and
+* so are their own texts: what is left without the lines that too many distinct texts of the host have, and without
+  edited versions of such lines. Two texts without anything of their own are near copies.
+
+Documents that share a long license and little else are linked as wholes, but each has a text of its own.
 """
 
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.common import BLANKS, map_rows
 from tidemark.llm.hashing import hash64, window_hashes, word_hashes
+from tidemark.llm.near_dedup import near_duplicates
 from tidemark.sources.storage import stored
 
 SYMBOLS = b"#*$%&|<>"
@@ -30,6 +36,8 @@ MAX_SHARE = 0.01
 #: A document is depleted if fewer words, or a smaller share of its words, are left.
 MIN_WORDS_LEFT = 10
 MIN_SHARE_LEFT = 0.3
+#: A line is an edited version of others if this share of its two-word windows is found in them.
+MIN_SHARE_EDITED = 0.5
 #: Stands for a missing host.
 NO_HOST = "\x00null"
 
@@ -54,8 +62,24 @@ def repeated_words(hashes: np.ndarray, width: int = WINDOW) -> int:
     return int((np.cumsum(edges[:-1]) > 0).sum())
 
 
+def normal_lines(data: bytes) -> list[list[bytes]]:
+    """The words of each normalised line that has any."""
+    return [parts for parts in (line.split() for line in data.translate(_NORMAL).split(b"\n")) if parts]
+
+
+def line_key(parts: list[bytes]) -> int:
+    return hash64(b" ".join(parts))
+
+
+def document_key(text: Column) -> Column:
+    """A hash of the whole normalised text."""
+    upper, digits = "".join(map(chr, range(65, 91))), "123456789"
+    normal = F.translate(F.coalesce(text, F.lit("")), upper + digits, upper.lower() + "0" * 9)
+    return F.xxhash64(F.trim(F.regexp_replace(normal, r"[ \t\n\x0B\f\r]+", " ")))
+
+
 def text_facts(text: str) -> tuple:
-    """(n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, sketch, line hashes, line words)."""
+    """(n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, line hashes, line words)."""
     data = text.encode()
     words = data.split()
     hashes = word_hashes(words)
@@ -63,19 +87,15 @@ def text_facts(text: str) -> tuple:
     word_chars = len(text) - (len(data) - len(data.translate(None, BLANKS)))
     lines = [line for line in data.split(b"\n") if line.strip(BLANKS)]
     counts: dict[int, int] = {}
-    for line in data.translate(_NORMAL).split(b"\n"):
-        parts = line.split()
-        if parts:
-            key = hash64(b" ".join(parts))
-            counts[key] = counts.get(key, 0) + len(parts)
-    sketch = window_hashes(hashes, min(3, len(words))) if words else np.zeros(0, np.uint64)
+    for parts in normal_lines(data):
+        key = line_key(parts)
+        counts[key] = counts.get(key, 0) + len(parts)
     return (
         len(words),
         word_chars,
         n_symbols,
         len(lines) - len(set(lines)),
         repeated_words(hashes),
-        int(sketch.min().view(np.int64)) if len(sketch) else 0,
         list(counts),
         list(counts.values()),
     )
@@ -83,12 +103,13 @@ def text_facts(text: str) -> tuple:
 
 def document_facts(df: DataFrame, id_column: str, text_column: str, host_column: str) -> DataFrame:
     """Facts of every text and its distinct lines, with a number for the row."""
-    longs = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "sketch")
+    longs = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     schema = T.StructType(
         [
             T.StructField("_row", T.LongType()),
             T.StructField(id_column, df.schema[id_column].dataType),
             T.StructField("_host", T.StringType()),
+            T.StructField("_doc", T.LongType()),
             *(T.StructField(c, T.LongType()) for c in longs),
             T.StructField("line_hash", T.ArrayType(T.LongType())),
             T.StructField("line_words", T.ArrayType(T.IntegerType())),
@@ -96,26 +117,107 @@ def document_facts(df: DataFrame, id_column: str, text_column: str, host_column:
     )
 
     def start():
-        def call(row, key, host, text):
-            yield row, key, NO_HOST if host is None else host, *text_facts(text or "")
+        def call(row, key, host, doc, text):
+            yield row, key, NO_HOST if host is None else host, doc, *text_facts(text or "")
 
         return call
 
-    rows = df.select(F.monotonically_increasing_id(), id_column, F.col(host_column).cast("string"), text_column)
+    text = F.col(text_column)
+    rows = df.select(
+        F.monotonically_increasing_id(), id_column, F.col(host_column).cast("string"), document_key(text), text
+    )
     return map_rows(rows, schema, start)
 
 
-def boilerplate_lines(facts: DataFrame, max_documents: int, max_share: float) -> DataFrame:
+def own_texts(holders: DataFrame, texts: DataFrame) -> DataFrame:
+    """(_host, _doc, component, text): the lines of each document that are neither among those it has in ``holders``
+    (_host, _doc, line_hash, component) nor edited versions of any that its component has there.
+
+    Documents without such lines have no row.
+    """
+    schema = T.StructType(
+        [
+            T.StructField("_host", T.StringType()),
+            T.StructField("_doc", T.LongType()),
+            T.StructField("component", T.LongType()),
+            T.StructField("place", T.LongType()),
+            T.StructField("held", T.BooleanType()),
+            T.StructField("line", T.StringType()),
+            T.StructField("windows", T.ArrayType(T.LongType())),
+        ]
+    )
+
+    def start():
+        def call(host, doc, component, held, text):
+            held = set(held.tolist())
+            for place, parts in enumerate(normal_lines(text.encode())):
+                windows = np.unique(window_hashes(word_hashes(parts), min(2, len(parts)))).view(np.int64)
+                yield host, doc, component, place, line_key(parts) in held, b" ".join(parts).decode(), windows.tolist()
+
+        return call
+
+    of_doc = holders.groupBy("_host", "_doc", "component").agg(F.collect_set("line_hash").alias("held"))
+    lines = stored(map_rows(of_doc.join(texts, "_doc").select("_host", "_doc", "component", "held", "text"), schema, start))
+    window, line = F.explode("windows").alias("window"), ("_host", "_doc", "place")
+    known = lines.where("held").select("_host", "component", window).distinct()
+    found = lines.where("not held").select(*line, "component", window).join(known, ["_host", "component", "window"])
+    found = found.groupBy(*line).agg(F.count("*").alias("found"))
+    edited = F.coalesce("found", F.lit(0)) >= F.size("windows") * F.lit(MIN_SHARE_EDITED)
+    own = lines.where("not held").join(found, [*line], "left").where(~edited)
+    parts = F.array_sort(F.collect_list(F.struct("place", "line")))
+    return own.groupBy("_host", "_doc", "component").agg(F.concat_ws("\n", F.transform(parts, lambda p: p["line"])).alias("text"))
+
+
+def document_classes(pairs: DataFrame, holders: DataFrame, texts: DataFrame) -> DataFrame:
+    """``pairs`` (_host, _doc) with ``class``, the same for near copies.
+
+    ``holders`` has the lines (_host, _doc, line_hash) that too many texts have, ``texts`` one text of each _doc.
+    """
+
+    def linked(rows: DataFrame, key: str, name: str) -> DataFrame:
+        found = near_duplicates(rows, id_column=key, text_column="text")
+        return stored(found.select(key, F.col("component_id").alias(name)))
+
+    parts = linked(texts, "_doc", "component")
+    groups = parts.groupBy("component").agg(F.count("*").alias("n")).where("n > 1").select("component")
+    shared = holders.join(parts.join(groups, "component", "left_semi"), "_doc")
+    own = stored(own_texts(shared, texts).withColumn("_key", F.xxhash64("_host", "_doc")))
+    own = own.select("_host", "_doc", "_key").join(linked(own, "_key", "own"), "_key").drop("_key")
+    placed = pairs.join(parts, "_doc").join(own, ["_host", "_doc"], "left")
+    return stored(placed.select("_host", "_doc", F.struct("component", "own").alias("class")))
+
+
+def boilerplate_lines(
+    facts: DataFrame, df: DataFrame, text_column: str, max_documents: int, max_share: float
+) -> DataFrame:
     """(host, line hash) of the lines above both limits.
 
-    A copy group of any size adds one to a count, and repeated rows of a key meet in partial
-    aggregates first, so no line or host is a hot key of the exchange.
+    Near copies make counts smaller only, so they are looked for among the documents that a line above the first
+    limit has, and, where the share can be the higher limit, among all of the host. A copy group of any size adds one to a
+    count, and repeated rows of a key meet in partial aggregates first, so no line or host is a hot key of the exchange.
     """
-    lines = facts.select("_host", "sketch", F.explode("line_hash").alias("line_hash")).distinct()
-    per_line = lines.groupBy("_host", "line_hash").agg(F.count("*").alias("_docs"))
-    hosts = facts.select("_host", "sketch").distinct().groupBy("_host").agg(F.count("*").alias("_all"))
-    found = per_line.where(F.col("_docs") > max_documents).join(hosts, "_host")
-    return found.where(F.col("_docs") > F.col("_all") * max_share).select("_host", "line_hash")
+    lines = facts.select("_host", "_doc", F.explode("line_hash").alias("line_hash")).distinct()
+    many = lines.groupBy("_host", "line_hash").agg(F.count("*").alias("_docs")).where(F.col("_docs") > max_documents)
+    many = stored(many.select("_host", "line_hash"))
+    if many.isEmpty():
+        return many
+    holders = stored(lines.join(many, ["_host", "line_hash"], "left_semi"))
+    pairs = stored(facts.select("_host", "_doc").distinct().join(many.select("_host").distinct(), "_host", "left_semi"))
+    hosts = pairs.groupBy("_host").agg(F.count("*").alias("_all"))
+    large = hosts.where(F.col("_all") * max_share > max_documents).select("_host")
+    wanted = holders.select("_host", "_doc").unionByName(pairs.join(large, "_host", "left_semi")).distinct()
+    wanted = stored(wanted)
+
+    texts = df.select(document_key(F.col(text_column)).alias("_doc"), F.coalesce(text_column, F.lit("")).alias("text"))
+    texts = stored(texts.join(wanted.select("_doc").distinct(), "_doc", "left_semi").dropDuplicates(["_doc"]))
+    classes = document_classes(wanted, holders, texts)
+    per_line = holders.join(classes, ["_host", "_doc"]).select("_host", "line_hash", "class").distinct()
+    per_line = per_line.groupBy("_host", "line_hash").agg(F.count("*").alias("_docs"))
+    # of other hosts the share is below the first limit, with or without near copies
+    totals = classes.join(large, "_host", "left_semi").select("_host", "class").distinct()
+    totals = totals.groupBy("_host").agg(F.count("*").alias("_all"))
+    found = per_line.where(F.col("_docs") > max_documents).join(totals, "_host", "left")
+    return found.where(F.col("_docs") > F.coalesce("_all", F.lit(0)) * max_share).select("_host", "line_hash")
 
 
 def quality_rules(
@@ -136,12 +238,13 @@ def quality_rules(
     host of its own. Repeated rows share their verdict; each keeps its row. Other columns are
     ignored. An empty table gives no rows.
 
-    The facts (no text) are written once to the shared folder and read for the count and the verdict.
+    The facts (no text) are written once to the shared folder and read for the count and the verdict; so are the
+    distinct texts among which near copies are looked for.
     """
     facts = stored(document_facts(df, id_column, text_column, host_column))
     lines = facts.select("_row", "_host", F.inline(F.arrays_zip("line_hash", "line_words")))
     removed = (
-        lines.join(boilerplate_lines(facts, max_documents, max_share), ["_host", "line_hash"])
+        lines.join(boilerplate_lines(facts, df, text_column, max_documents, max_share), ["_host", "line_hash"])
         .groupBy("_row")
         .agg(F.sum("line_words").alias("_removed"))
     )
@@ -151,7 +254,7 @@ def quality_rules(
         F.col("n_words_left") < F.col("n_words") * F.lit(float(min_share_left))
     )
     return (
-        facts.drop("line_hash", "line_words", "sketch", "_host")
+        facts.drop("line_hash", "line_words", "_host", "_doc")
         .join(removed, "_row", "left")
         .withColumn("n_words_left", left.cast("long"))
         .withColumn("base_failed", failed)
