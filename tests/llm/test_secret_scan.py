@@ -57,6 +57,21 @@ def test_added_rules(text, kinds):
     assert all((s, e) == (2, 2 + len(text)) for _, s, e in got)
 
 
+def test_the_body_of_a_private_key_is_redacted(spark):
+    lines = ["MIIEpAIBAAKCAQEA" + "aB3+/xYz" * 6, "q9" * 32, "Zk8="]
+    encrypted = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0123ABCD\n\n"
+    begin, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    keys = [
+        "\n".join([begin, *lines, end]), "\r\n".join([begin, *lines, end]), "\\n".join([begin, *lines, end]),
+        "\n  ".join([begin, *lines, end]), " ".join([begin, *lines, end]), f"{begin}\n{encrypted}" + "\n".join([*lines, end]),
+        "\n".join([begin, *lines[:2]]),
+    ]
+    texts = [f"é before {k}\nafter it" for k in keys] + [f"{begin}\nis the first line of a key\n{keys[0]}"]
+    got = dict(redact_secrets(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")).collect())
+    assert all(got[i] == "é before [SECRET]\nafter it" for i in range(len(keys)))
+    assert got[len(keys)] == "[SECRET]\nis the first line of a key\n[SECRET]"
+
+
 def test_any_rules_can_be_given(spark):
     rules = (Rule("id", r"ID-[0-9]{3,5}"), Rule("word", r"(?:foo|bar)+x?"))
     table = spark.createDataFrame([(1, "ID-1234567 foobarx ID-12 bar")], "doc_id int, text string")

@@ -23,12 +23,20 @@ from tidemark.llm.common import map_rows, per_process
 
 @dataclass(frozen=True)
 class Rule:
-    """``shortest`` bytes at least must be in group ``group`` of ``pattern``, or the match is dropped."""
+    """``shortest`` bytes at least must be in group ``group`` of ``pattern``, or the match is dropped.
+
+    A match takes in as much of ``tail`` as follows it; the search for matches does not need it.
+    """
 
     kind: str
     pattern: str
     shortest: int = 1
     group: int = 0
+    tail: str = ""
+
+    @property
+    def whole(self) -> str:
+        return f"{self.pattern}(?:{self.tail})?" if self.tail else self.pattern
 
 
 # Fixed values of the contract: the base rules, in the order in which kinds are listed.
@@ -42,12 +50,19 @@ BASE_RULES = (
     Rule("access", r"AKIA[A-Z0-9]+", 18),
     Rule("hex", r"[0-9a-f]{16}[0-9a-f]*", 16),
 )
+_BLANK = r"(?:\s|\\[rn])"
+_PEM_HEADER = r"(?:Proc-Type|DEK-Info):\x20?[A-Za-z0-9,-]+"
+#: The rest of a key in PEM: all of it to the END line, or, where that is missing, the headers and the long lines.
+_PEM_BODY = (
+    rf"{_BLANK}*(?:{_PEM_HEADER}{_BLANK}+)*(?:[A-Za-z0-9+/=]|{_BLANK})*-----END ([A-Z]+ )*PRIVATE KEY-----"
+    rf"|(?:{_BLANK}+(?:{_PEM_HEADER}|[A-Za-z0-9+/=]{{40,}}))+"
+)
 #: Well-known public forms of keys that the base rules miss.
 MORE_RULES = (
     Rule("github", r"gh[pousr]_[A-Za-z0-9]+", 40),
     Rule("google", r"AIza[A-Za-z0-9_-]+", 39),
     Rule("stripe", r"[rs]k_live_[A-Za-z0-9]+", 32),
-    Rule("pem", r"-----BEGIN ([A-Z]+ )*PRIVATE KEY-----"),
+    Rule("pem", r"-----BEGIN ([A-Z]+ )*PRIVATE KEY-----", tail=_PEM_BODY),
 )
 RULES = BASE_RULES + MORE_RULES
 
@@ -320,9 +335,9 @@ def compile_rules(rules: tuple[Rule, ...]) -> Scanner:
     return Scanner(
         rules,
         compile_trees(trees, anywhere=True),
-        [compile_trees([t], anywhere=False) for t in trees],
+        [compile_trees([parse(r.whole)], anywhere=False) for r in rules],
         [compile_trees([mirrored(t)], anywhere=False) for t in trees],
-        [re.compile(r.pattern.encode()) for r in rules],
+        [re.compile(r.whole.encode()) for r in rules],
     )
 
 
