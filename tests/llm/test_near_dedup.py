@@ -1,5 +1,7 @@
+import math
 import random
 from collections import defaultdict
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -8,7 +10,8 @@ from brute import ODD, WORD, odd_table
 from pyspark.sql import functions as F
 
 from tidemark.llm.near_dedup import (
-    components, differing_bytes, hash_functions, minima, near_duplicates, shingle_set, signature,
+    BANDS, PERCENT, ROWS, components, differing_bytes, hash_functions, least_equal, minima, near_duplicates, shingle_set,
+    signature,
 )
 
 TEST = "/root/testdata/sf0.001"
@@ -55,6 +58,14 @@ def held(rows, texts):
     assert len(rows) == len(texts) and all(r.kept == (r.doc_id == r.component_id) for r in rows)
 
 
+def test_signatures_lose_less_than_bands():
+    p = PERCENT / 100
+    count, same = BANDS * ROWS, Fraction(PERCENT, 100) + Fraction(100 - PERCENT, 100) / 256
+    least = least_equal(count, PERCENT)
+    lost = sum(math.comb(count, k) * same**k * (1 - same) ** (count - k) for k in range(least))
+    assert lost < (1 - p**ROWS) ** BANDS
+
+
 @pytest.mark.parametrize("folder", ["sf0.001", "sf0.01"])
 def test_all_documents(spark, folder):
     docs = spark.read.parquet(f"/root/testdata/{folder}/documents.parquet")

@@ -35,8 +35,8 @@ PERCENT = 75
 BANDS = 64
 ROWS = 6
 #: Standard deviations by which the agreement of signatures may fall short of what the similarity lets expect. Sets that
-#: are exactly as similar as the limit fail by chance 3 times in 100,000, more similar ones far more seldom.
-SLACK = 4
+#: are exactly as similar as the limit fail by chance less often than they miss each other in all bands.
+SLACK = 5
 #: Rounds of comparison with random centres.
 CENTRES = 2
 #: Size of the bitmap of wanted ids, in bits (4 MB). It only saves work: rows that it lets through by chance do no harm.
