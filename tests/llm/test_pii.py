@@ -5,7 +5,7 @@ import pytest
 from brute import ODD, joined, odd_table, sha
 from pyspark.sql import functions as F
 
-from tidemark.llm.pii import KINDS, estimate, find_pii, luhn, running_sums, train
+from tidemark.llm.pii import KINDS, candidates, estimate, find_pii, luhn, running_sums, train
 from tidemark.llm.queries import op2_pii
 
 TEST = "/root/testdata/sf0.01"
@@ -57,6 +57,22 @@ def test_random_texts_like_regular_expressions(spark):
         assert got == base_spans(texts[r.doc_id]), texts[r.doc_id]
 
 
+def test_wide_matches_do_not_depend_on_the_rest_of_the_text(spark):
+    alone = {
+        "email": ["jo at mail [dot] com", "jo at mail(dot)com", "jo at mail dot com", "jo[at]mail dot com", "jo[at]mail[dot]com"],
+        "ip": ["fe:dc:ba:ab:cd:ef:fa:ce", "1:2:3:4:5:6:7:8"],
+        "card": ["4111.1111.1111.1111"],
+        "phone": ["(555) 123-4567"],
+    }
+    opener = "[at] (at) 1 dot [dot] (dot) :a: 0000.0000. 000-0000 "  # opens every gate
+    texts = [(kind, before, t) for kind, some in alone.items() for t in some for before in ("", opener)]
+    table = spark.createDataFrame([(i, b + t) for i, (_, b, t) in enumerate(texts)], "doc_id long, text string")
+    for r in candidates(table, "doc_id", "text").collect():
+        kind, before, text = texts[r.doc_id]
+        found = {(c.kind, c.start, c.end) for c in r.candidates}
+        assert (kind, len(before), len(before) + len(text)) in found, before + text
+
+
 def test_many_matches_and_long_runs(spark):
     texts = {
         1: "é x@y.zz " * 3000,

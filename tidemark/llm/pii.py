@@ -194,9 +194,10 @@ def candidates(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
         "card": F.when(F.col("_digit"), F.rlike("_text", F.lit(r"[0-9](?:[ -]?[0-9]){9}"))).otherwise(False),
         "phone": F.col("_digit") & has("+"),
     }
+    # each is a necessary condition of its pattern
     wide = {
-        "email": has("[at]", "(at)", " dot "),
-        "ip": F.when(F.col("_digit"), F.rlike("_text", F.lit(r":[0-9A-Fa-f]{1,4}:"))).otherwise(False),
+        "email": has("[dot]", "(dot)", " dot "),
+        "ip": F.when(has(":"), F.rlike("_text", F.lit(r":[0-9A-Fa-f]{1,4}:"))).otherwise(False),
         "card": F.when(F.col("_digit"), F.rlike("_text", F.lit(r"[0-9]{4}\.[0-9]{4}\."))).otherwise(False),
         "phone": F.when(F.col("_digit"), F.rlike("_text", F.lit(r"[0-9]{3}[.-][0-9]{4}"))).otherwise(False),
     }
