@@ -2,8 +2,8 @@
 
 Each stage takes (spark, docs, sf_dir) and works on all rows its predecessor kept. All but the last return the columns of
 ``documents``; the last returns the packed pieces. A document that a stage rejects is gone for the later ones.
-Rows that share a doc_id share their fate: all go if one is rejected. Null doc_ids count as one
-id here. Null and empty texts fail the quality rules.
+Rows are rejected one by one, by a key that each stage writes once beside its input: rows that share a doc_id, or have none,
+do not share their fate. Null and empty texts fail the quality rules.
 """
 
 from __future__ import annotations
@@ -16,26 +16,40 @@ from tidemark.llm.queries import TOKENIZERS
 from tidemark.sources.storage import stored
 
 
+KEY = "_stage_row"
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """The documents with a number for the row, stored so that every read sees the same numbers."""
+    return stored(docs.withColumn(KEY, F.monotonically_increasing_id()))
+
+
 def without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    """The documents whose id is not in ``rejected``; their columns as they are."""
-    ids = rejected.select(F.col("doc_id").alias("_rejected")).distinct()
-    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_rejected")), "left_anti")
+    """The rows of ``docs``, made by ``keyed``, whose number is not in ``rejected``; their columns as they were."""
+    return docs.join(rejected.select(KEY), KEY, "left_anti").drop(KEY)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that fail the base rules, or that boilerplate lines have left with too little."""
-    return without(docs, stored(quality_rules.quality_rules(docs).where("not kept").select("doc_id")))
+    docs = keyed(docs)
+    return without(docs, stored(quality_rules.quality_rules(docs, id_column=KEY).where("not kept").select(KEY)))
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents predicted to be toxic by a model fitted on the labelled ones among ``docs``."""
+    docs = keyed(docs)
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return without(docs, stored(toxicity.score(docs, model).where("predicted = 1").select("doc_id")))
+    return without(docs, stored(toxicity.score(docs, model, id_column=KEY).where("predicted = 1").select(KEY)))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document, the one with the smallest id, of each group of near duplicates."""
-    return without(docs, stored(near_dedup.near_duplicates(docs).where("not kept").select("doc_id")))
+    """Keeps one row, the one with the smallest id, of each group of near duplicates. Missing ids come last."""
+    docs = keyed(docs)
+    found = near_dedup.near_duplicates(docs, id_column=KEY).select(KEY, "component_id")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", KEY)
+    placed = stored(found.join(docs.select(KEY, order.alias("place")), KEY))
+    first = placed.groupBy("component_id").agg(F.min("place").alias("first"))
+    return without(docs, stored(placed.join(first, "component_id").where("place != first").select(KEY)))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -80,6 +80,24 @@ def test_run(spark, stages):
     assert got.agg({"length": "sum"}).first() == stages["packing"].agg({"length": "sum"}).first()
 
 
+def test_clean_rows_stay_beside_rejected_ones_with_their_id(spark, stages):
+    docs = stages["documents"].where("length(text) > 400").orderBy("doc_id").limit(40)
+    clean = sorted(r.doc_id for r in stages["secret_scan"].join(docs.select("doc_id"), "doc_id").collect())[:4]
+    texts = rows(docs)
+    shared = [(None, "short"), (None, texts[clean[0]].text), (7, None), (7, texts[clean[1]].text)]
+    table = spark.createDataFrame(
+        [(i, t, "en", "s", len(t or "")) for i, t in shared], "doc_id long, text string, lang string, source string, n_chars long"
+    )
+    after = corpus_pipeline.quality(spark, table, TEST)
+    assert after.columns == table.columns
+    assert sorted((r.doc_id or 0, r.text) for r in after.collect()) == sorted((i or 0, t) for i, t in shared[1::2])
+    # of near duplicates one row goes, not the other rows with its id
+    more = [(1, texts[clean[2]].text), (7, texts[clean[2]].text), (7, texts[clean[3]].text), (None, texts[clean[3]].text)]
+    table = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in more], table.schema)
+    after = corpus_pipeline.near_duplicates(spark, table, TEST).collect()
+    assert sorted((r.doc_id, r.text) for r in after) == [more[0], more[2]]
+
+
 def test_odd_rows(spark, tmp_path):
     odd = odd_table(spark)
     words = " ".join(f"w{'abcdefghij'[i % 10]}{'klmno'[i // 10]}" for i in range(50))
