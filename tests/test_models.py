@@ -7,10 +7,12 @@ import math
 import numpy as np
 import pytest
 from conftest import TESTDATA
+from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.feature import VectorAssembler
 
 from tidemark.operators import evaluate, explain, prepare, score, train
 from tidemark.plans import pipeline
-from tidemark.plans.catalog import LOGS
+from tidemark.plans.catalog import LOGS, QUERY_GRID
 from tidemark.sources.storage import load_model, save_model
 
 FEATURES = ["a", "b", "c"]
@@ -40,6 +42,32 @@ def test_grid_of_the_full_search():
     assert math.prod(len(v) for v in train.FULL_GRID.values()) == 48
 
 
+def test_queries_search_the_full_grid():
+    assert QUERY_GRID == train.FULL_GRID
+    assert QUERY_GRID["n_estimators"] == [100, 250] and QUERY_GRID["max_depth"] == [2, 3, 4]
+
+
+def test_one_chain_serves_all_tree_counts(data, monkeypatch):
+    rows = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(data.train)
+    rows = rows.selectExpr("cast(is_churn as double) as is_churn", "features").coalesce(1).cache()
+    settings = {"labelCol": "is_churn", "lossType": "logistic", "seed": 5, "maxDepth": 2, "subsamplingRate": 0.8}
+    settings["featureSubsetStrategy"] = "0.8"
+    booster, fits = train.ChainedGBT(**settings), []
+    candidates = [{booster.maxIter: n, booster.stepSize: s} for n in (2, 6) for s in (0.1, 0.3)]
+    fit = GBTClassifier.fit
+    monkeypatch.setattr(train.ChainedGBT, "fit", lambda *a: fits.append(a[2]) or fit(*a))
+    chained = dict(booster.fitMultiple(rows, candidates))
+    assert [f[booster.maxIter] for f in fits] == [6, 6]
+    for i, c in enumerate(candidates):
+        alone = GBTClassifier(**settings, maxIter=c[booster.maxIter], stepSize=c[booster.stepSize]).fit(rows)
+        assert chained[i].getNumTrees == alone.getNumTrees == c[booster.maxIter]
+        assert chained[i].treeWeights == alone.treeWeights
+        assert [r.probability for r in chained[i].transform(rows, c).collect()] == [
+            r.probability for r in alone.transform(rows).collect()
+        ]
+    rows.unpersist()
+
+
 def test_search_finds_the_signal(data, trained):
     assert data.features == FEATURES
     assert trained.best_cv_roc_auc > 0.8

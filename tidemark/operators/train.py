@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
+from threading import Lock
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier
+from pyspark import SparkContext
+from pyspark.ml import PipelineModel
+from pyspark.ml.base import _FitMultipleIterator
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
@@ -67,6 +70,43 @@ class Trained:
         )
 
 
+def first_trees(model: GBTClassificationModel, count: int) -> GBTClassificationModel:
+    """The model after ``count`` rounds of boosting: a round does not depend on how many follow."""
+    java, gateway = model._java_obj, SparkContext._active_spark_context._gateway
+    ml = gateway.jvm.org.apache.spark.ml
+    trees, weights = java.trees(), java.treeWeights()
+    kept = gateway.new_array(ml.regression.DecisionTreeRegressionModel, count)
+    kept_weights = gateway.new_array(gateway.jvm.double, count)
+    for i in range(count):
+        kept[i], kept_weights[i] = trees[i], weights[i]
+    shorter = ml.classification.GBTClassificationModel(f"{model.uid}_{count}", kept, kept_weights, model.numFeatures, 2)
+    return model._copyValues(GBTClassificationModel(shorter))
+
+
+class ChainedGBT(GBTClassifier):
+    """Candidates that differ in the number of trees only are fitted as one chain of the greatest number."""
+
+    def fitMultiple(self, dataset: DataFrame, paramMaps: Sequence[Mapping]) -> Iterator[tuple[int, GBTClassificationModel]]:
+        def rest(params: Mapping) -> tuple:
+            return tuple(sorted((p.name, v) for p, v in params.items() if p != self.maxIter))
+
+        def length(params: Mapping) -> int:
+            return params.get(self.maxIter, self.getMaxIter())
+
+        chains = {rest(p): (Lock(), []) for p in paramMaps}
+        longest = {key: max((p for p in paramMaps if rest(p) == key), key=length) for key in chains}
+
+        def fit_one(index: int) -> GBTClassificationModel:
+            params = paramMaps[index]
+            lock, fitted = chains[rest(params)]
+            with lock:
+                if not fitted:
+                    fitted.append(self.fit(dataset, longest[rest(params)]))
+            return fitted[0] if params == longest[rest(params)] else first_trees(fitted[0], length(params))
+
+        return _FitMultipleIterator(fit_one, len(paramMaps))
+
+
 def _spark_value(name: str, value):
     if name == "colsample_bytree":
         return "all" if value == 1.0 else str(value)
@@ -91,14 +131,13 @@ def train_model(
     """
     expect_columns(train, [*ids, *features, target], "training rows", numeric=features)
     assembler = VectorAssembler(inputCols=list(features), outputCol="features")
-    booster = GBTClassifier(labelCol=target, featuresCol="features", lossType="logistic", seed=seed)
-    pipeline = Pipeline(stages=[booster])
+    booster = ChainedGBT(labelCol=target, featuresCol="features", lossType="logistic", seed=seed)
     builder = ParamGridBuilder()
     for name, values in grid.items():
         builder.addGrid(getattr(booster, SPARK_PARAMS[name]), [_spark_value(name, v) for v in values])
     candidates = builder.build()
     search = CrossValidator(
-        estimator=pipeline,
+        estimator=booster,
         estimatorParamMaps=candidates,
         evaluator=BinaryClassificationEvaluator(labelCol=target, metricName="areaUnderROC", numBins=0),
         numFolds=folds,
@@ -119,7 +158,7 @@ def train_model(
     named = [_names(c, grid) for c in candidates]
     results = [n | {"mean_roc_auc": s} for n, s in zip(named, fitted.avgMetrics, strict=True)]
     best = max(range(len(results)), key=lambda i: results[i]["mean_roc_auc"])
-    model = PipelineModel(stages=[assembler, *fitted.bestModel.stages])
+    model = PipelineModel(stages=[assembler, fitted.bestModel])
     return Trained(model, list(features), named[best], float(results[best]["mean_roc_auc"]), results)
 
 
