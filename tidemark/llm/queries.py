@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import near_dedup, packing, pieces, pii, quality_rules, secrets_scan, sharding, token_counts, topk, toxicity
+from tidemark.llm import merkle, near_dedup, packing, pieces, pii, quality_rules, secrets_scan, sharding, token_counts, topk, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -106,6 +106,10 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.assign(documents(spark, folder), [1.0] * SHARDS)
 
 
+def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.manifest(documents(spark, folder))
+
+
 def all_queries() -> dict[str, Query]:
     return {
         "op1_quality_rules": op1_quality_rules,
@@ -118,6 +122,7 @@ def all_queries() -> dict[str, Query]:
         "op8_packing": op8_packing,
         "op9_near_dedup": op9_near_dedup,
         "op10_sharding": op10_sharding,
+        "op13_merkle_manifest": op13_merkle_manifest,
     }
 
 
