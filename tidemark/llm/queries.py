@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import merkle, near_dedup, packing, pieces, pii, quality_rules, secrets_scan, sharding, token_counts, topk, toxicity
+from tidemark.llm import collocations, merkle, near_dedup, packing, pieces, pii, quality_rules, secrets_scan, sharding, token_counts, topk, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -106,6 +106,72 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.assign(documents(spark, folder), [1.0] * SHARDS)
 
 
+def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(documents(spark, folder))
+
+
+OP11_SQL = """
+with pieces as (
+    select row_number() over () as id, lang, piece
+    from (select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(
+              translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+              '[.,;:!?\\x0A-\\x0D]')) as piece
+          from documents)
+), words as (
+    select id, lang, unnest(w) as w, generate_subscripts(w, 1) as i
+    from (select id, lang, regexp_extract_all(piece, '[^\\x20\\x09]+') as w from pieces)
+), suffixes as (
+    select lang, w as a, lead(w) over p as b, lead(w, 2) over p as c
+    from words window p as (partition by id order by i)
+), f1 as (select lang, a as p, count(*) as f from suffixes group by all
+), f2 as (select lang, a, b, a || ' ' || b as p, count(*) as f from suffixes where b is not null group by all
+), f3 as (select lang, a, b, c, a || ' ' || b || ' ' || c as p, count(*) as f from suffixes where c is not null group by all
+), cuts as (
+    select lang, 2 as size, p, f, 1 as k, a as first, b as rest from f2 where f >= 10
+    union all select lang, 3, p, f, 1, a, b || ' ' || c from f3 where f >= 10
+    union all select lang, 3, p, f, 2, a || ' ' || b, c from f3 where f >= 10
+), parts as (select lang, p, f from f1 union all select lang, p, f from f2
+), scored as (
+    select c.lang, size, c.p, c.f as a, k, x.f as l, y.f as r,
+           cast((1000000 * c.f::hugeint * c.f::hugeint) // (x.f::hugeint * y.f::hugeint) as bigint) as score
+    from cuts c
+    join parts x on x.lang = c.lang and x.p = c.first
+    join parts y on y.lang = c.lang and y.p = c.rest
+    qualify row_number() over (partition by c.lang, c.p order by score, k) = 1
+), inside as (
+    select lang, p, max(f) as f
+    from (select lang, unnest([a || ' ' || b, b || ' ' || c]) as p, f from f3 where f >= 10) group by all
+)
+select s.lang, row_number() over (partition by s.lang order by score desc, a desc, s.p) as rank, s.p as phrase, a, l, r, n, score
+from scored s
+left join inside i on s.size = 2 and i.lang = s.lang and i.p = s.p
+join (select lang, cast(sum(f) as bigint) as n from f1 group by lang) t on t.lang = s.lang
+where i.f is null or 100 * i.f < 50 * a
+qualify rank <= 2000
+"""
+
+
+def op12_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.archived(spark.read.parquet(f"{folder}/pages.parquet"))
+
+
+OP12_SQL = """
+with p as (
+    select page_id, body, sha1(body) as h,
+           row_number() over (partition by body order by page_id desc nulls last) as k,
+           max(page_id) over (partition by body) as top
+    from (select page_id, coalesce(html, '') as body from pages)
+)
+select page_id, cast(strlen(body) as bigint) as payload_bytes,
+       list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + cast(
+           (cast('0x' || substr(h, cast(5 * (i // 4) + 1 as bigint), 5) as bigint) >> cast(15 - 5 * (i % 4) as bigint)) & 31 as bigint), 1)),
+           'string_agg', '') as payload_digest,
+       case when k = 1 then 'response' else 'revisit' end as record_type,
+       case when k > 1 then top end as refers_to
+from p
+"""
+
+
 def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     return merkle.manifest(documents(spark, folder))
 
@@ -122,9 +188,11 @@ def all_queries() -> dict[str, Query]:
         "op8_packing": op8_packing,
         "op9_near_dedup": op9_near_dedup,
         "op10_sharding": op10_sharding,
+        "op11_collocations": op11_collocations,
+        "op12_warc": op12_warc,
         "op13_merkle_manifest": op13_merkle_manifest,
     }
 
 
 def all_checks() -> dict[str, str]:
-    return {"op6_topk": OP6_SQL}
+    return {"op6_topk": OP6_SQL, "op11_collocations": OP11_SQL, "op12_warc": OP12_SQL}
