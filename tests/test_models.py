@@ -7,11 +7,9 @@ import math
 import numpy as np
 import pytest
 from conftest import TESTDATA
-from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import VectorAssembler
 
-from tidemark.operators import evaluate, explain, prepare, score, train
-from tidemark.plans import pipeline
+from tidemark.operators import boost, evaluate, explain, prepare, score, train
+from tidemark.plans import models, pipeline
 from tidemark.plans.catalog import LOGS, QUERY_GRID
 from tidemark.sources.storage import load_model, save_model
 
@@ -47,27 +45,6 @@ def test_queries_search_the_full_grid():
     assert QUERY_GRID["n_estimators"] == [100, 250] and QUERY_GRID["max_depth"] == [2, 3, 4]
 
 
-def test_one_chain_serves_all_tree_counts(data, monkeypatch):
-    rows = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(data.train)
-    rows = rows.selectExpr("cast(is_churn as double) as is_churn", "features").coalesce(1).cache()
-    settings = {"labelCol": "is_churn", "lossType": "logistic", "seed": 5, "maxDepth": 2, "subsamplingRate": 0.8}
-    settings["featureSubsetStrategy"] = "0.8"
-    booster, fits = train.ChainedGBT(**settings), []
-    candidates = [{booster.maxIter: n, booster.stepSize: s} for n in (2, 6) for s in (0.1, 0.3)]
-    fit = GBTClassifier.fit
-    monkeypatch.setattr(train.ChainedGBT, "fit", lambda *a: fits.append(a[2]) or fit(*a))
-    chained = dict(booster.fitMultiple(rows, candidates))
-    assert [f[booster.maxIter] for f in fits] == [6, 6]
-    for i, c in enumerate(candidates):
-        alone = GBTClassifier(**settings, maxIter=c[booster.maxIter], stepSize=c[booster.stepSize]).fit(rows)
-        assert chained[i].getNumTrees == alone.getNumTrees == c[booster.maxIter]
-        assert chained[i].treeWeights == alone.treeWeights
-        assert [r.probability for r in chained[i].transform(rows, c).collect()] == [
-            r.probability for r in alone.transform(rows).collect()
-        ]
-    rows.unpersist()
-
-
 def test_search_finds_the_signal(data, trained):
     assert data.features == FEATURES
     assert trained.best_cv_roc_auc > 0.8
@@ -91,6 +68,44 @@ def test_training_is_repeatable(data, trained):
     assert [r.churn_probability for r in first] == [r.churn_probability for r in second]
 
 
+def test_a_stored_search_is_read_again(data, tmp_path, monkeypatch):
+    first = train.train_model(data.train, data.features, GRID, folder=str(tmp_path))
+    grown = []
+    monkeypatch.setattr(boost.Fit, "small_rounds", lambda *a: grown.append(a))
+    again = train.train_model(data.train.repartition(3), data.features, GRID, folder=str(tmp_path))
+    assert not grown and again.search == first.search and again.best_params == first.best_params
+    a = [r.churn_probability for r in score.with_probability(first.model, data.valid).orderBy("account_id").collect()]
+    b = [r.churn_probability for r in score.with_probability(again.model, data.valid).orderBy("account_id").collect()]
+    assert a == b
+
+
+def test_unknown_parameter(data):
+    with pytest.raises(ValueError, match="leaves"):
+        train.train_model(data.train, FEATURES, {"leaves": [3]})
+
+
+def test_model_store(spark, data, tmp_path, monkeypatch):
+    folder, made = str(tmp_path / "store"), []
+    make = lambda: made.append(1) or data
+    fit = train.train_model
+
+    def stop(*args, **options):
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(models, "train_model", stop)
+    with pytest.raises(KeyboardInterrupt):
+        models.fitted(spark, folder, make, GRID)
+    monkeypatch.setattr(models, "train_model", fit)
+    _, one = models.fitted(spark, folder, make, GRID)
+    monkeypatch.setattr(models, "train_model", stop)
+    held, two = models.fitted(spark, folder, make, GRID)  # only read
+    assert len(made) == 1 and one.search == two.search and two.best_params == one.best_params
+    assert held.train.count() == data.train.count()
+    key = models.store_key(train.fingerprint(data.train), GRID)
+    assert key == models.store_key(train.fingerprint(data.train.repartition(7)), GRID)
+    assert key != models.store_key(train.fingerprint(data.train.where("a < 9")), GRID)
+
+
 def test_missing_columns(data):
     with pytest.raises(ValueError, match="zzz"):
         train.train_model(data.train, [*FEATURES, "zzz"], GRID)

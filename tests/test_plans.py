@@ -5,7 +5,8 @@ import re
 import pytest
 from conftest import TESTDATA
 
-from tidemark.operators import datasets, labels, metrics
+from tidemark.operators import datasets, labels, metrics, quality
+from tidemark.plans import pipeline
 from tidemark.plans.catalog import LOGS, ON_EVENTS
 from tidemark.sources.events import EVENT_SCHEMA
 from tidemark.spec import DEFAULT_SPEC
@@ -70,6 +71,27 @@ def test_label_join_does_not_shuffle_again(spark, stored_log):
     assert len(re.findall(r"Exchange hashpartitioning", text)) == 3  # labels, products, features
 
 
+def test_a_stored_snapshot_reads_one_folder(spark, stored_log, tmp_path):
+    """Metric tables are partitioned by time: both dataset builders read the folder of their time only."""
+    events, spec = stored_log
+    marts = pipeline.build_marts(events, spec, str(tmp_path))
+    for table, time in (
+        (datasets.training_dataset_from_metrics(marts.all_metrics, marts.observation, spec), "1999-06-27"),
+        (datasets.current_dataset_from_metrics(marts.all_metrics, spec), "2001-07-29"),
+    ):
+        filters = re.findall(r"PartitionFilters: \[([^\]]*)\]", plan(table))
+        assert sum(f"= {time}" in f for f in filters) == 2
+
+
+def test_statistics_are_aggregated_before_they_are_rows(stored_log):
+    """Only lines per grid time are turned into rows, after the aggregate over accounts."""
+    events, spec = stored_log
+    text = plan(quality.metric_stats_over_time(metrics.metric_times(events, spec), spec))
+    tall = text.index("Generate inline(parts")
+    assert re.search(r"HashAggregate\(keys=\[metric_time#\d+\]", text[tall:])
+    assert not re.search(r"keys=\[metric_name_id#\d+, metric_time#\d+\]", text[tall:])
+
+
 def test_one_scan_per_summary(stored_log):
     """Distinct values are stored once; quantiles and moments read only those."""
     events, spec = stored_log

@@ -1,8 +1,10 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
-from tidemark.operators import grid, prepare, score
+from tidemark.operators import datasets, grid, labels, metrics, prepare, quality, score
+from tidemark.plans.catalog import NEW_METRICS
 from tidemark.sources import definitions, events, storage
 from tidemark.sources.events import activity_events, as_event_log, read_event_csv
 from tidemark.spec import DEFAULT_SPEC
@@ -165,3 +167,101 @@ def test_odd_labels_fail(spark, label):
 def test_good_labels(spark):
     df = spark.createDataFrame([("True",), ("1",), ("0.0",), ("false",)], "is_churn string")
     assert [r[0] for r in prepare.coerce_label(df).collect()] == [1, 1, 0, 0]
+
+
+# --- contracts, definitions, tables that are replaced --------------------------------
+
+
+def _with_null(spark, column):
+    cells = {"account_id": "'a'", "event_time": "timestamp_ntz'2020-01-05 10:00:00'", "event_type": "'ReadingOwnedBook'"}
+    row = ", ".join(f"{v} as {c}" for c, v in cells.items())
+    hole = ", ".join(f"{'null' if c == column else v} as {c}" for c, v in cells.items())
+    rest = "cast(1 as int) as product_id, cast(null as string) as additional_data"
+    return as_event_log(spark.sql(f"select {row}, {rest} union all select {hole}, {rest}"))
+
+
+@pytest.mark.parametrize("column", ["account_id", "event_time", "event_type"])
+@pytest.mark.parametrize(
+    "path",
+    [
+        lambda e: labels.observation(e, DEFAULT_SPEC),
+        lambda e: quality.daily_event_counts(e, DEFAULT_SPEC.event_types),
+        lambda e: quality.events_per_account_per_month(e),
+        lambda e: grid.metric_grid(e, DEFAULT_SPEC),
+        lambda e: metrics.all_metrics(e, DEFAULT_SPEC),
+        lambda e: datasets.churn_training_dataset(e, DEFAULT_SPEC),
+        lambda e: datasets.current_customer_dataset(e, DEFAULT_SPEC),
+        lambda e: quality.metric_coverage(metrics.event_count_metrics(e, DEFAULT_SPEC), e, DEFAULT_SPEC),
+    ],
+)
+def test_missing_mandatory_values_are_found_on_every_path(spark, column, path):
+    with pytest.raises(Exception, match="NULL values where none may be"):
+        path(_with_null(spark, column)).collect()
+
+
+def test_event_table_by_name(spark, tmp_path):
+    _with_null(spark, "none").write.mode("overwrite").option("path", str(tmp_path / "t")).saveAsTable("bound_log")
+    try:
+        assert events.read_event_table(spark, "bound_log").schema == as_event_log(spark.table("bound_log")).schema
+        assert events.read_event_table(spark, "bound_log").count() == 2
+        _with_null(spark, "event_type").write.mode("overwrite").option("path", str(tmp_path / "t")).saveAsTable("bound_log")
+        with pytest.raises(ValueError, match="1 in event_type"):
+            events.read_event_table(spark, "bound_log")
+    finally:
+        spark.sql("drop table if exists bound_log")
+
+
+def test_definitions_with_their_composition(spark, tmp_path):
+    table = definitions.definitions_frame(spark).union(spark.createDataFrame(NEW_METRICS, definitions.DEFINITION_SCHEMA))
+    path = storage.write_csv(table.orderBy(F.desc("metric_name_id")).coalesce(1), str(tmp_path / "d"))
+    spec = definitions.spec_with_definitions(definitions.read_definitions(spark, path))
+    ids = [d.metric_name_id for d in spec.definitions]
+    assert spec.by_id[14].components == (13, 5) and spec.by_id[15].sources == (13, 14)
+    assert all(ids.index(i) < ids.index(d.metric_name_id) for d in spec.definitions for i in d.sources)
+    assert spec.features[-4:] == [r[1].lower() for r in NEW_METRICS]
+    assert spec.by_id[12] == DEFAULT_SPEC.by_id[12]
+
+
+@pytest.mark.parametrize(
+    ("rows", "message"),
+    [
+        ([(20, "a", "*", 28, "total_metric", "21", None, None), (21, "b", "*", 28, "total_metric", "20", None, None)], "each other"),
+        ([(20, "a", "*", 28, "total_metric", "99", None, None)], "not defined"),
+        ([(20, "a", "*", 28, "ratio_metric", None, 1, None), (1, "c", "x", 28, "basic_event_count", None, None, None)], "not defined"),
+        ([(20, "a", "*", 28, "total_metric", None, None, None)], "unknown composition"),
+    ],
+)
+def test_wrong_compositions(spark, rows, message):
+    with pytest.raises(ValueError, match=message):
+        definitions.spec_with_definitions(spark.createDataFrame(rows, definitions.DEFINITION_SCHEMA))
+
+
+def test_a_write_that_fails_leaves_the_old_rows(spark, tmp_path):
+    path = storage.write_parquet(spark.range(3), str(tmp_path / "t"))
+    broken = spark.range(5).selectExpr("if(id = 4, raise_error('no'), id) as id")
+    with pytest.raises(Exception, match="no"):
+        storage.write_parquet(broken, path)
+    assert spark.read.parquet(path).count() == 3
+    assert [p.name for p in tmp_path.iterdir() if not p.name.startswith(".")] == ["t"]
+    # also from its own rows
+    storage.write_parquet(spark.read.parquet(path).selectExpr("id + 1 as id"), path)
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == [1, 2, 3]
+    with pytest.raises(Exception, match="no"):
+        storage.write_csv(broken, path)
+    assert spark.read.parquet(path).count() == 3
+
+
+def test_one_time_of_a_metric_table_is_rewritten_alone(spark, tmp_path):
+    rows = spark.range(30).selectExpr(
+        "cast(id % 5 as string) as account_id", "timestamp_ntz'2020-01-01' + make_dt_interval(cast(id % 3 as int) * 7) as metric_time",
+        "cast(1 as int) as metric_name_id", "id as metric_value",
+    )
+    path = storage.write_metric_table(rows, str(tmp_path / "m"))
+    read = lambda: spark.read.schema(rows.schema).parquet(path).select(*rows.columns)
+    before = {p: [f.stat().st_mtime_ns for f in sorted(p.glob("*.parquet"))] for p in sorted((tmp_path / "m").glob("metric_time=*"))}
+    assert len(before) == 3 and read().exceptAll(rows).isEmpty() and rows.exceptAll(read()).isEmpty()
+    late = rows.where("metric_time = timestamp_ntz'2020-01-08'").selectExpr("account_id", "metric_time", "metric_name_id", "metric_value + 100L as metric_value")
+    storage.rewrite_metric_times(late, path)
+    after = {p: [f.stat().st_mtime_ns for f in sorted(p.glob("*.parquet"))] for p in sorted((tmp_path / "m").glob("metric_time=*"))}
+    assert [before[p] == after[p] for p in before] == [True, False, True]
+    assert read().where("metric_value >= 100").count() == 10 and read().count() == 30

@@ -21,7 +21,8 @@ from tidemark.operators import profile
 from tidemark.operators.prepare import SEED, TEST_SIZE, Prepared, coerce_features
 from tidemark.operators.train import FULL_GRID
 from tidemark.plans import pipeline
-from tidemark.sources.events import as_event_log, read_event_csv
+from tidemark.sources.definitions import read_definitions, spec_with_definitions
+from tidemark.sources.events import as_event_log, read_event_csv, read_event_table
 from tidemark.sources.storage import read_dataset, read_json, write_csv
 from tidemark.spec import DEFAULT_SPEC, TARGET
 
@@ -31,7 +32,11 @@ def _parser() -> argparse.ArgumentParser:
     steps = parser.add_subparsers(dest="step", required=True)
 
     build = steps.add_parser("build")
-    build.add_argument("--events", required=True)
+    log = build.add_mutually_exclusive_group(required=True)
+    log.add_argument("--events", help="CSV or Parquet path")
+    log.add_argument("--events-table", help="name in the session's catalog")
+    build.add_argument("--definitions", help="CSV table of metric definitions")
+    build.add_argument("--database", help="enter tables and views into this database")
     build.add_argument("--out", required=True)
     build.add_argument("--cutoff", type=dt.date.fromisoformat, default=DEFAULT_SPEC.cutoff)
     build.add_argument("--multi-line", action="store_true")
@@ -63,6 +68,8 @@ def _parser() -> argparse.ArgumentParser:
 
 
 def _events(spark: SparkSession, args) -> DataFrame:
+    if args.events_table:
+        return read_event_table(spark, args.events_table)
     if args.events.lower().endswith(".csv"):
         return read_event_csv(spark, args.events, multi_line=args.multi_line)
     return as_event_log(spark.read.parquet(args.events))
@@ -80,7 +87,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     args = _parser().parse_args(argv)
     spark = spark or SparkSession.builder.appName(f"tidemark-{args.step}").getOrCreate()
     if args.step == "build":
-        marts = pipeline.build_marts(_events(spark, args), DEFAULT_SPEC.at(args.cutoff), args.out)
+        spec = DEFAULT_SPEC.at(args.cutoff)
+        if args.definitions:
+            spec = spec_with_definitions(read_definitions(spark, args.definitions), spec)
+        marts = pipeline.build_marts(_events(spark, args), spec, args.out, args.database)
         pipeline.export_csv(marts, f"{args.out}/exports")
     elif args.step == "preprocess":
         pipeline.prepare_data(

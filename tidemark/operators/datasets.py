@@ -30,10 +30,11 @@ def latest_metric_time(events: DataFrame, spec: ChurnSpec, grid: Grid | None = N
 
 def churn_training_dataset(events: DataFrame, spec: ChurnSpec, grid: Grid | None = None) -> DataFrame:
     """Labels with the features at the snapshot; accounts without any metric there get zeros."""
+    grid = grid or Grid.of(events, spec)
     counters = all_counters(spec)
     snapshot = find_measured_time(events, spec, spec.cutoff, grid)
     features = counters_at(events, counters, snapshot).select("account_id", *counters.features())
-    return _onto_labels(observation(events, spec), features, spec)
+    return _onto_labels(observation(events, spec, grid), features, spec)
 
 
 def current_customer_dataset(events: DataFrame, spec: ChurnSpec, grid: Grid | None = None) -> DataFrame:

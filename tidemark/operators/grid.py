@@ -25,11 +25,22 @@ from tidemark.spec import ChurnSpec
 MANDATORY = ("account_id", "event_time", "event_type")
 
 
+def unless_null(value: Column) -> Column:
+    """An aggregate over the log that fails the job if a mandatory value is missing anywhere."""
+    nulls = sum((F.count_if(F.col(c).isNull()) for c in MANDATORY), F.lit(0))
+    return F.when(nulls > 0, F.raise_error(F.lit(f"event log: NULL values where none may be: {', '.join(MANDATORY)}"))).otherwise(value)
+
+
+def complete(events: DataFrame) -> Column:
+    """A scalar subquery that is true, or fails the job if a mandatory value is missing. It leaves filters on the log alone."""
+    return events.agg(unless_null(F.lit(True)).alias("complete")).scalar()
+
+
 def log_bounds(events: DataFrame) -> DataFrame:
-    """One row: date of the first and of the last event (NULLs for an empty log)."""
+    """One row: date of the first and of the last event (NULLs for an empty log). A missing mandatory value fails the job."""
     return events.agg(
-        F.to_date(F.min("event_time")).alias("first_day"),
-        F.to_date(F.max("event_time")).alias("last_day"),
+        unless_null(F.to_date(F.min("event_time"))).alias("first_day"),
+        unless_null(F.to_date(F.max("event_time"))).alias("last_day"),
     )
 
 

@@ -90,23 +90,28 @@ class Counters:
         return f"nullif({self._base_counter(i)}, 0L)"
 
     def derived_value(self, i: int) -> str:
+        d = self.spec.by_id[i]
+        if d.metric_kind != RATIO:
+            return f"cast(nullif({self._count(i)}, 0L) as double)"
+        # the denominator is NULL (no row) or positive, never zero
+        return f"cast({self._count(d.numerator)} as double) / cast(nullif({self._count(d.denominator)}, 0L) as double)"
+
+    def _count(self, i: int) -> str:
+        """What a metric counts, 0 where it has no row; sums of sums are taken apart."""
         d = self.spec.by_id[i]
         days = d.lookback_days
         if d.metric_kind == TOTAL_EVENTS:
             self.needs_every_event = True
             name = f"all_{days}"
             self.events[name] = Counter(name, "true", days)
-            return f"cast(nullif({name}, 0L) as double)"
+            return name
         if d.metric_kind == UNIQUE_PRODUCTS:
             name = f"products_{days}"
             self.products[name] = Counter(name, "product_id is not null", days)
-            return f"cast(nullif({name}, 0L) as double)"
+            return name
         if d.metric_kind == SUM_OF_METRICS:
-            total = " + ".join(self._base_counter(c) for c in d.components)
-            return f"cast(nullif({total}, 0L) as double)"
-        numerator, denominator = self._base_counter(d.numerator), self.derived_value(d.denominator)
-        # the denominator is NULL (no row) or positive, never zero
-        return f"cast({numerator} as double) / {denominator}"
+            return f"({' + '.join(self._count(c) for c in d.components)})"
+        return self._base_counter(i)
 
     def values(self) -> list[tuple[int, str]]:
         return [(i, self.base_value(i)) for i in self.base] + [
@@ -372,6 +377,26 @@ def all_metrics(events: DataFrame, spec: ChurnSpec, grid: Grid | None = None) ->
     return unpivot(sweep(events, counters, grid), [(i, f"cast({v} as double)") for i, v in counters.values()])
 
 
+def metric_times(events: DataFrame, spec: ChurnSpec, grid: Grid | None = None) -> DataFrame:
+    """``metric_name_id, metric_time, n_calc, total, min_value, max_value`` of all metrics, straight from the log.
+
+    The rows of :func:`all_metrics` per metric and time, but aggregated while they are still columns of one wide row: what is
+    turned into rows is one line per grid time, not one per account, time and metric.
+    """
+    counters = all_counters(spec)
+    values = [(i, f"cast({v} as double)") for i, v in counters.values()]
+    parts = [
+        f"named_struct('metric_name_id', {i}, 'n_calc', count({v}), 'total', sum({v}), 'min_value', min({v}), 'max_value', max({v}))"
+        for i, v in values
+    ]
+    per_time = sweep(events, counters, grid).groupBy("metric_time").agg(F.expr(f"array({', '.join(parts)})").alias("parts"))
+    rows = per_time.select("metric_time", F.inline("parts")).where("n_calc > 0")
+    # a base and a derived metric may share an id
+    return rows.groupBy("metric_name_id", "metric_time").agg(
+        F.sum("n_calc").alias("n_calc"), F.sum("total").alias("total"), F.min("min_value").alias("min_value"), F.max("max_value").alias("max_value")
+    )
+
+
 def union_metrics(metric: DataFrame, metric_derived: DataFrame) -> DataFrame:
     """The same table from two stored ones."""
     columns = [*KEYS, "metric_name_id", as_double("metric_value").alias("metric_value")]

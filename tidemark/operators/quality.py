@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import as_double, safe_divide
-from tidemark.operators.grid import log_bounds
+from tidemark.operators.grid import complete, log_bounds
 from tidemark.spec import ChurnSpec
 
 MONTH_DAYS = 28.0
@@ -22,7 +22,7 @@ def metric_names(spark: SparkSession, spec: ChurnSpec) -> DataFrame:
 
 
 def events_per_account_per_month(events: DataFrame) -> DataFrame:
-    """Events of each type per account and 28-day month of the log."""
+    """Events of each type per account and 28-day month of the log. Missing mandatory values fail the job."""
     n_account = events.agg(F.count_distinct("account_id")).scalar()
     per_type = events.groupBy("event_type").agg(
         F.count(F.lit(1)).alias("n_event"), F.min("event_time").alias("first"), F.max("event_time").alias("last")
@@ -36,6 +36,7 @@ def events_per_account_per_month(events: DataFrame) -> DataFrame:
     return (
         per_type.withColumn("n_account", n_account)
         .withColumn("n_months", days / F.lit(MONTH_DAYS))
+        .where(complete(events))
         .select(
             "event_type",
             "n_account",
@@ -87,7 +88,12 @@ def metric_coverage(metric: DataFrame, events: DataFrame, spec: ChurnSpec) -> Da
 
 
 def _per_time(metrics: DataFrame) -> DataFrame:
-    """At most one row per metric and grid time; map-side combine does nearly all the work."""
+    """At most one row per metric and grid time; map-side combine does nearly all the work.
+
+    ``metrics`` is a table of single values, or already what ``metric_times`` gives.
+    """
+    if "n_calc" in metrics.columns:
+        return metrics
     value = F.col("metric_value")
     return metrics.groupBy("metric_name_id", "metric_time").agg(
         F.count(F.lit(1)).alias("n_calc"),

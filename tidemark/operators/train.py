@@ -2,22 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
+import hashlib
+import itertools
+import json
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from threading import Lock
 
-from pyspark import SparkContext
 from pyspark.ml import PipelineModel
-from pyspark.ml.base import _FitMultipleIterator
-from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.schema import expect_columns
+from tidemark.operators.boost import Chain, boost, to_model
 from tidemark.operators.prepare import SEED, assign_folds
+from tidemark.sources.storage import stored
 from tidemark.spec import TARGET, TRAIN_IDS
 
 # The full search, 48 candidates.
@@ -29,19 +27,7 @@ FULL_GRID: dict[str, list] = {
     "colsample_bytree": [0.8, 1.0],
 }
 
-#: Partitions of the training rows. Bagging draws per partition, so this is part of the model.
-PARTITIONS = 16
-
-# Spark's name for each search parameter. Columns are drawn per node, not per tree.
-SPARK_PARAMS = {
-    "n_estimators": "maxIter",
-    "max_depth": "maxDepth",
-    "learning_rate": "stepSize",
-    "subsample": "subsamplingRate",
-    "colsample_bytree": "featureSubsetStrategy",
-}
-
-# Defaults of the estimator for parameters that a grid does not name.
+# Values of the parameters that a grid does not name.
 DEFAULTS = {"n_estimators": 20, "max_depth": 5, "learning_rate": 0.1, "subsample": 1.0, "colsample_bytree": 1.0}
 
 
@@ -70,47 +56,25 @@ class Trained:
         )
 
 
-def first_trees(model: GBTClassificationModel, count: int) -> GBTClassificationModel:
-    """The model after ``count`` rounds of boosting: a round does not depend on how many follow."""
-    java, gateway = model._java_obj, SparkContext._active_spark_context._gateway
-    ml = gateway.jvm.org.apache.spark.ml
-    trees, weights = java.trees(), java.treeWeights()
-    kept = gateway.new_array(ml.regression.DecisionTreeRegressionModel, count)
-    kept_weights = gateway.new_array(gateway.jvm.double, count)
-    for i in range(count):
-        kept[i], kept_weights[i] = trees[i], weights[i]
-    shorter = ml.classification.GBTClassificationModel(f"{model.uid}_{count}", kept, kept_weights, model.numFeatures, 2)
-    return model._copyValues(GBTClassificationModel(shorter))
-
-
-class ChainedGBT(GBTClassifier):
-    """Candidates that differ in the number of trees only are fitted as one chain of the greatest number."""
-
-    def fitMultiple(self, dataset: DataFrame, paramMaps: Sequence[Mapping]) -> Iterator[tuple[int, GBTClassificationModel]]:
-        def rest(params: Mapping) -> tuple:
-            return tuple(sorted((p.name, v) for p, v in params.items() if p != self.maxIter))
+def candidates_of(grid: Mapping[str, Sequence]) -> list[dict[str, object]]:
+    """Every combination of the grid's values, in the order of its parameters."""
+    unknown = sorted(set(grid) - set(DEFAULTS))
+    if unknown:
+        raise ValueError(f"unknown parameters: {unknown}")
+    return [dict(zip(grid, values, strict=True)) for values in itertools.product(*grid.values())]
 
-        def length(params: Mapping) -> int:
-            return params.get(self.maxIter, self.getMaxIter())
 
-        chains = {rest(p): (Lock(), []) for p in paramMaps}
-        longest = {key: max((p for p in paramMaps if rest(p) == key), key=length) for key in chains}
-
-        def fit_one(index: int) -> GBTClassificationModel:
-            params = paramMaps[index]
-            lock, fitted = chains[rest(params)]
-            with lock:
-                if not fitted:
-                    fitted.append(self.fit(dataset, longest[rest(params)]))
-            return fitted[0] if params == longest[rest(params)] else first_trees(fitted[0], length(params))
-
-        return _FitMultipleIterator(fit_one, len(paramMaps))
+def _chain(candidate: Mapping[str, object], fold: int) -> Chain:
+    p = DEFAULTS | candidate
+    return Chain(
+        fold, int(p["n_estimators"]), int(p["max_depth"]), float(p["learning_rate"]), float(p["subsample"]), float(p["colsample_bytree"])
+    )
 
 
-def _spark_value(name: str, value):
-    if name == "colsample_bytree":
-        return "all" if value == 1.0 else str(value)
-    return value
+def fingerprint(df: DataFrame) -> str:
+    """A text that changes with the rows of ``df``, whatever their order and the files they are read from."""
+    n, total = df.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)"))).first()
+    return f"{df.schema.simpleString()}|{n}|{total}"
 
 
 def train_model(
@@ -119,55 +83,53 @@ def train_model(
     grid: Mapping[str, Sequence] = FULL_GRID,
     folds: int = 3,
     seed: int = SEED,
-    parallelism: int = 4,
     ids: Sequence[str] = TRAIN_IDS,
     target: str = TARGET,
-    partitions: int = PARTITIONS,
+    folder: str | None = None,
 ) -> Trained:
     """Pick the candidate with the best mean fold AUC and refit it on all rows.
 
-    ``grid`` is the searched grid, by default the full one. Folds, row order and, by ``partitions``, the cut
-    into tasks depend on the ids only, so the same data gives the same model whatever the session's settings.
+    ``grid`` is the searched grid, by default the full one. Candidates that differ in the number of trees only are one chain per fold,
+    scored on the way; all chains are fitted side by side (:mod:`tidemark.operators.boost`). Folds and draws depend on
+    the ids, so the same rows give the same model whatever their layout and the session's settings. A fold without one of the
+    classes does not count. With ``folder``, the search is stored there under a name made of rows, grid, folds and seed: a search that
+    was stopped goes on where it was, and one that has ended is read.
     """
     expect_columns(train, [*ids, *features, target], "training rows", numeric=features)
-    assembler = VectorAssembler(inputCols=list(features), outputCol="features")
-    booster = ChainedGBT(labelCol=target, featuresCol="features", lossType="logistic", seed=seed)
-    builder = ParamGridBuilder()
-    for name, values in grid.items():
-        builder.addGrid(getattr(booster, SPARK_PARAMS[name]), [_spark_value(name, v) for v in values])
-    candidates = builder.build()
-    search = CrossValidator(
-        estimator=booster,
-        estimatorParamMaps=candidates,
-        evaluator=BinaryClassificationEvaluator(labelCol=target, metricName="areaUnderROC", numBins=0),
-        numFolds=folds,
-        foldCol="fold",
-        parallelism=parallelism,
-        seed=seed,
-    )
-    rows = assign_folds(train, folds, seed, ids, target)
-    # bagging draws rows in partition order: fix that order
-    rows = assembler.transform(rows.repartition(partitions, *ids).sortWithinPartitions(*ids)).select(
-        F.col(target).cast("double").alias(target), "features", "fold"
-    )
-    rows.persist()
-    try:
-        fitted = search.fit(rows)
-    finally:
-        rows.unpersist()
-    named = [_names(c, grid) for c in candidates]
-    results = [n | {"mean_roc_auc": s} for n, s in zip(named, fitted.avgMetrics, strict=True)]
+    rows = stored(assign_folds(train, folds, seed, ids, target).select(*ids, *features, target, "fold"))
+    place = None
+    if folder is not None:
+        what = json.dumps([fingerprint(rows), {k: list(v) for k, v in grid.items()}, folds, seed, list(ids), target], default=str)
+        place = f"{folder}/{hashlib.sha256(what.encode()).hexdigest()[:24]}"
+    candidates = candidates_of(grid)
+    lengths = sorted({_chain(c, 0).rounds for c in candidates})
+    settings = {}  # without the number of trees: its greatest number
+    for c in candidates:
+        chain = _chain({**c, "n_estimators": 0}, 0)
+        settings[chain] = max(settings.get(chain, 0), _chain(c, 0).rounds)
+    chains = [_with(s, fold, n) for s, n in settings.items() for fold in range(folds)]
+    common = {"ids": ids, "target": target, "seed": seed}
+    _, _, auc = boost(
+        rows, features, chains, fold="fold", evaluate=lengths, folder=place and f"{place}/search", **common
+    )
+    number = {(_with(c, c.fold, 0)): i for i, c in enumerate(chains)}
+
+    def mean_auc(candidate) -> float:
+        chain = _chain(candidate, 0)
+        found = [auc[chain.rounds].get(number[_with(chain, f, 0)]) for f in range(folds)]
+        found = [x for x in found if x is not None]
+        return sum(found) / len(found) if found else 0.5
+
+    results = [c | {"mean_roc_auc": mean_auc(c)} for c in candidates]
     best = max(range(len(results)), key=lambda i: results[i]["mean_roc_auc"])
-    model = PipelineModel(stages=[assembler, fitted.bestModel])
-    return Trained(model, list(features), named[best], float(results[best]["mean_roc_auc"]), results)
+    final = _chain(candidates[best], -1)
+    trees, edges, _ = boost(rows, features, [final], fold=None, folder=place and f"{place}/final-{best}", **common)
+    model = to_model(trees, final, edges, features, target)
+    return Trained(model, list(features), candidates[best], float(results[best]["mean_roc_auc"]), results)
 
 
-def _names(candidate, grid: Mapping[str, Sequence]) -> dict[str, object]:
-    by_param = {p.name: v for p, v in candidate.items()}
-    return {
-        name: next(v for v in values if _spark_value(name, v) == by_param[SPARK_PARAMS[name]])
-        for name, values in grid.items()
-    }
+def _with(chain: Chain, fold: int, rounds: int) -> Chain:
+    return Chain(fold, rounds, chain.max_depth, chain.learning_rate, chain.subsample, chain.colsample)
 
 
 def feature_importance(trained: Trained, like: DataFrame) -> DataFrame:

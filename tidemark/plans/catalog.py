@@ -26,8 +26,10 @@ from tidemark.operators import (
     score,
     train,
 )
+from tidemark.plans import models
+from tidemark.sources import definitions
 from tidemark.sources import events as ev
-from tidemark.sources.storage import read_dataset, shared_dir, stored, write_csv, write_parquet
+from tidemark.sources.storage import lasting_dir, read_dataset, shared_dir, stored, write_csv, write_parquet
 from tidemark.spec import TARGET, ChurnSpec
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,22 +75,38 @@ def _labelled(events: DataFrame, spec: ChurnSpec) -> DataFrame:
 
 
 def _prepared(events: DataFrame, spec: ChurnSpec) -> prepare.Prepared:
+    """One read of the log: what the two snapshots need of it is stored, and they share the grid."""
+    log = stored(events.select("account_id", "event_time", "event_type", "product_id"))
+    shared = grid.Grid.of(log, spec)
     return prepare.prepare(
-        stored(datasets.churn_training_dataset(events, spec)),
-        stored(datasets.current_customer_dataset(events, spec)),
+        stored(datasets.churn_training_dataset(log, spec, shared)),
+        stored(datasets.current_customer_dataset(log, spec, shared)),
     )
 
 
-_fitted: dict[tuple, tuple[prepare.Prepared, train.Trained]] = {}
+def _trained(events: DataFrame, spec: ChurnSpec) -> tuple[prepare.Prepared, train.Trained]:
+    """The model of a log, from the store below the shared folder; the first query to ask for it fits it."""
+    spark = events.sparkSession
+    key = models.store_key(train.fingerprint(events), spec, QUERY_GRID, prepare.SEED)
+    return models.fitted(spark, f"{lasting_dir(spark, 'models')}/{key}", lambda: _prepared(events, spec), QUERY_GRID)
 
 
-def _trained(events: DataFrame, spec: ChurnSpec) -> tuple[prepare.Prepared, train.Trained]:
-    """One search per application and log, shared by the queries on the model."""
-    key = (events.sparkSession.sparkContext.applicationId, tuple(sorted(events.inputFiles())), spec.cutoff)
-    if key not in _fitted:
-        data = _prepared(events, spec)
-        _fitted[key] = data, train.train_model(data.train, data.features, QUERY_GRID, parallelism=8)
-    return _fitted[key]
+#: Metrics that only the table of definitions knows: a sum, a sum with a sum, a ratio of the two, another look-back.
+NEW_METRICS = (
+    (13, "n_reading_last_28d", "*", 28, "total_metric", "1;3", None, None),
+    (14, "n_reading_and_search_last_28d", "*", 28, "total_metric", "13;5", None, None),
+    (15, "share_of_reading_last_28d", "*", 28, "ratio_metric", None, 13, 14),
+    (16, "n_SearchMade_last_14d", "SearchMade", 14, "basic_event_count", None, None, None),
+)
+
+
+def _from_definitions(events: DataFrame, spec: ChurnSpec) -> DataFrame:
+    spark = events.sparkSession
+    table = definitions.definitions_frame(spark, spec)
+    table = table.union(spark.createDataFrame(NEW_METRICS, definitions.DEFINITION_SCHEMA))
+    path = write_csv(table.coalesce(1), shared_dir(spark))
+    known = definitions.spec_with_definitions(definitions.read_definitions(spark, path), spec)
+    return metrics.all_metrics(events, known).where(F.col("metric_name_id") > len(spec.definitions))
 
 
 def _messy(events: DataFrame, spec: ChurnSpec) -> DataFrame:
@@ -200,6 +218,7 @@ ON_EVENTS: dict[str, Callable[[DataFrame, ChurnSpec], DataFrame]] = {
     "downloads_per_product": lambda e, s: metrics.ratio_of_metrics(e, s, 12),
     "metric_derived": metrics.derived_metrics,
     "all_metrics": metrics.all_metrics,
+    "metrics_from_definitions": _from_definitions,
     "observation": lambda e, s: date_text(labels.observation(e, s), "observation_date"),
     "metric_snapshot": datasets.metric_snapshot,
     "latest_metric_time": datasets.latest_metric_time,
@@ -219,10 +238,10 @@ ON_EVENTS: dict[str, Callable[[DataFrame, ChurnSpec], DataFrame]] = {
         quality.metric_coverage(metrics.event_count_metrics(e, s), e, s), "pcnt_with_metric", "avg_value"
     ),
     "metric_stats_over_time": lambda e, s: rounded(
-        quality.metric_stats_over_time(metrics.all_metrics(e, s), s), "avg_metric_value"
+        quality.metric_stats_over_time(metrics.metric_times(e, s), s), "avg_metric_value"
     ),
     "metric_qa_series": lambda e, s: rounded(
-        quality.metric_qa_series(metrics.all_metrics(e, s), s), "avg_value"
+        quality.metric_qa_series(metrics.metric_times(e, s), s), "avg_value"
     ),
     "daily_event_counts": lambda e, s: date_text(
         quality.daily_event_counts(e, s.event_types), "event_date"

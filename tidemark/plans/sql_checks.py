@@ -396,7 +396,25 @@ def _score_summary(s: Sql) -> str:
     )
 
 
+def _from_definitions(s: Sql) -> str:
+    s.blocks["defs"] = (
+        f"{s._defs()} union all select * from (values (16, 'n_SearchMade_last_14d', 'SearchMade', 14)) w",
+        [],
+    )
+    total = "select account_id, metric_time, cast(sum(metric_value) as double) as v from counted where metric_name_id in ({}) group by all"
+    return s.query(
+        f"""select account_id, metric_time, 13 as metric_name_id, v as metric_value from ({total.format('1, 3')})
+        union all select account_id, metric_time, 14, v from ({total.format('1, 3, 5')})
+        union all select b.account_id, b.metric_time, 15, coalesce(a.v, 0) / b.v
+        from ({total.format('1, 3, 5')}) b left join ({total.format('1, 3')}) a
+          on a.account_id = b.account_id and a.metric_time = b.metric_time
+        union all select account_id, metric_time, 16, cast(metric_value as double) from counted where metric_name_id = 16""",
+        "counted",
+    )
+
+
 CHECKS: dict[str, Callable[[Sql], str]] = {
+    "metrics_from_definitions": _from_definitions,
     "metric_grid": lambda s: s.query("select metric_time from grid", "grid"),
     "event_count_metrics": lambda s: s.query("select * from counted", "counted"),
     "total_events_90d": lambda s: _metric("7", s),

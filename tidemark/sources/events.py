@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.columns import required
 from tidemark.functions.schema import expect_columns
+from tidemark.operators.grid import checked_bounds
 from tidemark.sources.storage import NO_VALUE
 from tidemark.spec import DEFAULT_SPEC, ChurnSpec
 
@@ -61,6 +62,13 @@ def as_event_log(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in EVENT_SCHEMA])
 
 
+def read_event_table(spark: SparkSession, name: str) -> DataFrame:
+    """The event log by its name in the session's catalog, with the contract of the log: types, and no missing mandatory values."""
+    events = as_event_log(spark.table(name))
+    checked_bounds(events)
+    return events
+
+
 # --- bindings to the test tables ---------------------------------------------------
 
 ACTIVITY_TYPES = {

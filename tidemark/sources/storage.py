@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import json
+import shutil
+import tempfile
 import uuid
-from collections.abc import Mapping
-from pathlib import PurePosixPath
+from collections.abc import Callable, Mapping
+from pathlib import Path, PurePosixPath
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -21,15 +23,20 @@ def _file_system(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The name of a fresh folder that every executor can reach; it is removed when the application ends.
-
-    It lies in the folder of ``spark.checkpoint.dir``, or, where that is not set, in the warehouse.
-    """
+def shared_root(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``, or, where that is not set, one in the warehouse."""
     root = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
-    if root is None:
-        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
-    path = f"{root.rstrip('/')}/{uuid.uuid4().hex}"
+    return (root or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work").rstrip("/")
+
+
+def lasting_dir(spark: SparkSession, name: str) -> str:
+    """A folder below the shared root that stays when the application ends, for what a later one may take up."""
+    return f"{shared_root(spark)}/tidemark-{name}"
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The name of a fresh folder that every executor can reach; it is removed when the application ends."""
+    path = f"{shared_root(spark)}/{uuid.uuid4().hex}"
     fs, hadoop_path = _file_system(spark, path)
     fs.mkdirs(hadoop_path)  # only what exists can be marked
     fs.deleteOnExit(hadoop_path)
@@ -40,26 +47,72 @@ def stored(df: DataFrame) -> DataFrame:
     """The same rows, read back from a table in the shared folder: computed once, cheap to reuse."""
     path = shared_dir(df.sparkSession)
     write_parquet(df, path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def release(*frames: DataFrame) -> None:
+    """Removes the tables behind frames that ``stored`` gave, when their last reader is done."""
+    for df in frames:
+        path = df.__dict__.pop("_stored_at", None)
+        if path is not None:
+            remove(df.sparkSession, path)
+
+
+def replace(spark: SparkSession, path: str, write: Callable[[str], None]) -> str:
+    """Puts what ``write`` writes to a folder in the place of ``path``.
+
+    The new folder is complete before the old one goes, so a write that fails leaves the old rows, and the table may be
+    computed from its own old rows. The switch is two renames; if the second fails, the first is taken back.
+    """
+    fs, target = _file_system(spark, path)
+    make = spark._jvm.org.apache.hadoop.fs.Path
+    new, old = (make(f"{path.rstrip('/')}.{word}-{uuid.uuid4().hex}") for word in ("new", "old"))
+    try:
+        write(new.toString())
+        had = fs.exists(target)
+        if had and not fs.rename(target, old):
+            raise OSError(f"cannot move {path} away")
+        if not fs.rename(new, target):
+            if had:
+                fs.rename(old, target)
+            raise OSError(f"cannot put the new table at {path}")
+        if had:
+            fs.delete(old, True)
+    finally:
+        if fs.exists(new):
+            fs.delete(new, True)
+    return path
 
 
 def write_parquet(df: DataFrame, path: str) -> str:
     """Replace the table at ``path``."""
-    df.write.mode("overwrite").parquet(path)
-    return path
+    return replace(df.sparkSession, path, lambda new: df.write.parquet(new))
 
 
 def write_csv(df: DataFrame, path: str) -> str:
     """Replace the CSV table (header, quotes doubled, full timestamps) at ``path``."""
-    writer = df.write.mode("overwrite").option("header", True).option("escape", '"')
+    writer = df.write.option("header", True).option("escape", '"')
     writer = writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-    writer.option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]").csv(path)
-    return path
+    writer = writer.option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]")
+    return replace(df.sparkSession, path, lambda new: writer.csv(new))
+
+
+def _by_time(df: DataFrame):
+    # rebalancing joins small times in one task and splits large ones
+    return df.hint("rebalance", "metric_time").sortWithinPartitions("metric_time", "metric_name_id").write.partitionBy("metric_time")
 
 
 def write_metric_table(df: DataFrame, path: str) -> str:
-    """Metric tables are read for one time at a time: sort so that row groups can be skipped."""
-    return write_parquet(df.sortWithinPartitions("metric_time", "metric_name_id"), path)
+    """Replace the metric table at ``path``, one folder for each metric time: a snapshot reads one of them."""
+    return replace(df.sparkSession, path, lambda new: _by_time(df).parquet(new))
+
+
+def rewrite_metric_times(df: DataFrame, path: str) -> str:
+    """Replace, in the metric table at ``path``, the metric times that occur in ``df``; all others stay as they are."""
+    _by_time(df).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+    return path
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -67,6 +120,17 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path)
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with the scheme of its file system."""
+    fs, hadoop_path = _file_system(spark, path)
+    return hadoop_path.makeQualified(fs.getUri(), fs.getWorkingDirectory()).toString()
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    fs, hadoop_path = _file_system(spark, path)
+    fs.delete(hadoop_path, True)
+
+
 def _holds_parquet(spark: SparkSession, path: str) -> bool:
     if PurePosixPath(path).suffix.lower() == ".parquet":
         return True
@@ -89,17 +153,30 @@ def read_dataset(spark: SparkSession, path: str, schema: T.StructType | str | No
     return (reader.schema(schema) if schema is not None else reader).csv(path)
 
 
-def write_json(spark: SparkSession, content: Mapping | list, path: str) -> str:
-    """A small report or feature list as one JSON document."""
+def write_bytes(spark: SparkSession, content: bytes, path: str) -> str:
+    """A file, written beside its place and moved there when it is complete."""
     fs, hadoop_path = _file_system(spark, path)
-    stream = fs.create(hadoop_path, True)
+    new = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}")
+    stream = fs.create(new, True)
     try:
-        stream.write(bytearray(json.dumps(content, indent=2).encode()))
+        stream.write(bytearray(content))
     finally:
         stream.close()
+    fs.delete(hadoop_path, False)
+    fs.rename(new, hadoop_path)
     return path
 
 
+def read_bytes(spark: SparkSession, path: str) -> bytes:
+    (content,) = spark.read.format("binaryFile").load(path).select("content").first()
+    return bytes(content)
+
+
+def write_json(spark: SparkSession, content: Mapping | list, path: str) -> str:
+    """A small report or feature list as one JSON document."""
+    return write_bytes(spark, json.dumps(content, indent=2).encode(), path)
+
+
 def read_json(spark: SparkSession, path: str):
     if not exists(spark, path):
         raise FileNotFoundError(f"file not found: {path}")
@@ -114,3 +191,16 @@ def save_model(model: PipelineModel, path: str) -> str:
 
 def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors this package, once per Spark application, as ``--py-files`` would."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        package = Path(__file__).resolve().parents[1]
+        folder = tempfile.mkdtemp(prefix="tidemark-ship-")  # the driver's own; Spark serves the file from there
+        context.addPyFile(shutil.make_archive(f"{folder}/tidemark", "zip", package.parent, package.name))
+        _shipped.add(context.applicationId)

@@ -20,8 +20,8 @@ RATIO = "ratio_metric"
 class MetricDefinition:
     """One row of the metric table.
 
-    ``components`` (metric ids) feed a ``total_metric``; ``numerator`` (a base
-    metric id) and ``denominator`` (a derived metric id) feed a ``ratio_metric``.
+    ``components`` (metric ids) feed a ``total_metric``; ``numerator`` and ``denominator`` (metric ids)
+    feed a ``ratio_metric``. All of them are counts: any kind but a ratio.
     """
 
     metric_name_id: int
@@ -37,6 +37,34 @@ class MetricDefinition:
     def feature(self) -> str:
         return self.metric_name.lower()
 
+    @property
+    def sources(self) -> tuple[int | None, ...]:
+        """The metrics that this one is made of."""
+        if self.metric_kind == SUM_OF_METRICS:
+            return self.components
+        return (self.numerator, self.denominator) if self.metric_kind == RATIO else ()
+
+
+def in_order(definitions: tuple[MetricDefinition, ...]) -> tuple[MetricDefinition, ...]:
+    """The definitions, each behind those that it is made of; otherwise in the order given."""
+    by_id, placed, out = {d.metric_name_id: d for d in definitions}, set(), []
+
+    def add(d: MetricDefinition, path: tuple[int, ...]) -> None:
+        if d.metric_name_id in path:
+            raise ValueError(f"metrics are made of each other: {[*path, d.metric_name_id]}")
+        if d.metric_name_id in placed:
+            return
+        for i in d.sources:
+            if i not in by_id:
+                raise ValueError(f"metric {d.metric_name_id}: made of metric {i}, which is not defined")
+            add(by_id[i], (*path, d.metric_name_id))
+        placed.add(d.metric_name_id)
+        out.append(d)
+
+    for d in definitions:
+        add(d, ())
+    return tuple(out)
+
 
 # The twelve metrics.
 METRIC_DEFINITIONS = (
@@ -129,6 +157,7 @@ class ChurnSpec:
             raise ValueError(f"feature_order names unknown metric ids: {unknown}")
         for d in self.definitions:
             self._check(d, by_id)
+        in_order(self.definitions)  # an error if there is none
         object.__setattr__(self, "by_id", by_id)
 
     @staticmethod
@@ -138,11 +167,10 @@ class ChurnSpec:
         if d.metric_kind == SUM_OF_METRICS and not d.components:
             raise ValueError(f"metric {d.metric_name_id}: a total_metric needs components")
         if d.metric_kind == RATIO:
-            den = by_id.get(d.denominator)
-            if d.numerator not in by_id or den is None:
+            if d.numerator not in by_id or d.denominator not in by_id:
                 raise ValueError(f"metric {d.metric_name_id}: a ratio_metric needs numerator and denominator")
-            if den.metric_kind not in (TOTAL_EVENTS, UNIQUE_PRODUCTS):
-                raise ValueError(f"metric {d.metric_name_id}: the denominator must be a windowed total")
+        if any(by_id[i].metric_kind == RATIO for i in d.sources if i in by_id):
+            raise ValueError(f"metric {d.metric_name_id}: made of a ratio, which is no count")
         if d.metric_kind not in (BASIC, TOTAL_EVENTS, UNIQUE_PRODUCTS, SUM_OF_METRICS, RATIO):
             raise ValueError(f"metric {d.metric_name_id}: unknown kind {d.metric_kind!r}")
 
