@@ -71,7 +71,7 @@ class Numbers(dict):
 
 
 class Held:
-    """The words of one language that a task has read and not sent yet."""
+    """The words of one language, in order, that a task has read and not sent yet."""
 
     def __init__(self):
         self.numbers, self.lists, self.size = Numbers(), [], 0
@@ -204,64 +204,94 @@ def heavy_pair_counts(docs: DataFrame, suffixes) -> DataFrame:
 
 
 def grouped_suffixes(docs: DataFrame, suffixes, group_of_slot) -> DataFrame:
-    """group, depth (words in the prefix), lang, one, two, three (null: none) and f, merged within tasks."""
+    """The suffixes, merged within tasks, as one row per task's share of a group.
+
+    lang, group, ``words`` (the distinct ones, a line each) and arrays as bytes: ``places`` (three numbers of words for each suffix, 0:
+    none), ``depth`` (words in its prefix) and ``f``. So words are sent once per share, and Spark moves shares and not suffixes.
+    """
     shift = np.uint64(64 - SLOTS.bit_length() + 1)
 
     def make(lang, words, line):
         numbers, counts, prefixes, depth = suffixes.value.merged(lang, words, line)
         # what ends before its prefix does adds to no node: the counts of extended prefixes are known
-        whole = (depth == 1) | ((depth == 2) & (numbers[1] > 0)) | (numbers[2] > 0)
-        prefix = np.choose(depth - 1, prefixes)
-        group = group_of_slot.value[(prefix >> shift).astype(np.int64)][whole]
-        named = _strings(words)
-        texts = [named.take(pa.array(n[whole])) for n in numbers]
-        return pa.array(group), pa.array(depth[whole]), *texts, pa.array(counts[whole])
-
-    columns = [("lang", pa.string()), ("group", pa.int32()), ("depth", pa.int8())]
-    columns += [(n, pa.string()) for n in ("one", "two", "three")]
-    schema = "lang string, group int, depth byte, one string, two string, three string, f long"
-    return _mapped(docs, make, schema, pa.schema([*columns, ("f", pa.int64())]))
+        whole = np.flatnonzero((depth == 1) | ((depth == 2) & (numbers[1] > 0)) | (numbers[2] > 0))
+        group = group_of_slot.value[(np.choose(depth - 1, prefixes) >> shift).astype(np.int64)][whole]
+        order = np.argsort(group, kind="stable")
+        whole, group = whole[order], group[order]
+        if not len(whole):
+            return None
+        first = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
+        share = np.repeat(np.arange(len(first)), np.diff(np.r_[first, len(group)]))
+        # the words of each share: numbers within it, from 1 on
+        size = len(words)
+        triples = np.stack([n[whole] for n in numbers], axis=1)
+        used, place = np.unique(share[:, None] * size + triples, return_inverse=True)
+        place = place.reshape(triples.shape)
+        begin = np.searchsorted(used, np.arange(len(first) + 1) * size)
+        has_none = used[np.minimum(begin[:-1], len(used) - 1)] % size == 0
+        place = (place - (begin[:-1] + has_none)[share][:, None] + 1).astype(np.int32)
+        place[triples == 0] = 0
+        used = used % size
+        end = np.r_[first[1:], len(group)]
+        depth, counts = depth[whole], counts[whole]
+        texts = [b"\n".join([words[i] for i in used[x + n : y]]) for x, y, n in zip(begin[:-1], begin[1:], has_none, strict=True)]
+        parts = [[v[x:y].tobytes() for x, y in zip(first, end, strict=True)] for v in (place, depth, counts)]
+        return pa.array(group[first]), *(pa.array(x, pa.binary()) for x in (texts, *parts))
+
+    columns = [("lang", pa.string()), ("group", pa.int32()), *((n, pa.binary()) for n in ("words", "places", "depth", "f"))]
+    return _mapped(docs, make, "lang string, group int, words binary, places binary, depth binary, f binary", pa.schema(columns))
 
 
 _NODES = "lang string, size int, one string, two string, three string, f long, f1 long, f2 long"
 
 
-def subtree(table: pa.Table, least: int) -> pa.Table:
+def subtree(shares: pa.Table, least: int) -> pa.Table:
     """The nodes of one group's subtree with at least ``least`` leaves, and the counts of their ancestors (null above the prefix)."""
-    names = ["lang", "one", "two", "three"]
-    # ``one`` is never null; -1 stands for the end of a suffix
-    codes = [table[n].combine_chunks().dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False) for n in names]
-    order = np.lexsort(codes[::-1])
-    codes = [c[order] for c in codes]
-    f, prefix = table["f"].to_numpy()[order], table["depth"].to_numpy()[order]
-
-    new = np.zeros(len(order), bool)
+    firsts: dict[tuple[str, bytes], int] = {}  # first words, with their language
+    others: dict[bytes, int] = {b"": 0}
+    keys, depths, counts = [], [], []
+    for share in shares.to_pylist():
+        lang, words = share["lang"], [b"", *share["words"].split(b"\n")]
+        places = np.frombuffer(share["places"], np.int32).reshape(-1, WORDS)
+        number = np.array([others.setdefault(w, len(others)) for w in words], np.int64)
+        first = np.zeros(len(words), np.int64)
+        for i in np.unique(places[:, 0]):
+            first[i] = firsts.setdefault((lang, words[i]), len(firsts))
+        keys.append(np.column_stack([first[places[:, 0]], number[places[:, 1:]]]))
+        depths.append(np.frombuffer(share["depth"], np.int8))
+        counts.append(np.frombuffer(share["f"], np.int64))
+    suffixes, prefix, f = np.concatenate(keys), np.concatenate(depths), np.concatenate(counts)
+
+    if max(len(firsts), len(others)) < 1 << 21:
+        order = np.argsort((suffixes[:, 0] << 42) | (suffixes[:, 1] << 21) | suffixes[:, 2], kind="stable")
+    else:
+        order = np.lexsort(suffixes.T[::-1])
+    suffixes, prefix, f = suffixes[order], prefix[order], f[order]
+    new = np.zeros(len(f), bool)
     new[0] = True
-    new[1:] |= codes[0][1:] != codes[0][:-1]
     totals, leaf_of, found = [], [], []
-    for d in range(1, WORDS + 1):
-        new[1:] |= codes[d][1:] != codes[d][:-1]
+    for d in range(WORDS):
+        new[1:] |= suffixes[1:, d] != suffixes[:-1, d]
         starts = np.flatnonzero(new)
         totals.append(np.add.reduceat(f, starts))
         leaf_of.append(np.cumsum(new) - 1)  # node of every leaf
-        kept = (totals[-1] >= least) & (prefix[starts] <= d) & (codes[d][starts] >= 0)
-        found.append(starts[kept])
+        kept = (totals[-1] >= least) & (prefix[starts] <= d + 1)
+        found.append(starts[kept & (suffixes[starts, d] > 0)] if d else starts[kept])
 
-    rows = order[np.concatenate(found)]
     at = np.concatenate(found)
     size = np.repeat(np.arange(1, WORDS + 1), [len(x) for x in found])
     count = [totals[d][leaf_of[d][at]] for d in range(WORDS)]
-    texts = [table[n].take(pa.array(rows)).combine_chunks() for n in names]
-    none = pa.scalar(None, pa.string())
-    for d in (2, 3):
-        texts[d] = pa.compute.if_else(pa.array(size >= d), texts[d], none)
+    heads, words = list(firsts), list(others)
+    named = pa.array(words, pa.binary()).cast(pa.string())
+    one = pa.array([w for _, w in heads], pa.binary()).cast(pa.string())
+    later = [named.take(pa.array(suffixes[at, d], mask=size <= d)) for d in (1, 2)]
     return pa.table(
         {
-            "lang": texts[0],
+            "lang": pa.array([x for x, _ in heads], pa.string()).take(pa.array(suffixes[at, 0])),
             "size": pa.array(size, pa.int32()),
-            "one": texts[1],
-            "two": texts[2],
-            "three": texts[3],
+            "one": one.take(pa.array(suffixes[at, 0])),
+            "two": later[0],
+            "three": later[1],
             "f": pa.array(np.choose(size - 1, count), pa.int64()),
             "f1": pa.array(count[0], pa.int64(), mask=(prefix[at] > 1)),
             "f2": pa.array(count[1], pa.int64(), mask=(prefix[at] > 2)),
