@@ -203,3 +203,23 @@ def test_buckets_follow_the_data(spark, values):
     frame = spark.createDataFrame([("g", v) for v in values], "g string, v double")
     counts = ranks.value_counts(frame, "g", "v").groupBy("bucket").count().toPandas()["count"]
     assert len(counts) > 50 and counts.max() <= 8 * counts.mean()
+
+
+@pytest.mark.parametrize("accuracy", [20, 500])
+def test_sketched_quantiles_keep_their_rank_error(spark, accuracy):
+    rng = np.random.default_rng(accuracy)
+    values = np.round(np.exp(rng.normal(size=4000) * 2), 3)
+    rows = [(f"a{i}", "t", float(v), float(i % 2), i % 3 == 0) for i, v in enumerate(values)]
+    df = spark.createDataFrame(rows, "account_id string, metric_time string, x double, y double, is_churn boolean").repartition(5)
+    exact = {r.column_name: r for r in profile.dataset_summary(df).collect()}
+    ordered = np.sort(values)
+    for r in profile.dataset_summary(df, accuracy=accuracy).collect():
+        for name in ("count", "nonzero", "mean", "std", "skew", "min", "max"):
+            assert math.isclose(r[name], exact[r.column_name][name], rel_tol=1e-9, abs_tol=1e-12)
+        if r.column_name == "x":
+            for name, p in (("1pct", 0.01), ("25pct", 0.25), ("50pct", 0.5), ("75pct", 0.75), ("99pct", 0.99)):
+                low, high = np.searchsorted(ordered, r[name], "left"), np.searchsorted(ordered, r[name], "right")
+                assert low - 1 <= p * 4000 + 4000 / accuracy and high + 1 >= p * 4000 - 4000 / accuracy
+    cohorts = profile.churn_cohorts(df, ["x"], accuracy=accuracy).collect()
+    assert sum(c.n_accounts for c in cohorts) == 4000
+    assert all(abs(c.n_accounts - 400) <= 2 * 4000 / accuracy + 2 for c in cohorts)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import as_double
+from tidemark.functions.columns import as_double, quantile_name
 from tidemark.operators.ranks import (
     exact_quantiles,
     group_ranges,
@@ -22,22 +22,50 @@ EDGE_DECIMALS = 12
 
 def to_tall(df: DataFrame, columns: Sequence[str], *carry: Column) -> DataFrame:
     """One row per input row and column: ``name, value`` (DOUBLE, NaN as NULL)."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("name"), _value(df, c).alias("value")) for c in columns])
+    return df.select(*carry, F.inline(pairs))
 
-    def value(c: str) -> Column:
-        v = as_double(F.col(c).cast("int") if dict(df.dtypes)[c] == "boolean" else F.col(c))
-        return F.when(~F.isnan(v), v)
 
-    pairs = F.array(*[F.struct(F.lit(c).alias("name"), value(c).alias("value")) for c in columns])
-    return df.select(*carry, F.inline(pairs))
+def _value(df: DataFrame, c: str) -> Column:
+    """A column as DOUBLE, NaN as NULL."""
+    v = as_double(F.col(c).cast("int") if dict(df.dtypes)[c] == "boolean" else F.col(c))
+    return F.when(~F.isnan(v), v)
+
+
+def _sketched_summary(df: DataFrame, columns: Sequence[str], accuracy: int) -> DataFrame:
+    """The summary from one aggregate over the rows, without a shuffle of values."""
+    parts = []
+    for c in columns:
+        v = _value(df, c)
+        n = as_double(F.count(v))
+        skew = F.when(F.min(v) == F.max(v), F.lit(0.0)).otherwise(F.sqrt(n * (n - 1)) / (n - 2) * F.skewness(v))
+        found = F.percentile_approx(v, list(SUMMARY_QUANTILES), accuracy)
+        parts.append(
+            F.struct(
+                F.lit(c).alias("column_name"),
+                F.count(v).alias("count"),
+                F.avg(F.when(v.isNull() | (v != 0), 1.0).otherwise(0.0)).alias("nonzero"),
+                F.avg(v).alias("mean"),
+                F.when(n > 1, F.stddev_samp(v)).alias("std"),
+                F.when(n > 2, skew).alias("skew"),
+                F.min(v).alias("min"),
+                *[F.get(found, F.lit(i)).alias(quantile_name(p)) for i, p in enumerate(SUMMARY_QUANTILES)],
+                F.max(v).alias("max"),
+            )
+        )
+    return df.agg(F.array(*parts).alias("parts")).select(F.inline("parts"))
 
 
-def dataset_summary(df: DataFrame, ids: int = 2) -> DataFrame:
+def dataset_summary(df: DataFrame, ids: int = 2, accuracy: int | None = None) -> DataFrame:
     """One row per column after the first ``ids``: size, moments and exact quantiles.
 
     Everything is computed from the distinct values of each column, so the dataset
-    is read once and heavy repetition (counts, zeros) costs nothing.
+    is read once and heavy repetition (counts, zeros) costs nothing. With ``accuracy``, quantiles come from a mergeable sketch instead: each is a
+    value of the column whose rank is off by at most 1 / ``accuracy`` of the rows, and nothing is shuffled but the sketches.
     """
     columns = df.columns[ids:]
+    if accuracy is not None:
+        return _sketched_summary(df, columns, accuracy)
     counts = value_counts(to_tall(df, columns), "name", "value")
     ranges = group_ranges(counts, "name", "value")
     n, v = F.col("n"), F.col("value")
@@ -97,24 +125,31 @@ def churn_cohorts(
     n_cohorts: int = 10,
     exclude_zeros: bool = False,
     target: str = TARGET,
+    accuracy: int | None = None,
 ) -> DataFrame:
     """Mean and churn rate per quantile cohort of every metric, all metrics in one job.
 
     Cohorts are right-closed ranges between the distinct quantile edges (the lowest
     value belongs to the first cohort). A range without rows stays, with NULL means;
-    a constant metric has no cohorts.
+    a constant metric has no cohorts. With ``accuracy``, the edges come from a sketch, off by at most 1 / ``accuracy`` of the rows in
+    rank, and rows are counted in their cohorts where they are read.
     """
     tall = to_tall(df, metrics, F.col(target).cast("boolean").cast("int").alias("label")).where(
         "value is not null"
     )
     if exclude_zeros:
         tall = tall.where("value <> 0")
-    counts = value_counts(tall, "name", "value", churned=F.col("label"))
     probabilities = [i / n_cohorts for i in range(n_cohorts + 1)]
     rounded = F.round("quantile", EDGE_DECIMALS)
+    if accuracy is None:
+        counts = value_counts(tall, "name", "value", churned=F.col("label"))
+        quantiles = exact_quantiles(counts, "name", "value", probabilities)
+    else:
+        counts = tall.select("name", "value", F.lit(1).alias("n"), F.col("label").alias("churned"))
+        sketch = F.percentile_approx("value", probabilities, accuracy)
+        quantiles = tall.groupBy("name").agg(sketch.alias("q")).select("name", F.explode("q").alias("quantile"))
     edges = (
-        exact_quantiles(counts, "name", "value", probabilities)
-        .groupBy("name")
+        quantiles.groupBy("name")
         .agg(F.array_sort(F.collect_set(rounded)).alias("edges"))  # at most n_cohorts + 1 numbers
         .where(F.size("edges") > 1)
     )
