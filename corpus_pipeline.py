@@ -16,40 +16,40 @@ from tidemark.llm.queries import TOKENIZERS
 from tidemark.sources.storage import stored
 
 
-KEY = "_stage_row"
+def keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """The documents with a number for the row, stored so that every read sees the same numbers, and its column."""
+    key = "_stage_row"
+    while key in docs.columns:
+        key += "_"
+    return stored(docs.withColumn(key, F.monotonically_increasing_id())), key
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """The documents with a number for the row, stored so that every read sees the same numbers."""
-    return stored(docs.withColumn(KEY, F.monotonically_increasing_id()))
-
-
-def without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
+def without(docs: DataFrame, rejected: DataFrame, key: str) -> DataFrame:
     """The rows of ``docs``, made by ``keyed``, whose number is not in ``rejected``; their columns as they were."""
-    return docs.join(rejected.select(KEY), KEY, "left_anti").drop(KEY)
+    return docs.join(rejected.select(key), key, "left_anti").drop(key)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that fail the base rules, or that boilerplate lines have left with too little."""
-    docs = keyed(docs)
-    return without(docs, stored(quality_rules.quality_rules(docs, id_column=KEY).where("not kept").select(KEY)))
+    docs, key = keyed(docs)
+    return without(docs, stored(quality_rules.quality_rules(docs, id_column=key).where("not kept").select(key)), key)
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents predicted to be toxic by a model fitted on the labelled ones among ``docs``."""
-    docs = keyed(docs)
+    docs, key = keyed(docs)
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return without(docs, stored(toxicity.score(docs, model, id_column=KEY).where("predicted = 1").select(KEY)))
+    return without(docs, stored(toxicity.score(docs, model, id_column=key).where("predicted = 1").select(key)), key)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one row, the one with the smallest id, of each group of near duplicates. Missing ids come last."""
-    docs = keyed(docs)
-    found = near_dedup.near_duplicates(docs, id_column=KEY).select(KEY, "component_id")
-    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", KEY)
-    placed = stored(found.join(docs.select(KEY, order.alias("place")), KEY))
+    docs, key = keyed(docs)
+    found = near_dedup.near_duplicates(docs, id_column=key).select(key, "component_id")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", key)
+    placed = stored(found.join(docs.select(key, order.alias("place")), key))
     first = placed.groupBy("component_id").agg(F.min("place").alias("first"))
-    return without(docs, stored(placed.join(first, "component_id").where("place != first").select(KEY)))
+    return without(docs, stored(placed.join(first, "component_id").where("place != first").select(key)), key)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
