@@ -8,8 +8,6 @@ import numpy as np
 
 from tidemark.llm.common import Memo, per_process
 
-MEMO_WORDS = 250_000
-
 _MULTIPLIERS = np.random.default_rng(20).integers(0, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -18,7 +16,7 @@ def hash64(data: bytes) -> int:
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
-    memo = per_process("word_hashes", lambda: Memo(hash64, MEMO_WORDS))
+    memo = per_process("word_hashes", lambda: Memo(hash64))
     return np.fromiter(map(memo.__getitem__, words), np.int64, len(words)).view(np.uint64)
 
 

@@ -13,9 +13,10 @@ One pass, no shuffle: a group is made of consecutive rows of one scan task.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -26,31 +27,40 @@ from tidemark.llm.common import Memo, map_rows, per_process
 CAPACITY = 2048
 END_ID = 1
 GROUP = 4096
-#: Words whose ids a Python worker remembers (twice as many at most).
-MEMO_WORDS = 600_000
 #: Bytes of a text that are tokenised at a time.
 SLICE = 1 << 20
 
 _BLANK = re.compile(rb"[\x20\x09-\x0D]")
 
 
-def word_ids(path: str) -> Memo:
-    """Ids of a word as little-endian 32-bit numbers, by the library, for a tokenizer that drops white space.
+def word_ids(path: str) -> Callable[[list[bytes]], list[bytes]]:
+    """A function for the ids of words as little-endian 32-bit numbers, by the library, for a tokenizer that drops white space.
 
     Cutting at ASCII white space cannot change the ids: the tokenizer's normalizer works per character (blanks are
     starters that compose with nothing), its pre-tokenizer never matches across white space, and its
     special strings hold none.
     """
 
-    def make() -> Memo:
+    def make() -> Callable[[list[bytes]], list[bytes]]:
         from tokenizers import Tokenizer
 
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark has dealt out the cores
         tokenizer = Tokenizer.from_file(path)
 
-        def ids(word: bytes) -> bytes:
-            return np.array(tokenizer.encode(word.decode(), add_special_tokens=False).ids, "<u4").tobytes()
+        def ids(words: list[bytes]) -> Iterator[bytes]:
+            texts = [w.decode() for w in words]
+            return (np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False))
 
-        return Memo(ids, MEMO_WORDS)
+        memo = Memo(lambda word: next(ids([word])))
+
+        def ids_of(words: list[bytes]) -> list[bytes]:
+            new = memo.lacking(words)
+            for i in range(0, len(new), 1024):
+                for word, found in zip(new[i : i + 1024], ids(new[i : i + 1024]), strict=True):
+                    memo.put(word, found)
+            return list(map(memo.__getitem__, words))
+
+        return ids_of
 
     return per_process(("word_ids", path), make)
 
@@ -169,7 +179,7 @@ def pack(
     def start():
         from pyspark import TaskContext
 
-        memo = word_ids(tokenizer)
+        ids_of = word_ids(tokenizer)
         waiting: list[tuple] = []  # (id, tokens before the tail, tokens, ids of the tail)
         number = TaskContext.get().partitionId() << 40
 
@@ -191,7 +201,7 @@ def pack(
         def call(key, text: str | None) -> Iterator[tuple]:
             buffer, crcs, size = bytearray(), [], 4 * capacity
             for part in slices((text or "").encode()):
-                buffer += b"".join(map(memo.__getitem__, folded(part).split()))
+                buffer += b"".join(ids_of(folded(part).split()))
                 whole = len(buffer) // size * size
                 crcs += [zlib.crc32(buffer[i : i + size]) for i in range(0, whole, size)]
                 del buffer[:whole]

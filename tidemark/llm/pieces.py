@@ -27,7 +27,6 @@ from tidemark.llm.common import Memo, map_rows, per_process
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNKNOWN_PENALTY = 10.0
-MEMO_UNITS = 400_000
 LONGEST_UNIT = 64
 SLICE = 1 << 20
 
@@ -104,7 +103,7 @@ class Encoder:
         mark = f"{SPACE}*[^{SPACE}]+|{SPACE}+" if line else f"\n|{SPACE}*[^{SPACE}\n]+|{SPACE}+"
         self.units = re.compile(r"(?s).+" if inner else mark)
         self.inner = inner
-        self.memo = Memo(lambda unit: self.search(unit).tobytes(), MEMO_UNITS)
+        self.memo = Memo(lambda unit: self.search(unit).tobytes())
 
     def search(self, text: str) -> np.ndarray:
         """The ids of the best segmentation of one unit."""
@@ -183,12 +182,12 @@ class Decoder:
         return text[1:] if self.dummy_prefix and text.startswith(" ") else text
 
 
-def load(path: str) -> tuple[Encoder, Decoder]:
-    def make():
-        pieces = Pieces.read(path)
-        return Encoder(pieces), Decoder(pieces)
+def encoder(path: str) -> Encoder:
+    return per_process(("encoder", path), lambda: Encoder(Pieces.read(path)))
 
-    return per_process(("pieces", path), make)
+
+def decoder(path: str) -> Decoder:
+    return per_process(("decoder", path), lambda: Decoder(Pieces.read(path)))
 
 
 def encode(df: DataFrame, model: str, *, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -202,8 +201,8 @@ def encode(df: DataFrame, model: str, *, id_column: str = "doc_id", text_column:
     )
 
     def start():
-        encoder, _ = load(model)
-        return lambda key, text: [(key, encoder.encode(text))]
+        encode = encoder(model).encode
+        return lambda key, text: [(key, encode(text))]
 
     return map_rows(df.select(id_column, text_column), schema, start)
 
@@ -215,7 +214,29 @@ def decode(df: DataFrame, model: str, *, ids_column: str = "ids", text_column: s
     schema = T.StructType([*(df.schema[c] for c in names), T.StructField(text_column, T.StringType())])
 
     def start():
-        _, decoder = load(model)
-        return lambda *row: [(*row, None if row[place] is None else decoder.decode(row[place]))]
+        text_of = decoder(model).decode
+        return lambda *row: [(*row, None if row[place] is None else text_of(row[place]))]
 
     return map_rows(df.select(*names), schema, start)
+
+
+def encode_and_decode(df: DataFrame, model: str, *, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """The id, ``ids`` and ``decoded`` (their text) of every row, in one pass; nulls as in ``encode``, whose ids give an empty text."""
+    schema = T.StructType(
+        [
+            T.StructField(id_column, df.schema[id_column].dataType),
+            T.StructField("ids", T.ArrayType(T.IntegerType())),
+            T.StructField("decoded", T.StringType()),
+        ]
+    )
+
+    def start():
+        encode, text_of = encoder(model).encode, decoder(model).decode
+
+        def call(key, text):
+            ids = encode(text)
+            yield key, ids, text_of(ids)
+
+        return call
+
+    return map_rows(df.select(id_column, text_column), schema, start)

@@ -59,12 +59,12 @@ def op5_pieces(spark: SparkSession, folder: str) -> DataFrame:
     """The ids of every text, and whether decoding them gives the text back."""
     model = f"{TOKENIZERS}/piece_bpe_32k.model"
     docs = documents(spark, folder).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    decoded = pieces.decode(pieces.encode(docs.select(F.struct("doc_id", F.xxhash64("text").alias("h")).alias("key"), "text"), model, id_column="key"), model)
-    return decoded.select(
+    keyed = docs.select(F.struct("doc_id", F.xxhash64("text").alias("h")).alias("key"), "text")
+    return pieces.encode_and_decode(keyed, model, id_column="key").select(
         "key.doc_id",
         F.size("ids").cast("long").alias("n_pieces"),
-        F.crc32(F.col("text").cast("binary")).alias("decoded_crc32"),
-        (F.xxhash64("text") == F.col("key.h")).alias("round_trip"),
+        F.crc32(F.col("decoded").cast("binary")).alias("decoded_crc32"),
+        (F.xxhash64("decoded") == F.col("key.h")).alias("round_trip"),
         "ids",
     )
 

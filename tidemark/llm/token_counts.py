@@ -25,7 +25,6 @@ from tidemark.llm.common import Memo, map_rows, per_process
 
 CHUNK = 65_536
 OVERLAP = 512
-MEMO_PARTS = 600_000
 
 #: Python's white space holds all of Unicode's, so these places are stable for the tokenizer's own rule too.
 _CUTS = re.compile(r"(?<=\S)(?=[ \n])|(?<=[a-zA-Z])(?=[.,])")
@@ -71,7 +70,7 @@ def counter(path: str, chunk: int, overlap: int) -> Callable[[str], int]:
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
-        memo = Memo(lambda part: len(tokenizer.encode(part, add_special_tokens=False).ids), MEMO_PARTS)
+        memo = Memo(lambda part: len(tokenizer.encode(part, add_special_tokens=False).ids))
 
         def starts_of(part: str) -> list[int]:
             return [o[0] for o in tokenizer.encode(part, add_special_tokens=False).offsets]

@@ -41,7 +41,6 @@ STEMS = (4, 5, 6, 7)
 NEAR = 5
 TREES, DEPTH = 20, 3
 PARTS = 4
-MEMO_WORDS = 600_000
 
 #: Common insults; the learned terms add those of the labelled texts.
 INSULTS = frozenset(
@@ -103,7 +102,7 @@ def word_flags(*lexicons: frozenset[str]) -> Memo:
             + sum(_LEARNED << i for i, terms in enumerate(lexicons) if not terms.isdisjoint(keys))
         )
 
-    return Memo(make, MEMO_WORDS)
+    return Memo(make)
 
 
 def features(text: str | None, flags: Memo, lexicon: int = 0) -> list[float]:
@@ -190,7 +189,7 @@ def learned_terms(texts: DataFrame, max_terms: int) -> list[frozenset[str]]:
 
     def start():
         seen = [Counter() for _ in range(2 * PARTS)]
-        keys = Memo(lambda word: keys_of(plain_word(word.decode())[0]), MEMO_WORDS)
+        keys = Memo(lambda word: keys_of(plain_word(word.decode())[0]))
 
         def flush():
             rows: dict[str, list[int]] = {}
@@ -267,7 +266,12 @@ def fit(
     trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=7, weightCol="weight")
     fitted = trees.fit(rows.where(F.col("part") != last) if both else rows)
     isotonic = IsotonicRegression(featuresCol="raw", labelCol="label", weightCol="weight", predictionCol="calibrated")
-    return ToxicityModel(terms, fitted, isotonic.fit(with_raw(fitted, rows.where(F.col("part") == last) if both else rows)), 0.0)
+    scored = with_raw(fitted, rows.where(F.col("part") == last) if both else rows)
+    # equal scores are one point of the regression, so no score is a hot key
+    points = scored.groupBy("raw").agg(
+        F.sum("weight").alias("weight"), (F.sum(F.col("weight") * F.col("label")) / F.sum("weight")).alias("label")
+    )
+    return ToxicityModel(terms, fitted, isotonic.fit(points), 0.0)
 
 
 def with_raw(trees: GBTClassificationModel, rows: DataFrame) -> DataFrame:
