@@ -1,4 +1,6 @@
 import random
+import re
+import time
 
 import pytest
 from brute import ODD, base_secrets, joined, odd_table, sha
@@ -72,6 +74,37 @@ def test_the_body_of_a_private_key_is_redacted(spark):
     assert got[len(keys)] == "[SECRET]\nis the first line of a key\n[SECRET]"
 
 
+def test_time_follows_the_length_of_the_text():
+    """A megabyte behind a header is read a few times, not once for each of its characters."""
+    scan, begin = compile_rules(RULES), "-----BEGIN PRIVATE KEY-----"
+    for middle in ("\n", " ", "\\n", "a", "ab ", "\n" + "A" * 40):
+        times = []
+        for n in (1 << 17, 1 << 20):
+            text = begin + (middle * n)[:n] + "a" * 40 + "!"
+            start = time.perf_counter()
+            find_spans(scan, text)
+            times.append(time.perf_counter() - start)
+        assert times[1] < 8 * 4 * times[0] + 0.5 and times[1] < 5
+
+
+def test_random_keys_like_a_regular_expression():
+    scan = compile_rules(RULES)
+    plain = re.compile(next(r for r in RULES if r.kind == "pem").whole.encode())
+    rng = random.Random(5)
+    parts = ["-----BEGIN PRIVATE KEY-----", "-----END PRIVATE KEY-----", "-----BEGIN EC PRIVATE KEY-----", "\n", " ", "\\n", "aB3+" * 12, "x", "="]
+    parts += ["Proc-Type: 4,ENC", "DEK-Info:AB", "-", "!", "\r"]
+    for _ in range(3000):
+        text = "".join(rng.choices(parts, k=rng.randint(0, 12)))
+        found = [(s, e) for k, s, e in find_spans(scan, text) if k == "pem"]
+        data, at, expected = text.encode(), 0, []
+        while m := re.compile(rb"-----BEGIN ([A-Z]+ )*PRIVATE KEY-----").search(data, at):
+            # of the ways to match, the longest
+            end = max(e for e in range(m.end(), len(data) + 1) if plain.fullmatch(data, m.start(), e))
+            expected.append((m.start(), end))
+            at = end
+        assert found == expected, text
+
+
 def test_any_rules_can_be_given(spark):
     rules = (Rule("id", r"ID-[0-9]{3,5}"), Rule("word", r"(?:foo|bar)+x?"))
     table = spark.createDataFrame([(1, "ID-1234567 foobarx ID-12 bar")], "doc_id int, text string")

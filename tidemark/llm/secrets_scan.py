@@ -9,7 +9,6 @@ are made the same way. Matches of a rule are leftmost and do not overlap.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 
@@ -23,15 +22,16 @@ from tidemark.llm.common import map_rows, per_process
 
 @dataclass(frozen=True)
 class Rule:
-    """``shortest`` bytes at least must be in group ``group`` of ``pattern``, or the match is dropped.
+    """``shortest`` bytes at least of a match must come behind what ``head`` matches at its beginning, or it is dropped.
 
-    A match takes in as much of ``tail`` as follows it; the search for matches does not need it.
+    A match takes in as much of ``tail`` as follows it; the search for matches does not need it. All patterns
+    become automata, so no text takes more time than its length.
     """
 
     kind: str
     pattern: str
     shortest: int = 1
-    group: int = 0
+    head: str = ""
     tail: str = ""
 
     @property
@@ -45,7 +45,7 @@ BASE_RULES = (
         "assign",
         r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
         12,
-        2,
+        r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?""",
     ),
     Rule("access", r"AKIA[A-Z0-9]+", 18),
     Rule("hex", r"[0-9a-f]{16}[0-9a-f]*", 16),
@@ -276,7 +276,7 @@ class Scanner:
     search: Automaton
     forward: list[Automaton]
     backward: list[Automaton]
-    exact: list[re.Pattern]
+    heads: list[Automaton | None]
 
     def ends(self, data: bytes) -> dict[int, list[int]]:
         """The one pass: for each rule the places where a match ends."""
@@ -301,8 +301,9 @@ class Scanner:
                 if start is None:
                     continue
                 last = longest(self.forward[rule], data, start)
-                group = self.exact[rule].fullmatch(data, start, last)[self.rules[rule].group]
-                if len(group) >= self.rules[rule].shortest:
+                head = self.heads[rule]
+                secret = last - (longest(head, data, start) if head else start)
+                if secret >= self.rules[rule].shortest:
                     out.append((start, last, rule))
         return sorted(out)
 
@@ -337,7 +338,7 @@ def compile_rules(rules: tuple[Rule, ...]) -> Scanner:
         compile_trees(trees, anywhere=True),
         [compile_trees([parse(r.whole)], anywhere=False) for r in rules],
         [compile_trees([mirrored(t)], anywhere=False) for t in trees],
-        [re.compile(r.whole.encode()) for r in rules],
+        [compile_trees([parse(r.head)], anywhere=False) if r.head else None for r in rules],
     )
 
 
