@@ -2,7 +2,8 @@
 
 Candidates are the matches of the base patterns, those that fail their filters included, and matches of wider patterns
 (spelled-out e-mail addresses, telephone numbers without a country code, dotted card numbers, IPv6).
-Six labelers vote on each: two by form (regular expressions), two by gazetteers, two by context. Expectation-
+Six labelers vote on each: two by form (regular expressions), one by gazetteers, two by the words and characters around it, and one by
+company: whether the document has base spans of another kind. Expectation-
 maximisation over the counts of vote patterns estimates how reliable each labeler is, and so a probability for each candidate.
 With these as soft labels a logistic classifier on properties of the span is trained; it decides on
 the candidates that are no base spans. Base spans always stay.
@@ -102,7 +103,10 @@ def _vote(yes: Column, no: Column) -> Column:
 
 
 def votes(kind: str, m: Column, before: Column, after: Column, base: Column, wide: bool) -> list[Column]:
-    """Six votes: 1 for personal data, -1 against, 0 for no opinion. On wide matches the base filter has no opinion."""
+    """Six votes: 1 for personal data, -1 against, 0 for no opinion. On wide matches the base filter has no opinion.
+
+    Each looks at something of its own. The fourth, on the company in the document, is put in by ``with_company``.
+    """
     clean = F.rlike(F.right(before, F.lit(1)), F.lit(r"^[^A-Za-z0-9]?$")) & F.rlike(after, F.lit(r"^[^A-Za-z0-9]?$"))
     rare = {  # gazetteers: (for, against)
         "email": (F.rlike(F.lower(m), F.lit(_DOMAINS)), F.rlike(F.lower(m), F.lit(_ROLES))),
@@ -120,7 +124,7 @@ def votes(kind: str, m: Column, before: Column, after: Column, base: Column, wid
         F.lit(0) if wide else _vote(base, ~base),
         _vote(shape, ~shape),
         _vote(rare[0], rare[1]),
-        _vote(F.lit(False), rare[1]),
+        F.lit(0),
         _vote(F.rlike(before, F.lit(_FOR)), F.rlike(before, F.lit(_AGAINST))),
         _vote(F.lit(False), ~clean),
     ]
@@ -208,7 +212,25 @@ def candidates(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
     for kind, pattern in WIDE:
         names.append(f"_wide_{kind}")
         rows = _with_matches(rows, names[-1], kind, pattern, wide[kind], wide=True)
-    return rows.select(F.col("_id").alias(id_column), F.concat(*names).alias("candidates"))
+    rows = rows.select(F.col("_id").alias(id_column), F.concat(*names).alias("candidates"))
+    return rows.withColumn("candidates", with_company(F.col("candidates")))
+
+
+def with_company(found: Column) -> Column:
+    """The candidates of a document, with the vote on their company: base spans of other kinds speak for a candidate."""
+    n = F.aggregate(found, F.lit(0), lambda s, c: s + c["base"].cast("int"))
+    per_kind = {k: F.aggregate(found, F.lit(0), lambda s, c, k=k: s + (c["base"] & (c["kind"] == k)).cast("int")) for k in KINDS}
+    counts = F.struct(n.alias("all"), *[c.alias(k) for k, c in per_kind.items()])
+
+    def voted(c: Column, count: Column) -> Column:
+        own = F.lit(0)
+        for k in KINDS:
+            own = F.when(c["kind"] == k, count[k]).otherwise(own)
+        vote = F.when(count["all"] > own, 1).otherwise(0)
+        return c.withField("votes", F.concat(F.slice(c["votes"], 1, 3), F.array(vote), F.slice(c["votes"], 5, 2)))
+
+    # the counts are an array of one element, so that they are taken once for each document
+    return F.flatten(F.transform(F.array(counts), lambda count: F.transform(found, lambda c: voted(c, count))))
 
 
 @dataclass
