@@ -13,7 +13,6 @@ One pass, no shuffle: a group is made of consecutive rows of one scan task.
 
 from __future__ import annotations
 
-import os
 import re
 import zlib
 from collections.abc import Callable, Iterator
@@ -44,21 +43,30 @@ def word_ids(path: str) -> Callable[[list[bytes]], list[bytes]]:
     def make() -> Callable[[list[bytes]], list[bytes]]:
         from tokenizers import Tokenizer
 
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark has dealt out the cores
         tokenizer = Tokenizer.from_file(path)
 
-        def ids(words: list[bytes]) -> Iterator[bytes]:
+        def ids(words: list[bytes]) -> list[bytes]:
+            """Many words cost one call: they are one text, cut where the words begin."""
             texts = [w.decode() for w in words]
-            return (np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False))
+            found = tokenizer.encode(" ".join(texts), add_special_tokens=False)
+            data = np.array(found.ids, "<u4").tobytes()
+            starts = np.fromiter((o[0] for o in found.offsets), np.int64, len(data) // 4)
+            cuts = np.searchsorted(starts, np.cumsum([0] + [len(t) + 1 for t in texts])).tolist()
+            return [data[4 * a : 4 * b] for a, b in zip(cuts, cuts[1:])]
 
-        memo = Memo(lambda word: next(ids([word])))
+        memo = Memo(lambda word: ids([word])[0])
 
         def ids_of(words: list[bytes]) -> list[bytes]:
-            new = memo.lacking(words)
-            for i in range(0, len(new), 1024):
-                for word, found in zip(new[i : i + 1024], ids(new[i : i + 1024]), strict=True):
-                    memo.put(word, found)
-            return list(map(memo.__getitem__, words))
+            found = list(map(memo.get, words))
+            if None in found:
+                new = memo.lacking(w for w, x in zip(words, found, strict=True) if x is None)
+                fresh = {}
+                for i in range(0, len(new), 1024):
+                    fresh |= zip(new[i : i + 1024], ids(new[i : i + 1024]), strict=True)
+                for word, x in fresh.items():
+                    memo.put(word, x)
+                found = [x if x is not None else fresh[w] if w in fresh else memo[w] for w, x in zip(words, found, strict=True)]
+            return found
 
         return ids_of
 
