@@ -172,6 +172,76 @@ from p
 """
 
 
+def _tree_sql(name: str, leaves: str, levels: int) -> list[str]:
+    """Tables for the trees over ``leaves`` (tree, p, d, f): per level the nodes, and what each leaf has beside and above it.
+
+    ``{name}`` ends with tree, p, root, proof (siblings, joined) and folded.
+    """
+    out = [
+        f"{name}_n0 as (select tree, p, d, count(*) over (partition by tree is null, tree) as n from {leaves})",
+        f"{name}_w0 as (select tree, p, '' as proof, f as folded from {leaves})",
+    ]
+    for k in range(levels):
+        out += [
+            f"""{name}_r{k} as materialized (select tree, p // 8 as p, list(d order by p) as ds, any_value(n) as n
+                from {name}_n{k} group by tree, p // 8)""",
+            f"""{name}_n{k + 1} as (select tree, p, case when n = 1 then ds[1] else sha256(array_to_string(ds, '')) end as d,
+                count(*) over (partition by tree is null, tree) as n from {name}_r{k})""",
+            f"""{name}_w{k + 1} as (
+                select w.tree, w.p, w.proof || case when r.n = 1 then '' else a || b end as proof,
+                       case when r.n = 1 then w.folded else sha256(a || w.folded || b) end as folded
+                from (select w.*, w.p // {8 ** (k + 1)} as up, w.p // {8**k} % 8 as place from {name}_w{k} w) w
+                join (select * from {name}_r{k}) r on r.tree is not distinct from w.tree and r.p = w.up,
+                lateral (select coalesce(array_to_string(r.ds[1 : place], ''), '') as a,
+                                coalesce(array_to_string(r.ds[place + 2 :], ''), '') as b))""",
+        ]
+    out.append(
+        f"""{name} as (select w.tree, w.p, w.proof, w.folded, n.d as root
+            from {name}_w{levels} w join {name}_n{levels} n on n.tree is not distinct from w.tree)"""
+    )
+    return out
+
+
+def _op13_sql() -> str:
+    """Up to 8 ** 6 rows a group and 8 ** 3 groups."""
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    digest = lambda text: "sha256(" + " || ".join(
+        f"coalesce(strlen({v}) || ':' || {v}, '-')" for v in ("cast(doc_id as varchar)", "source", "lang", "cast(n_chars as varchar)", text)
+    ) + ")"
+    steps = ", ".join(["-1"] * 8)
+    crc = f"""xor(list_reduce(list_prepend(4294967295::bigint, flatten(list_transform(string_split(cast(doc_id as varchar), ''),
+        lambda c: [ord(c)::bigint, {steps}]))), lambda s, x: case when x >= 0 then xor(s, x)
+        when s & 1 = 1 then xor(s >> 1, 3988292384::bigint) else s >> 1 end), 4294967295::bigint)"""
+    forged = digest(f"translate(text, '{upper}', '{upper.lower()}')")
+    tables = [
+        f"""leaves as materialized (select doc_id, lang as tree, d, case when hit then forged else d end as f,
+            row_number() over (partition by lang is null, lang order by doc_id nulls first, d) - 1 as p
+            from (select doc_id, lang, {digest('text')} as d, {forged} as forged, doc_id is not null and {crc} % 3 = 0 as hit from documents))""",
+        *_tree_sql("inner_", "leaves", 6),
+        """subroots as materialized (select 'all' as tree, tree as lang, root as d, '' as f,
+            row_number() over (order by tree nulls first) - 1 as p
+            from (select distinct tree, root from inner_))""",
+        *_tree_sql("over_", "subroots", 3),
+    ]
+    # the outer steps of every leaf go on from what the inner ones have folded
+    body = """select l.doc_id, l.d as leaf, s.d as subroot, o.root, sha256(i.proof || o.proof) as proof_sha256, i.folded, s.p as up
+        from leaves l join inner_ i on i.tree is not distinct from l.tree and i.p = l.p
+        join subroots s on s.lang is not distinct from l.tree join over_ o on o.p = s.p"""
+    folded = [f"f0 as (select *, folded as x from ({body}))"]
+    for k in range(3):
+        folded.append(
+            f"""f{k + 1} as (select f.* exclude (x), case when r.n = 1 then f.x else sha256(
+                coalesce(array_to_string(r.ds[1 : f.up // {8**k} % 8], ''), '') || f.x
+                || coalesce(array_to_string(r.ds[f.up // {8**k} % 8 + 2 :], ''), '')) end as x
+                from f{k} f join over__r{k} r on r.p = f.up // {8 ** (k + 1)})"""
+        )
+    return f"""with {', '.join(tables + folded)}
+        select doc_id, leaf, subroot, root, proof_sha256, x as folded_root, x = root as verified from f3"""
+
+
+OP13_SQL = _op13_sql()
+
+
 def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     return merkle.manifest(documents(spark, folder))
 
@@ -195,4 +265,4 @@ def all_queries() -> dict[str, Query]:
 
 
 def all_checks() -> dict[str, str]:
-    return {"op6_topk": OP6_SQL, "op11_collocations": OP11_SQL, "op12_warc": OP12_SQL}
+    return {"op6_topk": OP6_SQL, "op11_collocations": OP11_SQL, "op12_warc": OP12_SQL, "op13_merkle_manifest": OP13_SQL}
