@@ -173,6 +173,12 @@ def test_whole_flow(spark, tmp_path):
     report = pipeline.run(load(spark, TESTDATA), spec, out, grid)
     assert report["scoring"]["n_customers_scored"] == 51
     assert 0 <= report["training"]["roc_auc"] <= 1
+    document = report["training"]["classification_report"]
+    assert set(document) == {"0", "1", "accuracy", "macro avg", "weighted avg"}
+    assert document["accuracy"] == report["training"]["accuracy"]
+    assert set(document["0"]) == {"precision", "recall", "f1-score", "support"}
+    predicted = spark.read.option("header", True).csv(f"{out}/predictions_csv")
+    assert predicted.columns == ["account_id", "metric_time", "churn_probability", "predicted_is_churn"] and predicted.count() == 51
     metadata = json.loads((tmp_path / "run/processed/preprocess_metadata.json").read_text())
     assert metadata["n_train_rows"] + metadata["n_valid_rows"] == 141
     assert metadata["feature_columns"] == spec.features

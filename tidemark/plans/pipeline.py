@@ -136,10 +136,7 @@ def train_and_evaluate(
         report = evaluate.binary_metrics(scored).first().asDict()
         cells = evaluate.confusion_matrix(scored).orderBy("actual", "predicted").collect()  # four rows
         report["confusion_matrix"] = [[c["n"] for c in cells if c["actual"] == a] for a in (0, 1)]
-        report["classification_report"] = {
-            r["class"]: {k: r[k] for k in ("precision", "recall", "f1_score", "support")}
-            for r in evaluate.classification_report(scored).collect()  # five rows
-        }
+        report["classification_report"] = report_document(evaluate.classification_report(scored))
         write_parquet(evaluate.roc_curve(scored), f"{out}/reports/roc_curve")
     finally:
         scored.unpersist()
@@ -152,6 +149,15 @@ def train_and_evaluate(
     return trained, report
 
 
+def report_document(report: DataFrame) -> dict[str, object]:
+    """The classification report as a nested document: per class and mean its four numbers, the accuracy as one number."""
+    keys = {"precision": "precision", "recall": "recall", "f1_score": "f1-score", "support": "support"}
+    rows = report.collect()  # five of them
+    return {
+        r["class"]: r["precision"] if r["class"] == "accuracy" else {name: r[c] for c, name in keys.items()} for r in rows
+    }
+
+
 def score_and_report(spark: SparkSession, current: DataFrame, out: str) -> dict:
     """Score the current accounts with the stored model; write predictions, histogram and summary."""
     model = load_model(f"{out}/models/churn_model")
