@@ -23,8 +23,8 @@ from pyspark.sql import types as T
 
 from tidemark.llm.common import BLANKS, map_rows
 from tidemark.llm.hashing import hash64, window_hashes, word_hashes
-from tidemark.llm.near_dedup import near_duplicates
-from tidemark.sources.storage import stored
+from tidemark.llm.near_dedup import near_duplicates, rows_with
+from tidemark.sources.storage import release, stored
 
 SYMBOLS = b"#*$%&|<>"
 WINDOW = 8
@@ -71,11 +71,15 @@ def line_key(parts: list[bytes]) -> int:
     return hash64(b" ".join(parts))
 
 
-def document_key(text: Column) -> Column:
-    """A hash of the whole normalised text."""
+def normal_text(text: Column) -> Column:
+    """A-Z in lower case, digits to 0."""
     upper, digits = "".join(map(chr, range(65, 91))), "123456789"
-    normal = F.translate(F.coalesce(text, F.lit("")), upper + digits, upper.lower() + "0" * 9)
-    return F.xxhash64(F.trim(F.regexp_replace(normal, r"[ \t\n\x0B\f\r]+", " ")))
+    return F.translate(F.coalesce(text, F.lit("")), upper + digits, upper.lower() + "0" * 9)
+
+
+def document_key(text: Column) -> Column:
+    """A hash (128 bits) of the whole normalised text, with single blanks."""
+    return F.unhex(F.md5(F.trim(F.regexp_replace(normal_text(text), r"[ \t\n\x0B\f\r]+", " ")).cast("binary")))
 
 
 def text_facts(text: str) -> tuple:
@@ -109,7 +113,7 @@ def document_facts(df: DataFrame, id_column: str, text_column: str, host_column:
             T.StructField("_row", T.LongType()),
             T.StructField(id_column, df.schema[id_column].dataType),
             T.StructField("_host", T.StringType()),
-            T.StructField("_doc", T.LongType()),
+            T.StructField("_doc", T.BinaryType()),
             *(T.StructField(c, T.LongType()) for c in longs),
             T.StructField("line_hash", T.ArrayType(T.LongType())),
             T.StructField("line_words", T.ArrayType(T.IntegerType())),
@@ -138,8 +142,8 @@ def own_texts(holders: DataFrame, texts: DataFrame) -> DataFrame:
     schema = T.StructType(
         [
             T.StructField("_host", T.StringType()),
-            T.StructField("_doc", T.LongType()),
-            T.StructField("component", T.LongType()),
+            T.StructField("_doc", T.BinaryType()),
+            T.StructField("component", T.BinaryType()),
             T.StructField("place", T.LongType()),
             T.StructField("held", T.BooleanType()),
             T.StructField("line", T.StringType()),
@@ -157,6 +161,7 @@ def own_texts(holders: DataFrame, texts: DataFrame) -> DataFrame:
         return call
 
     of_doc = holders.groupBy("_host", "_doc", "component").agg(F.collect_set("line_hash").alias("held"))
+    texts = rows_with(texts, "_doc", of_doc.select(F.col("_doc").alias("id"))).dropDuplicates(["_doc"])
     lines = stored(map_rows(of_doc.join(texts, "_doc").select("_host", "_doc", "component", "held", "text"), schema, start))
     window, line = F.explode("windows").alias("window"), ("_host", "_doc", "place")
     known = lines.where("held").select("_host", "component", window).distinct()
@@ -171,20 +176,24 @@ def own_texts(holders: DataFrame, texts: DataFrame) -> DataFrame:
 def document_classes(pairs: DataFrame, holders: DataFrame, texts: DataFrame) -> DataFrame:
     """``pairs`` (_host, _doc) with ``class``, the same for near copies.
 
-    ``holders`` has the lines (_host, _doc, line_hash) that too many texts have, ``texts`` one text of each _doc.
+    ``holders`` has the lines (_host, _doc, line_hash) that too many texts have, ``texts`` the normalised text of every row
+    with its _doc; they are read where they are.
     """
 
-    def linked(rows: DataFrame, key: str, name: str) -> DataFrame:
-        found = near_duplicates(rows, id_column=key, text_column="text")
-        return stored(found.select(key, F.col("component_id").alias(name)))
+    def linked(rows: DataFrame, key: str, name: str, **options) -> DataFrame:
+        found = near_duplicates(rows, id_column=key, text_column="text", **options)
+        return found.select(key, F.col("component_id").alias(name))
 
-    parts = linked(texts, "_doc", "component")
+    parts = linked(texts, "_doc", "component", ids=pairs.select("_doc"))
     groups = parts.groupBy("component").agg(F.count("*").alias("n")).where("n > 1").select("component")
-    shared = holders.join(parts.join(groups, "component", "left_semi"), "_doc")
-    own = stored(own_texts(shared, texts).withColumn("_key", F.xxhash64("_host", "_doc")))
-    own = own.select("_host", "_doc", "_key").join(linked(own, "_key", "own"), "_key").drop("_key")
-    placed = pairs.join(parts, "_doc").join(own, ["_host", "_doc"], "left")
-    return stored(placed.select("_host", "_doc", F.struct("component", "own").alias("class")))
+    shared = stored(holders.join(parts.join(groups, "component", "left_semi"), "_doc"))
+    key = F.unhex(F.md5(F.concat(F.col("_host").cast("binary"), F.col("_doc"))))
+    own = stored(own_texts(shared, texts).withColumn("_key", key))
+    found = own.select("_host", "_doc", "_key").join(linked(own, "_key", "own"), "_key").drop("_key")
+    placed = pairs.join(parts, "_doc").join(found, ["_host", "_doc"], "left")
+    classes = stored(placed.select("_host", "_doc", F.struct("component", "own").alias("class")))
+    release(shared, own)
+    return classes
 
 
 def boilerplate_lines(
@@ -192,8 +201,8 @@ def boilerplate_lines(
 ) -> DataFrame:
     """(host, line hash) of the lines above both limits.
 
-    Near copies make counts smaller only, so they are looked for among the documents that a line above the first
-    limit has, and, where the share can be the higher limit, among all of the host. A copy group of any size adds one to a
+    Near copies make counts smaller only, so they are looked for among the documents that a line above the first limit has.
+    The share is one of the host's distinct documents. A copy group of any size adds one to a
     count, and repeated rows of a key meet in partial aggregates first, so no line or host is a hot key of the exchange.
     """
     lines = facts.select("_host", "_doc", F.explode("line_hash").alias("line_hash")).distinct()
@@ -202,22 +211,19 @@ def boilerplate_lines(
     if many.isEmpty():
         return many
     holders = stored(lines.join(many, ["_host", "line_hash"], "left_semi"))
-    pairs = stored(facts.select("_host", "_doc").distinct().join(many.select("_host").distinct(), "_host", "left_semi"))
-    hosts = pairs.groupBy("_host").agg(F.count("*").alias("_all"))
-    large = hosts.where(F.col("_all") * max_share > max_documents).select("_host")
-    wanted = holders.select("_host", "_doc").unionByName(pairs.join(large, "_host", "left_semi")).distinct()
-    wanted = stored(wanted)
-
-    texts = df.select(document_key(F.col(text_column)).alias("_doc"), F.coalesce(text_column, F.lit("")).alias("text"))
-    texts = stored(texts.join(wanted.select("_doc").distinct(), "_doc", "left_semi").dropDuplicates(["_doc"]))
-    classes = document_classes(wanted, holders, texts)
-    per_line = holders.join(classes, ["_host", "_doc"]).select("_host", "line_hash", "class").distinct()
-    per_line = per_line.groupBy("_host", "line_hash").agg(F.count("*").alias("_docs"))
-    # of other hosts the share is below the first limit, with or without near copies
-    totals = classes.join(large, "_host", "left_semi").select("_host", "class").distinct()
-    totals = totals.groupBy("_host").agg(F.count("*").alias("_all"))
-    found = per_line.where(F.col("_docs") > max_documents).join(totals, "_host", "left")
-    return found.where(F.col("_docs") > F.coalesce("_all", F.lit(0)) * max_share).select("_host", "line_hash")
+    hosts = facts.join(many.select("_host").distinct(), "_host", "left_semi").select("_host", "_doc").distinct()
+    hosts = hosts.groupBy("_host").agg(F.count("*").alias("_all"))
+    # lines that the share alone lets stay need no comparison
+    totals = stored(holders.groupBy("_host", "line_hash").agg(F.count("*").alias("_docs")).join(hosts, "_host"))
+    above = totals.where(F.col("_docs") > F.col("_all") * max_share).select("_host", "line_hash", "_all")
+    holders = holders.join(above, ["_host", "line_hash"])
+    wanted = stored(holders.select("_host", "_doc").distinct())
+    texts = df.select(document_key(F.col(text_column)).alias("_doc"), normal_text(F.col(text_column)).alias("text"))
+    classes = document_classes(wanted, holders.drop("_all"), texts)
+    per_line = holders.join(classes, ["_host", "_doc"]).select("_host", "line_hash", "_all", "class").distinct()
+    per_line = per_line.groupBy("_host", "line_hash", "_all").agg(F.count("*").alias("_docs"))
+    found = per_line.where((F.col("_docs") > max_documents) & (F.col("_docs") > F.col("_all") * max_share))
+    return found.select("_host", "line_hash")
 
 
 def quality_rules(
