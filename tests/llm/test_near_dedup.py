@@ -9,6 +9,7 @@ from brute import ODD, WORD, odd_table
 
 from pyspark.sql import functions as F
 
+from tidemark.llm import near_dedup
 from tidemark.llm.near_dedup import (
     BANDS, PERCENT, ROWS, components, differing_bytes, hash_functions, least_equal, minima, near_duplicates, shingle_set,
     signature,
@@ -101,6 +102,35 @@ def test_copies_chains_and_passages(spark):
     held(near_duplicates(docs).collect(), texts)
 
 
+def test_documents_just_outside_of_a_group(spark, monkeypatch):
+    """They are held against the group's union, not against each member, and none that is linked is lost."""
+    rng, texts, counts = random.Random(2), {}, []
+    base = text(rng, 100).split()
+
+    def edited(n):
+        words = list(base)
+        for at in rng.sample(range(100), n):
+            words[at] = text(rng, 1) + "x"
+        return " ".join(words)
+
+    for i in range(300):
+        texts[i] = edited(1)
+    for i in range(80):
+        texts[1000 + i] = edited(rng.choice([3, 4, 5]))
+    possible = near_dedup.possible_pairs
+
+    def counted(*given):
+        pairs = possible(*given)
+        counts.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(near_dedup, "possible_pairs", counted)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)
+    held(near_duplicates(docs).collect(), texts)
+    outside = sum(c >= 1000 for _, c in brute(texts).values())
+    assert outside > 20 and counts[0] < 20 * outside
+
+
 def test_signature_is_unbiased():
     rng = np.random.default_rng(1)
     functions = hash_functions(384)

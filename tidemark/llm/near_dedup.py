@@ -11,7 +11,11 @@
    others, members are compared with a centre drawn at random for each bucket (``CENTRES`` times), and at last, where a
    bucket still holds several components, with the members of the *other* components. So every pair of a
    bucket is either compared or known to be connected, and a group of near copies costs a few comparisons a document.
-5. Components by alternating large-star and small-star steps, on links between component ids from the second round on.
+5. Before that last step a document is held against large groups as wholes: the members of a component of about one size. What it shares with
+   any of them it shares with the union of their sets, which bounds the similarity to all of them at once. Only where the
+   bound reaches the limit are the members compared one by one. So a document just outside of a large group costs one look at the
+   group's union, not one at each member, and no link is lost.
+6. Components by alternating large-star and small-star steps, on links between component ids from the second round on.
 
 Whatever is read again is written to the shared folder. Groups are handled by joins and partial
 aggregates, which adaptive execution can split; no group meets in one task.
@@ -28,7 +32,7 @@ from pyspark.sql import types as T
 
 from tidemark.llm.common import map_rows
 from tidemark.llm.hashing import window_hashes, word_hashes
-from tidemark.sources.storage import stored
+from tidemark.sources.storage import release, stored
 
 SHINGLE = 5
 PERCENT = 75
@@ -37,6 +41,10 @@ ROWS = 6
 #: Standard deviations by which the agreement of signatures may fall short of what the similarity lets expect. Sets that
 #: are exactly as similar as the limit fail by chance less often than they miss each other in all bands.
 SLACK = 5
+#: Members of a group in a bucket from which on it is met as a whole first.
+LARGE = 8
+#: Ratio of the sizes of the sets in one band of sizes.
+SIZE_BAND = 1.04
 #: Rounds of comparison with random centres.
 CENTRES = 2
 #: Size of the bitmap of wanted ids, in bits (4 MB). It only saves work: rows that it lets through by chance do no harm.
@@ -139,7 +147,8 @@ def rows_with(df: DataFrame, id_column: str, ids: DataFrame) -> DataFrame:
     return joined.where(F.getbit(byte, F.pmod(bit, F.lit(8)).cast("int")) == 1).select(*df.columns)
 
 
-def full_sets(df: DataFrame, id_column: str, text_column: str, ids: DataFrame) -> DataFrame:
+def full_sets(df: DataFrame, id_column: str, text_column: str, ids: DataFrame, once: bool) -> DataFrame:
+    """The sets of the rows with these ids; with ``once``, one for each id."""
     schema = T.StructType(
         [T.StructField("id", df.schema[id_column].dataType), T.StructField("shingles", T.ArrayType(T.LongType()))]
     )
@@ -150,7 +159,8 @@ def full_sets(df: DataFrame, id_column: str, text_column: str, ids: DataFrame) -
 
         return call
 
-    return stored(map_rows(rows_with(df.select(id_column, text_column), id_column, ids), schema, start))
+    sets = map_rows(rows_with(df.select(id_column, text_column), id_column, ids), schema, start)
+    return stored(sets.dropDuplicates(["id"]) if once else sets)
 
 
 def least_equal(minima: int, percent: int) -> int:
@@ -177,19 +187,23 @@ def may_be_linked(a: str, b: str, percent: int, minima: int) -> Column:
     return (100 * small >= percent * large) & (differing <= minima - least_equal(minima, percent))
 
 
-def confirmed(pairs: DataFrame, classes: DataFrame, df: DataFrame, names: tuple[str, str], percent: int, minima: int) -> DataFrame:
+def confirmed(
+    pairs: DataFrame, classes: DataFrame, df: DataFrame, names: tuple[str, str], percent: int, minima: int, once: bool
+) -> DataFrame:
     """Those of the pairs (a < b) that are links, checked by size and signature, then on the full sets."""
     facts = classes.select("id", F.struct("n_shingles", "signature").alias("f"))
     for side in "ab":
         pairs = pairs.join(facts.select(F.col("id").alias(side), F.col("f").alias(f"f{side}")), side)
     likely = stored(pairs.where(may_be_linked("fa", "fb", percent, minima)).select("a", "b"))
     ids = likely.select(F.col("a").alias("id")).distinct().union(likely.select(F.col("b").alias("id")).distinct())
-    sets = full_sets(df, *names, ids)
+    sets = full_sets(df, *names, ids, once)
     both = likely.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb")), "b").join(
         sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa")), "a"
     )
     common = F.size(F.array_intersect("sa", "sb"))
-    return stored(both.where(100 * common >= percent * (F.size("sa") + F.size("sb") - common)).select("a", "b"))
+    links = stored(both.where(100 * common >= percent * (F.size("sa") + F.size("sb") - common)).select("a", "b"))
+    release(likely, sets)
+    return links
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -211,10 +225,13 @@ def components(links: DataFrame) -> DataFrame:
         large = around.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = stored(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
+        last, edges = edges, stored(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
+        release(last)
         before, now = now, state(edges)
     tops = edges.select(F.col("v").alias("id")).distinct().withColumn("component", F.col("id"))
-    return stored(edges.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(tops))
+    found = stored(edges.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(tops))
+    release(edges)
+    return found
 
 
 def in_components(rows: DataFrame, parts: DataFrame, column: str = "id") -> DataFrame:
@@ -233,7 +250,9 @@ def joined_parts(parts: DataFrame, links: DataFrame) -> DataFrame:
     )
     known = moved.select("id", F.coalesce("n", "c").alias("component"))
     new = higher.join(parts.select("id"), "id", "left_anti")  # ids without a link so far
-    return stored(known.unionByName(new.select("id", "component")))
+    joined = stored(known.unionByName(new.select("id", "component")))
+    release(higher, parts, links)
+    return joined
 
 
 def mixed_buckets(members: DataFrame, parts: DataFrame) -> DataFrame:
@@ -243,6 +262,60 @@ def mixed_buckets(members: DataFrame, parts: DataFrame) -> DataFrame:
     return stored(placed.join(mixed.select("key"), "key"))
 
 
+def _band(size: Column) -> Column:
+    return F.floor(F.log(size.cast("double")) / F.log(F.lit(SIZE_BAND))).cast("int")
+
+
+def _band_least(band: Column) -> Column:
+    """No set of the band is smaller."""
+    return F.ceil(F.pow(F.lit(SIZE_BAND), band) - 1e-6)
+
+
+def possible_pairs(members: DataFrame, sets_of, percent: int, minima: int) -> DataFrame:
+    """Pairs (a, b) of members of different components in one bucket, without those that unions of sets or signatures rule out.
+
+    ``members`` has (key, id, component, n_shingles, signature), ``sets_of`` gives the sets (id, shingles) of some ids. In each bucket the
+    members of the component with fewer members there are held against the groups (component, band of sizes) of the others:
+    against the union of a large group, against each member of a small one.
+    """
+    placed = stored(members.withColumn("band", _band(F.col("n_shingles"))))
+    there = placed.groupBy("key", "component").agg(F.count("*").alias("there"))
+    sizes = placed.groupBy("key", "component", "band").agg(F.count("*").alias("size"))
+
+    few = sizes.where(F.col("size") < LARGE).join(there, ["key", "component"])
+    one = placed.join(there, ["key", "component"]).select("key", F.struct("id", "component", "n_shingles", "signature", "there").alias("x"))
+    two = placed.join(few, ["key", "component", "band"]).select("key", F.struct("id", "component", "n_shingles", "signature", "there").alias("y"))
+    order = F.struct("x.there", "x.component") < F.struct("y.there", "y.component")
+    direct = one.join(two, "key").where(order & (F.col("x.component") != F.col("y.component")) & may_be_linked("x", "y", percent, minima))
+    direct = direct.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
+
+    groups = sizes.where(F.col("size") >= LARGE).select("key", F.col("component").alias("of"), "band")
+    groups = groups.join(there.select("key", F.col("component").alias("of"), F.col("there").alias("of_there")), ["key", "of"])
+    least, most = _band_least(F.col("g.band")), _band_least(F.col("g.band") + 1)
+    fewer = F.struct("m.there", "m.component") < F.struct(F.col("g.of_there").alias("there"), F.col("g.of").alias("component"))
+    own = placed.select("key", "id", "component", "n_shingles").join(there, ["key", "component"])
+    near = own.alias("m").join(groups.alias("g"), "key").where(
+        (F.col("m.component") != F.col("g.of")) & fewer & (100 * most >= percent * F.col("m.n_shingles")) & (100 * F.col("m.n_shingles") >= percent * least)
+    )
+    near = stored(near.select(F.col("m.id").alias("id"), F.col("g.of").alias("of"), F.col("g.band").alias("band"), F.col("m.n_shingles").alias("n")).distinct())
+
+    # the members of large groups, and those that are held against them
+    met = placed.join(sizes.where(F.col("size") >= LARGE), ["key", "component", "band"]).select("id", F.col("component").alias("of"), "band").distinct()
+    sets = sets_of(met.select("id").union(near.select("id")).distinct())
+    joint = met.join(sets, "id")
+    joint = joint.select("of", "band", F.explode("shingles").alias("shingle")).distinct()
+    held = near.join(sets, "id").select("id", "of", "band", "n", F.explode("shingles").alias("shingle"))
+    shared = held.join(joint, ["of", "band", "shingle"]).groupBy("id", "of", "band", "n").agg(F.count("*").alias("h"))
+    # at most h are shared with a set of the group, which has at least as many and at least the band's least
+    open_ = shared.where(100 * F.col("h") >= percent * (F.col("n") + F.greatest("h", _band_least(F.col("band"))) - F.col("h")))
+    open_ = open_.select(F.col("id").alias("x"), "of", "band").join(placed.select(F.col("id").alias("x"), "key"), "x")
+    others = placed.select("key", F.col("component").alias("of"), "band", F.col("id").alias("y"))
+    pairs = open_.join(others, ["key", "of", "band"]).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    pairs = stored(pairs.union(direct).distinct())
+    release(near, sets, placed)
+    return pairs
+
+
 def near_duplicates(
     df: DataFrame,
     *,
@@ -251,16 +324,24 @@ def near_duplicates(
     percent: int = PERCENT,
     bands: int = BANDS,
     rows: int = ROWS,
+    ids: DataFrame | None = None,
 ) -> DataFrame:
     """n_shingles, component_id and kept for every row.
 
     Sets are linked if 100 * intersection >= ``percent`` * union; a component is what links connect, named after its
-    smallest id; kept is true for that document. Null, empty and blank texts have no shingles and are
+    smallest id; kept is true for that document. With ``ids`` (one column, named like the id) only rows with one of
+    these ids take part, and one row stands for all that share its id: their texts must have the same shingles. Null, empty and blank texts have no shingles and are
     linked with nothing. Rows that repeat an id share its component; if their texts differ, it is the smallest
     of any of them. Rows with a null id are linked with nothing, have no component and are kept. Other columns are ignored. An empty table gives no rows.
     """
     names, minima = (id_column, text_column), bands * rows
-    every = stored(describe(df, *names, bands, rows))
+    if ids is None:
+        every = stored(describe(df, *names, bands, rows))
+    else:
+        # the bitmap leaves most texts unread, the join is exact
+        ids = ids.select(F.col(id_column).alias("id")).distinct()
+        near = describe(rows_with(df.select(*names), id_column, ids), *names, bands, rows)
+        every = stored(near.join(ids, "id", "left_semi").dropDuplicates(["id"]))
     sets = every.where("set_key is not null")
     copies = sets.groupBy("set_key").agg(F.min("id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
     first = stored(sets.select("id", "set_key").join(copies, "set_key").select("id", "first").distinct())
@@ -271,37 +352,44 @@ def near_duplicates(
     members = stored(members.join(buckets.select("key", "c"), "key"))
 
     def confirm(pairs: DataFrame) -> DataFrame:
-        return confirmed(pairs, classes, df, names, percent, minima)
+        return confirmed(pairs, classes, df, names, percent, minima, ids is not None)
 
     links = confirm(members.where("id > c").groupBy(F.col("id").alias("b")).agg(F.min("c").alias("a")))
     parts = components(links)
+    release(links)
+
+    def only_mixed(held: DataFrame) -> DataFrame:
+        left = mixed_buckets(held, parts)
+        release(held)
+        return left
 
     mixed = members
     for turn in range(CENTRES):
-        mixed = mixed_buckets(mixed, parts)
+        mixed = only_mixed(mixed)
         by_chance = F.xxhash64("key", "id", F.lit(turn))
         centres = mixed.groupBy("key").agg(F.min_by(F.struct("id", "component"), by_chance).alias("c"))
         star = mixed.join(centres, "key").where("component != c.component")
         star = star.select(F.least("c.id", "id").alias("a"), F.greatest("c.id", "id").alias("b"))
         parts = joined_parts(parts, confirm(star.distinct()))
 
-    mixed = mixed_buckets(mixed, parts).join(classes.select("id", "n_shingles", "signature"), "id")
-    one, two = (mixed.select("key", F.struct("id", "component", "n_shingles", "signature").alias(s)) for s in ("x", "y"))
-    across = one.join(two, "key").where(
-        (F.col("x.id") < F.col("y.id"))
-        & (F.col("x.component") != F.col("y.component"))
-        & may_be_linked("x", "y", percent, minima)
-    )
-    parts = joined_parts(parts, confirm(across.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()))
+    held = only_mixed(mixed)
+    mixed = held.join(classes.select("id", "n_shingles", "signature"), "id")
+    pairs = possible_pairs(mixed, lambda wanted: full_sets(df, *names, wanted, ids is not None), percent, minima)
+    parts = joined_parts(parts, confirm(pairs))
+    release(held, pairs)
 
     # copies get the component of their representative
     copied = first.withColumnRenamed("id", "copy").withColumnRenamed("first", "id")
     placed = in_components(copied, parts).select(F.col("copy").alias("id"), "component")
     alone = parts.join(first.select("id"), "id", "left_anti").select("id", "component")
     final = placed.unionByName(alone).groupBy("id").agg(F.min("component").alias("component"))
-    return in_components(every.select("id", "n_shingles"), final).select(
-        F.col("id").alias(id_column),
-        "n_shingles",
-        F.col("component").alias("component_id"),
-        F.coalesce(F.col("component") == F.col("id"), F.lit(True)).alias("kept"),
+    found = stored(
+        in_components(every.select("id", "n_shingles"), final).select(
+            F.col("id").alias(id_column),
+            "n_shingles",
+            F.col("component").alias("component_id"),
+            F.coalesce(F.col("component") == F.col("id"), F.lit(True)).alias("kept"),
+        )
     )
+    release(every, first, parts)
+    return found
