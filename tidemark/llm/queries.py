@@ -12,11 +12,19 @@ from tidemark.llm import collocations, merkle, near_dedup, packing, pieces, pii,
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-#: Folder with the public tokenizer files, the same on all machines.
-TOKENIZERS = os.environ.get("TIDEMARK_TOKENIZERS", "/opt/tokenizers")
 SHARDS = 16
 
 
+def tokenizer_path(name: str) -> str:
+    """Where a public tokenizer file lies, the same on all machines; TIDEMARK_TOKENIZERS names another folder."""
+    folder = os.environ.get("TIDEMARK_TOKENIZERS")
+    if folder:
+        return f"{folder}/{name}"
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 
@@ -57,7 +65,7 @@ def op4_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 def op5_pieces(spark: SparkSession, folder: str) -> DataFrame:
     """The ids of every text, and whether decoding them gives the text back."""
-    model = f"{TOKENIZERS}/piece_bpe_32k.model"
+    model = tokenizer_path("piece_bpe_32k.model")
     docs = documents(spark, folder).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     keyed = docs.select(F.struct("doc_id", F.xxhash64("text").alias("h")).alias("key"), "text")
     return pieces.encode_and_decode(keyed, model, id_column="key").select(
@@ -91,11 +99,11 @@ from s qualify rank <= 10
 
 
 def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return token_counts.token_counts(documents(spark, folder), f"{TOKENIZERS}/byte_bpe_50k.json")
+    return token_counts.token_counts(documents(spark, folder), tokenizer_path("byte_bpe_50k.json"))
 
 
 def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
-    return packing.pack(documents(spark, folder), f"{TOKENIZERS}/word_bpe_49k.json").drop("sequence_length")
+    return packing.pack(documents(spark, folder), tokenizer_path("word_bpe_49k.json")).drop("sequence_length")
 
 
 def op9_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
