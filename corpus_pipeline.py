@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import near_dedup, packing, quality_rules, secrets_scan, toxicity
-from tidemark.llm.queries import TOKENIZERS
+from tidemark.llm.queries import tokenizer_path
 from tidemark.sources.storage import stored
 
 
@@ -60,7 +60,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packs the tokens of all documents into sequences without padding."""
-    return packing.pack(docs, f"{TOKENIZERS}/word_bpe_49k.json")
+    return packing.pack(docs, tokenizer_path("word_bpe_49k.json"))
 
 
 STAGES = [
