@@ -5,10 +5,10 @@ import sentencepiece
 from brute import ODD, odd_table
 
 from tidemark.llm.pieces import NORMAL, Decoder, Encoder, Pieces, decode, encode
-from tidemark.llm.queries import TOKENIZERS, op5_pieces
+from tidemark.llm.queries import op5_pieces, tokenizer_path
 
 TEST = "/root/testdata/sf0.001"
-MODEL = f"{TOKENIZERS}/piece_bpe_32k.model"
+MODEL = tokenizer_path("piece_bpe_32k.model")
 
 
 def varint(n):

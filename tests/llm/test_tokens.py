@@ -8,11 +8,11 @@ from brute import ODD, odd_table
 from tokenizers import Tokenizer
 
 from tidemark.llm.packing import choose, pack, windows
-from tidemark.llm.queries import TOKENIZERS, op7_token_counts, op8_packing
+from tidemark.llm.queries import op7_token_counts, op8_packing, tokenizer_path
 from tidemark.llm.token_counts import count_in_chunks, token_counts
 
 TEST = "/root/testdata/sf0.001"
-BYTES, WORDS = f"{TOKENIZERS}/byte_bpe_50k.json", f"{TOKENIZERS}/word_bpe_49k.json"
+BYTES, WORDS = tokenizer_path("byte_bpe_50k.json"), tokenizer_path("word_bpe_49k.json")
 
 
 @pytest.fixture(scope="module")
