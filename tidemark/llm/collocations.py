@@ -23,9 +23,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ship_package
 from tidemark.llm.hashing import hash64
-from tidemark.sources.storage import stored
+from tidemark.sources.storage import ship_package, stored
 
 WORDS = 3
 LEAST, TOP, SCALE = 10, 2000, 1_000_000

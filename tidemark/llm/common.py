@@ -1,19 +1,16 @@
-"""Helpers shared by the operators: shipping the package, row functions on Arrow batches, memos."""
+"""Helpers shared by the operators: row functions on Arrow batches, memos."""
 
 from __future__ import annotations
 
-import shutil
-import tempfile
 import weakref
 from collections.abc import Callable, Iterable, Iterator
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-PACKAGE = Path(__file__).resolve().parents[1]
+from tidemark.sources.storage import ship_package
 
 #: White space of the word contracts: space and U+0009 to U+000D, the same bytes that ``bytes.split()`` cuts at.
 BLANKS = b" \t\n\x0b\x0c\r"
@@ -23,17 +20,6 @@ BATCH_ROWS, BATCH_BYTES = 4096, 8 << 20
 
 _ENTRY = 200  # bytes of an entry besides its texts, about
 
-_shipped: set[str] = set()
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Give the executors this package, once per Spark application, as ``--py-files`` would."""
-    context = spark.sparkContext
-    if context.applicationId not in _shipped:
-        folder = tempfile.mkdtemp(prefix="tidemark-ship-")  # the driver's own; Spark serves the file from there
-        context.addPyFile(shutil.make_archive(f"{folder}/tidemark", "zip", PACKAGE.parent, PACKAGE.name))
-        _shipped.add(context.applicationId)
-
 
 def _cells(column: pa.Array) -> Callable:
     """A function that gives the value of a row."""

@@ -22,8 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ship_package
-from tidemark.sources.storage import stored
+from tidemark.sources.storage import ship_package, stored
 
 ARITY = 8
 #: Levels of a block: 4096 leaves.
