@@ -218,9 +218,11 @@ def candidates(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
 
 def with_company(found: Column) -> Column:
     """The candidates of a document, with the vote on their company: base spans of other kinds speak for a candidate."""
-    n = F.aggregate(found, F.lit(0), lambda s, c: s + c["base"].cast("int"))
-    per_kind = {k: F.aggregate(found, F.lit(0), lambda s, c, k=k: s + (c["base"] & (c["kind"] == k)).cast("int")) for k in KINDS}
-    counts = F.struct(n.alias("all"), *[c.alias(k) for k, c in per_kind.items()])
+
+    def bases(kind: str) -> Column:
+        return F.aggregate(found, F.lit(0), lambda s, c: s + (c["base"] & (c["kind"] == kind)).cast("int"))
+
+    counts = F.struct(F.aggregate(found, F.lit(0), lambda s, c: s + c["base"].cast("int")).alias("all"), *[bases(k).alias(k) for k in KINDS])
 
     def voted(c: Column, count: Column) -> Column:
         own = F.lit(0)
