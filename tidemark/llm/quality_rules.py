@@ -82,6 +82,11 @@ def document_key(text: Column) -> Column:
     return F.unhex(F.md5(F.trim(F.regexp_replace(normal_text(text), r"[ \t\n\x0B\f\r]+", " ")).cast("binary")))
 
 
+def raw_key(text: Column) -> Column:
+    """A quick hash of the text as it is, to find the rows that are to be read again."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
 def text_facts(text: str) -> tuple:
     """(n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, line hashes, line words)."""
     data = text.encode()
@@ -114,6 +119,7 @@ def document_facts(df: DataFrame, id_column: str, text_column: str, host_column:
             T.StructField(id_column, df.schema[id_column].dataType),
             T.StructField("_host", T.StringType()),
             T.StructField("_doc", T.BinaryType()),
+            T.StructField("_raw", T.LongType()),
             *(T.StructField(c, T.LongType()) for c in longs),
             T.StructField("line_hash", T.ArrayType(T.LongType())),
             T.StructField("line_words", T.ArrayType(T.IntegerType())),
@@ -121,14 +127,14 @@ def document_facts(df: DataFrame, id_column: str, text_column: str, host_column:
     )
 
     def start():
-        def call(row, key, host, doc, text):
-            yield row, key, NO_HOST if host is None else host, doc, *text_facts(text or "")
+        def call(row, key, host, doc, raw, text):
+            yield row, key, NO_HOST if host is None else host, doc, raw, *text_facts(text or "")
 
         return call
 
     text = F.col(text_column)
     rows = df.select(
-        F.monotonically_increasing_id(), id_column, F.col(host_column).cast("string"), document_key(text), text
+        F.monotonically_increasing_id(), id_column, F.col(host_column).cast("string"), document_key(text), raw_key(text), text
     )
     return map_rows(rows, schema, start)
 
@@ -218,7 +224,10 @@ def boilerplate_lines(
     above = totals.where(F.col("_docs") > F.col("_all") * max_share).select("_host", "line_hash", "_all")
     holders = holders.join(above, ["_host", "line_hash"])
     wanted = stored(holders.select("_host", "_doc").distinct())
-    texts = df.select(document_key(F.col(text_column)).alias("_doc"), normal_text(F.col(text_column)).alias("text"))
+    # only the rows of the wanted documents, and a few others, are normalised again
+    raw = facts.join(wanted.select("_doc").distinct(), "_doc", "left_semi").select(F.col("_raw").alias("id")).distinct()
+    given = rows_with(df.select(raw_key(F.col(text_column)).alias("_raw"), F.col(text_column).alias("text")), "_raw", stored(raw))
+    texts = given.select(document_key(F.col("text")).alias("_doc"), normal_text(F.col("text")).alias("text"))
     classes = document_classes(wanted, holders.drop("_all"), texts)
     per_line = holders.join(classes, ["_host", "_doc"]).select("_host", "line_hash", "_all", "class").distinct()
     per_line = per_line.groupBy("_host", "line_hash", "_all").agg(F.count("*").alias("_docs"))
@@ -260,7 +269,7 @@ def quality_rules(
         F.col("n_words_left") < F.col("n_words") * F.lit(float(min_share_left))
     )
     return (
-        facts.drop("line_hash", "line_words", "_host", "_doc")
+        facts.drop("line_hash", "line_words", "_host", "_doc", "_raw")
         .join(removed, "_row", "left")
         .withColumn("n_words_left", left.cast("long"))
         .withColumn("base_failed", failed)
