@@ -80,7 +80,7 @@ class Memo(dict):
     added to for the longest time are emptied: a worker that goes on to another stage does not keep what the last one remembered.
     """
 
-    budget = 256 << 20
+    budget = 128 << 20
     longest = 256
     _live: list[weakref.ref] = []  # the one that was added to last comes last
 
