@@ -308,9 +308,11 @@ def possible_pairs(members: DataFrame, sets_of, percent: int, minima: int) -> Da
     shared = held.join(joint, ["of", "band", "shingle"]).groupBy("id", "of", "band", "n").agg(F.count("*").alias("h"))
     # at most h are shared with a set of the group, which has at least as many and at least the band's least
     open_ = shared.where(100 * F.col("h") >= percent * (F.col("n") + F.greatest("h", _band_least(F.col("band"))) - F.col("h")))
-    open_ = open_.select(F.col("id").alias("x"), "of", "band").join(placed.select(F.col("id").alias("x"), "key"), "x")
-    others = placed.select("key", F.col("component").alias("of"), "band", F.col("id").alias("y"))
-    pairs = open_.join(others, ["key", "of", "band"]).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    facts = F.struct("id", "n_shingles", "signature")
+    open_ = open_.select("id", "of", "band").join(placed.select("id", "key", facts.alias("x")), "id").drop("id")
+    others = placed.select("key", F.col("component").alias("of"), "band", facts.alias("y"))
+    pairs = open_.alias("o").join(others.alias("p"), ["key", "of", "band"]).where(may_be_linked("x", "y", percent, minima))
+    pairs = pairs.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
     pairs = stored(pairs.union(direct).distinct())
     release(near, sets, placed)
     return pairs
