@@ -76,7 +76,7 @@ def map_rows(df: DataFrame, schema: T.StructType, start: Callable[[], Callable[.
 class Memo(dict):
     """Remembers ``make(key)`` of short keys; the keys and values of all memos of a process have one budget of bytes.
 
-    A memo that holds half the budget lets its older half go. If all together pass the budget, those that were not
+    A memo that holds half the budget (all of it, if it is the only one) lets its older half go. If all together pass the budget, those that were not
     added to for the longest time are emptied: a worker that goes on to another stage does not keep what the last one remembered.
     """
 
@@ -105,7 +105,7 @@ class Memo(dict):
             return
         self[key] = value
         self.size += _bytes(key) + _bytes(value) + _ENTRY
-        if self.size > self.budget // 2:
+        if self.size > (self.budget if len(Memo._live) == 1 else self.budget // 2):
             self.old, self.old_size, self.size = dict(self), self.size, 0
             self.clear()
         self.added += 1
