@@ -142,3 +142,23 @@ def test_grouped_auc_with_ties(spark):
         pos, neg = ([s for g, s, y in data if g == k and y == c] for c in (1, 0))
         wins = sum((p > n) + (p == n) / 2 for p in pos for n in neg)
         assert math.isclose(found[k], wins / len(pos) / len(neg), abs_tol=1e-12)
+
+
+def test_equal_rows_are_one_line(spark, tmp_path, monkeypatch):
+    """Many rows of few kinds: what decides on the cut is the number of lines, and the trees are those of the single rows."""
+    rng = np.random.default_rng(5)
+    data = [(f"r{i}", int(rng.random() < 0.3), i % 3, float(rng.integers(0, 3)), float(i % 2), 1.0) for i in range(600)]
+    rows = spark.createDataFrame(data, "id string, y int, fold int, a double, b double, c double").repartition(3)
+    expected = boost.boost(rows, FEATURES, CHAINS, small=0, part=150, **COMMON)
+
+    def passes(*_):
+        raise AssertionError("one pass for each level of a table that one task can hold")
+
+    monkeypatch.setattr(boost.Fit, "level", passes)
+    folder = str(tmp_path / "run")
+    found = boost.boost(rows, FEATURES, CHAINS, small=100, folder=folder, **COMMON)
+    assert same(found[0], expected[0]) and found[2] == expected[2]
+    state = spark.read.parquet(f"{folder}/state-6")
+    blocks = state.select("block").distinct().count()
+    assert state.count() <= 3 * 2 * 6 * blocks
+    assert state.selectExpr("sum(size(h)) as n").first().n == 600 * blocks

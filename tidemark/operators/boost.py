@@ -4,11 +4,13 @@ A search fits the same rows again and again: every candidate on every fold. Here
 cut into bins once and kept in a table with the running score of each chain, so one pass over the table serves all
 chains, where fitting them one by one would read it once per chain, tree and level.
 
+* Rows with the same bins, label and fold have the same scores in every chain. They are kept as one line with the hashes of its rows, so
+  draws and sums are those of the single rows, and the work grows with the distinct lines.
 * A pass adds up gradients and curvatures per (chain, node, feature, bin) inside its tasks; the sums meet per chain, where the best
   split of every node is chosen. The driver receives splits, whose number the grid bounds.
 * Sums are whole numbers (fixed-point fractions), so they do not depend on the order of rows or the cut into tasks. Rows and
   columns are drawn by hashes of row ids, seed and round. The same rows give the same trees on any cluster.
-* A table of at most ``SMALL`` rows is one part. Its sums are complete where they are made, so a task can go on to the next level
+* A table of at most ``SMALL`` lines, and eight times as many rows, is one part. Its sums are complete where they are made, so a task can go on to the next level
   by itself, and chains are dealt out to tasks instead of rows. The trees are the same.
 * After every ``step`` rounds scores and trees are stored. A search that was stopped goes on from there.
 
@@ -23,6 +25,7 @@ from dataclasses import dataclass, fields
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import SparkContext
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassificationModel
@@ -44,12 +47,12 @@ from tidemark.sources.storage import (
 
 RIDGE, LEAST = 1.0, 1.0
 BINS = 64
-#: Rows that one task may hold with the scores of its chains, and the rows of a part of a larger table.
-SMALL, PART = 100_000, 200_000
+#: Lines that one task may hold with the scores of its chains, rows for each of them on average, and the rows of a part of a larger table.
+SMALL, ROWS_A_LINE, PART = 1_000_000, 8, 200_000
 #: Rounds between two stored states of a small and of a large table.
 STEP_SMALL, STEP = 50, 10
 _UNIT = float(1 << 20)
-_STATE = "block int, label byte, fold int, h long, bins binary, scores binary"
+_STATE = "block int, label byte, fold int, h array<long>, bins binary, scores binary"
 
 
 @dataclass(frozen=True)
@@ -129,14 +132,18 @@ def columns_drawn(n: int, seed: int, turn: int, share: float) -> np.ndarray:
 
 
 class Rows:
-    """Some rows of the state, for the chains of one block."""
+    """Some lines of the state, for the chains of one block."""
 
     def __init__(self, table, chains: Sequence[Chain], n_features: int):
         self.chains = chains
         column = {n: table.column(n) for n in ("label", "fold", "h", "bins", "scores")}
+        hashes = column["h"].combine_chunks() if isinstance(column["h"], pa.ChunkedArray) else column["h"]
         self.label = column["label"].to_numpy(zero_copy_only=False).astype(float)
         self.fold = column["fold"].to_numpy(zero_copy_only=False)
-        self.h = column["h"].to_numpy(zero_copy_only=False).view(np.uint64)
+        self.h = hashes.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+        self.count = pc.list_value_length(hashes).to_numpy(zero_copy_only=False).astype(np.int64)
+        self.start = np.cumsum(self.count) - self.count
+        self.last_draw = None, None
         n = len(self.label)
         self.bins = np.frombuffer(b"".join(column["bins"].to_pylist()), np.uint8).reshape(n, n_features)
         self.scores = np.frombuffer(b"".join(column["scores"].to_pylist()), float).reshape(n, len(chains)).copy()
@@ -147,20 +154,30 @@ class Rows:
         for feature, split, value in zip(trees.feature[0], trees.split[0], trees.value[0], strict=True):
             self.scores[:, c] += chain.learning_rate * value[nodes_of(self.bins, feature, split, chain.max_depth)]
 
+    def drawn(self, seed: int, turn: int, share: float) -> np.ndarray:
+        """How many rows of each line a round draws."""
+        if share >= 1:
+            return self.count
+        if self.last_draw[0] != (seed, turn, share):
+            self.last_draw = (seed, turn, share), np.add.reduceat(drawn(self.h, seed, turn, share), self.start, dtype=np.int64)
+        return self.last_draw[1]
+
     def sums(self, c: int, feature: np.ndarray, split: np.ndarray, level: int, turn: int, seed: int, bins: int) -> np.ndarray:
         """Gradients, curvatures and rows per node of the level, feature and bin."""
         chain = self.chains[c]
-        rows = (self.fold != chain.fold) & drawn(self.h, seed, turn, chain.subsample)
+        weight = self.drawn(seed, turn, chain.subsample)
+        rows = (self.fold != chain.fold) & (weight > 0)
+        weight = weight[rows]
         given = self.bins[rows]
         slot = nodes_of(given, feature, split, level) - (2**level - 1)
         p = 1 / (1 + np.exp(-self.scores[rows, c]))
-        gradient, curvature = np.rint((p - self.label[rows]) * _UNIT), np.rint(p * (1 - p) * _UNIT)
+        gradient, curvature = weight * np.rint((p - self.label[rows]) * _UNIT), weight * np.rint(p * (1 - p) * _UNIT)
         inside = slot >= 0
         n = given.shape[1]
         place = ((slot[inside, None] * n + np.arange(n)) * bins + given[inside]).ravel()
         shape = 2**level, n, bins
         add = lambda w: np.bincount(place, w, minlength=np.prod(shape)).reshape(shape)
-        return np.stack([add(np.repeat(x[inside], n)) for x in (gradient, curvature)] + [add(None)]).astype(np.int64)
+        return np.stack([add(np.repeat(x[inside], n)) for x in (gradient, curvature, weight)]).astype(np.int64)
 
 
 def choose(sums: np.ndarray, allowed: np.ndarray) -> np.ndarray:
@@ -219,6 +236,23 @@ def bin_edges(rows: DataFrame, features: Sequence[str], bins: int) -> list[np.nd
     return [np.unique(np.array(found[i] or [], float)) for i in range(len(features))]
 
 
+def binned_rows(
+    rows: DataFrame, features: Sequence[str], ids: Sequence[str], target: str, fold: Column, seed: int, edges: Sequence[np.ndarray]
+) -> DataFrame:
+    """``label, fold, h, bins``: hash of the ids, and one byte for the bin of every feature."""
+    h = F.xxhash64(F.lit(seed), *[F.col(c).cast("string") for c in ids])
+    given = rows.select(F.col(target).cast("byte"), fold.cast("int"), h, *[F.col(f).cast("double") for f in features])
+
+    def binned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            label, fold_, h_, *values = batch.columns
+            cut = np.column_stack([np.searchsorted(e, v.to_numpy(zero_copy_only=False)) for e, v in zip(edges, values, strict=True)])
+            lines = pa.array([r.tobytes() for r in cut.astype(np.uint8)], pa.binary())
+            yield pa.record_batch([label, fold_, h_, lines], names=["label", "fold", "h", "bins"])
+
+    return given.mapInArrow(binned, "label byte, fold int, h long, bins binary")
+
+
 @dataclass
 class Fit:
     """One run: what is fixed, and the folder of its states."""
@@ -239,25 +273,16 @@ class Fit:
     def state(self, done: int) -> DataFrame:
         return self.spark.read.schema(_STATE).parquet(f"{self.folder}/state-{done}")
 
-    def begin(self, rows: DataFrame, features: Sequence[str], ids: Sequence[str], target: str, fold: Column, parts: int) -> None:
-        edges, blocks = self.edges, self.blocks
-        h = F.xxhash64(F.lit(self.seed), *[F.col(c).cast("string") for c in ids])
-        given = rows.select(F.col(target).cast("byte"), fold.cast("int"), h, *[F.col(f).cast("double") for f in features])
-
-        def binned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                label, fold_, h_, *values = batch.columns
-                n = batch.num_rows
-                cut = np.column_stack([np.searchsorted(e, v.to_numpy(zero_copy_only=False)) for e, v in zip(edges, values, strict=True)])
-                lines = [r.tobytes() for r in cut.astype(np.uint8)]
-                for b, chains in enumerate(blocks):
-                    columns = [pa.array([b] * n, pa.int32()), label, fold_, h_, pa.array(lines, pa.binary())]
-                    scores = pa.array([bytes(8 * len(chains))] * n, pa.binary())
-                    yield pa.record_batch([*columns, scores], names=["block", "label", "fold", "h", "bins", "scores"])
-
+    def begin(self, given: DataFrame, parts: int) -> None:
+        """Writes the first state: the lines of ``given`` in each part, once for every block of chains."""
+        part = F.pmod(F.col("h"), F.lit(parts))
+        lines = given.groupBy("label", "fold", "bins", part.alias("part")).agg(F.collect_list("h").alias("h"))
+        blocks = F.array(*[
+            F.struct(F.lit(b).alias("block"), F.unhex(F.lit("00" * 8 * len(chains))).alias("scores")) for b, chains in enumerate(self.blocks)
+        ])
         # a part of a block is one file, so later passes find their rows together
-        table = given.mapInArrow(binned, _STATE).repartition(4 * parts * len(blocks), "block", F.pmod("h", F.lit(parts)))
-        write_parquet(table, f"{self.folder}/state-0")
+        table = lines.select("*", F.inline(blocks)).repartition(4 * parts * len(self.blocks), "block", "part")
+        write_parquet(table.select("block", "label", "fold", "h", "bins", "scores"), f"{self.folder}/state-0")
 
     def _by_block(self, batch, chains) -> Iterator[tuple[int, Rows]]:
         block = batch.column("block").to_numpy(zero_copy_only=False)
@@ -354,20 +379,21 @@ class Fit:
                     for i, c in enumerate(fit.blocks[b]):
                         own = rows.fold == chains[c].fold
                         if own.any():
-                            columns = [np.full(own.sum(), c, np.int32), rows.scores[own, i], rows.label[own].astype(np.int8)]
-                            yield pa.record_batch([pa.array(x) for x in columns], names=["chain", "score", "label"])
+                            columns = [np.full(own.sum(), c, np.int32), rows.scores[own, i], rows.label[own].astype(np.int8), rows.count[own]]
+                            yield pa.record_batch([pa.array(x) for x in columns], names=["chain", "score", "label", "n"])
 
-        scored = self.state(done).mapInArrow(left_out, "chain int, score double, label byte")
-        return {r["chain"]: r["auc"] for r in grouped_auc(scored, "chain", "score", "label").collect()}
+        scored = self.state(done).mapInArrow(left_out, "chain int, score double, label byte, n long")
+        return {r["chain"]: r["auc"] for r in grouped_auc(scored, "chain", "score", "label", n="n").collect()}
 
 
-def grouped_auc(scored: DataFrame, group: str, score: str, label: str, cells: int = 4096) -> DataFrame:
+def grouped_auc(scored: DataFrame, group: str, score: str, label: str, cells: int = 4096, n: str | None = None) -> DataFrame:
     """The exact area under the ROC curve of every group, ties at half; null if a group lacks one of the classes.
 
     Scores (log-odds) are counted per value first. Values lie in ``cells`` ranges; only the order inside a range is sorted, and
-    ranges add up to the ranks.
+    ranges add up to the ranks. ``n`` is the column that says how many rows a line stands for, one each if there is none.
     """
-    values = scored.groupBy(group, score).agg(F.sum(label).alias("pos"), F.sum(1 - F.col(label)).alias("neg"))
+    count = F.col(n) if n else F.lit(1)
+    values = scored.groupBy(group, score).agg(F.sum(F.col(label) * count).alias("pos"), F.sum((1 - F.col(label)) * count).alias("neg"))
     cell = F.floor(cells / (1 + F.exp(-F.col(score))))
     below = Window.partitionBy(group, "cell").orderBy(score).rowsBetween(Window.unboundedPreceding, -1)
     inside = values.withColumn("cell", cell).withColumn("before", F.coalesce(F.sum("neg").over(below), F.lit(0)))
@@ -409,13 +435,16 @@ def boost(
     ship_package(spark)
     folder = folder or shared_dir(spark)
     n = rows.count()
-    parts = 1 if n <= small else -(-n // part)
+    edges = bin_edges(rows, features, bins)
+    given = binned_rows(rows, features, ids, target, F.col(fold) if fold else F.lit(-2), seed, edges)
+    few = n <= small or (n <= ROWS_A_LINE * small and given.select("label", "fold", "bins").distinct().count() <= small)
+    parts = 1 if few else -(-n // part)
     tasks = spark.sparkContext.defaultParallelism
     count = max(1, min(len(chains), -(-2 * tasks // parts) if parts < tasks else 1))
     blocks = [list(range(b, len(chains), count)) for b in range(count)]
     last = max(c.rounds for c in chains)
     depth = max(c.max_depth for c in chains)
-    step = STEP_SMALL if n <= small else STEP
+    step = STEP_SMALL if few else STEP
     marks = sorted({*range(step, last + 1, step), *evaluate, last})
 
     plan = f"{folder}/plan.json"
@@ -424,10 +453,9 @@ def boost(
         blocks, marks, edges = held["blocks"], held["marks"], [np.array(e, float) for e in held["edges"]]
         run = Fit(spark, list(chains), blocks, edges, held["small"], seed, bins, folder)
     else:
-        edges = bin_edges(rows, features, bins)
-        run = Fit(spark, list(chains), blocks, edges, n <= small, seed, bins, folder)
-        run.begin(rows, features, ids, target, F.col(fold) if fold else F.lit(-2), parts)
-        write_json(spark, {"blocks": blocks, "marks": marks, "edges": [e.tolist() for e in edges], "small": n <= small}, plan)
+        run = Fit(spark, list(chains), blocks, edges, few, seed, bins, folder)
+        run.begin(given, parts)
+        write_json(spark, {"blocks": blocks, "marks": marks, "edges": [e.tolist() for e in edges], "small": few}, plan)
 
     trees, done, auc = Trees.none(len(chains), last, depth), 0, {}
     for mark in marks:

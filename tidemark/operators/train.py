@@ -27,6 +27,9 @@ FULL_GRID: dict[str, list] = {
     "colsample_bytree": [0.8, 1.0],
 }
 
+# The form in which a search keeps its states: one of another form is not taken up.
+STATES = "lines of equal rows"
+
 # Values of the parameters that a grid does not name.
 DEFAULTS = {"n_estimators": 20, "max_depth": 5, "learning_rate": 0.1, "subsample": 1.0, "colsample_bytree": 1.0}
 
@@ -99,7 +102,7 @@ def train_model(
     rows = stored(assign_folds(train, folds, seed, ids, target).select(*ids, *features, target, "fold"))
     place = None
     if folder is not None:
-        what = json.dumps([fingerprint(rows), {k: list(v) for k, v in grid.items()}, folds, seed, list(ids), target], default=str)
+        what = json.dumps([STATES, fingerprint(rows), {k: list(v) for k, v in grid.items()}, folds, seed, list(ids), target], default=str)
         place = f"{folder}/{hashlib.sha256(what.encode()).hexdigest()[:24]}"
     candidates = candidates_of(grid)
     lengths = sorted({_chain(c, 0).rounds for c in candidates})
