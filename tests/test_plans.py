@@ -101,3 +101,22 @@ def test_one_scan_per_summary(stored_log):
 
 def test_every_definition_is_in_the_spec():
     assert DEFAULT_SPEC.features[0] == "n_ebookdownloaded_last_28d" and len(DEFAULT_SPEC.features) == 12
+
+
+def test_tasks_of_the_sweep_go_with_the_log(spark, stored_log, monkeypatch):
+    """Accounts of a large log are dealt out to as many tasks as its events need; the rows stay the same."""
+    events, spec = stored_log
+    expected = sorted(map(tuple, metrics.all_metrics(events, spec).collect()))
+    n = events.count()
+    monkeypatch.setattr(metrics, "EVENTS_A_TASK", max(1, n // 20))
+    found = metrics.all_metrics(events, spec)
+    tasks = -(-n // metrics.EVENTS_A_TASK)
+    assert re.search(rf"hashpartitioning\(account_id[^)]*, {tasks}\), REPARTITION_BY_NUM", plan(found))
+    assert sorted(map(tuple, found.collect())) == expected
+
+
+def test_stored_metrics_are_swept_once(spark, stored_log, monkeypatch):
+    calls, sweep = [], metrics.sweep
+    monkeypatch.setattr(metrics, "sweep", lambda *a: calls.append(a) or sweep(*a))
+    ON_EVENTS["training_dataset_from_metrics"](*stored_log)
+    assert len(calls) == 1

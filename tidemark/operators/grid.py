@@ -44,17 +44,18 @@ def log_bounds(events: DataFrame) -> DataFrame:
     )
 
 
-def checked_bounds(events: DataFrame) -> tuple[dt.date | None, dt.date | None]:
-    """The bounds, after making sure in the same job that no mandatory value is missing.
+def checked_bounds(events: DataFrame) -> tuple[dt.date | None, dt.date | None, int]:
+    """The bounds and the number of events, after making sure in the same job that no mandatory value is missing.
 
     The check is not part of later plans, so their filters still reach the scan.
     """
     nulls = [F.count_if(F.col(c).isNull()).alias(c) for c in MANDATORY]
-    row = events.agg(F.to_date(F.min("event_time")).alias("a"), F.to_date(F.max("event_time")).alias("b"), *nulls).first()
+    bounds = F.to_date(F.min("event_time")).alias("a"), F.to_date(F.max("event_time")).alias("b")
+    row = events.agg(*bounds, F.count(F.lit(1)).alias("n"), *nulls).first()
     missing = [f"{row[c]} in {c}" for c in MANDATORY if row[c]]
     if missing:
         raise ValueError(f"event log: NULL values where none may be: {', '.join(missing)}")
-    return row["a"], row["b"]
+    return row["a"], row["b"], row["n"]
 
 
 @dataclass(frozen=True)
@@ -69,13 +70,15 @@ class Grid:
     origin: dt.date
     last_position: int
     step_days: int
+    #: How large the log is; decides on the number of tasks only.
+    n_events: int = 0
 
     @classmethod
     def of(cls, events: DataFrame, spec: ChurnSpec) -> Grid:
-        first, last = checked_bounds(events)
+        first, last, n = checked_bounds(events)
         if first is None:
             return cls(dt.date(1970, 1, 1), -1, spec.step_days)
-        return cls(first, (last - first).days // spec.step_days, spec.step_days)
+        return cls(first, (last - first).days // spec.step_days, spec.step_days, n)
 
     @property
     def is_empty(self) -> bool:

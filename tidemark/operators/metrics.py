@@ -31,6 +31,9 @@ from tidemark.spec import RATIO, SUM_OF_METRICS, TOTAL_EVENTS, UNIQUE_PRODUCTS,
 
 KEYS = ["account_id", "metric_time"]
 
+#: Events of a task that brings the rows of accounts together; its memory goes with them.
+EVENTS_A_TASK = 250_000
+
 
 @dataclass(frozen=True)
 class Counter:
@@ -147,7 +150,7 @@ def sweep(events: DataFrame, counters: Counters, grid: Grid | None = None) -> Da
 
     # From here on everything stays within one account: a single exchange of compact rows.
     changes = (
-        spans.repartition("account_id")
+        spans.repartition(*_tasks(events, grid), "account_id")
         .selectExpr("account_id", f"inline({_changes(counters)})")
         .where(f"position <= {grid.last_position} and ({counters.any('<> 0')})")
         .groupBy("account_id", "position")
@@ -168,6 +171,13 @@ def sweep(events: DataFrame, counters: Counters, grid: Grid | None = None) -> Da
     )
 
 
+def _tasks(events: DataFrame, grid: Grid) -> list[int]:
+    """The number of tasks that the accounts of a large log are dealt out to; left to the session for a small one."""
+    if grid.n_events <= EVENTS_A_TASK:
+        return []
+    return [max(events.sparkSession.sparkContext.defaultParallelism, -(-grid.n_events // EVENTS_A_TASK))]
+
+
 def _event_spans(events: DataFrame, counters: Counters, grid: Grid) -> DataFrame:
     """Event counts per account and span of grid positions."""
     t = F.col("event_time")
@@ -335,18 +345,20 @@ def unpivot(wide: DataFrame, values: list[tuple[int, str]]) -> DataFrame:
     return wide.selectExpr(*KEYS, f"inline(array({rows}))").where("metric_value is not null")
 
 
-def event_count_metrics(events: DataFrame, spec: ChurnSpec, grid: Grid | None = None) -> DataFrame:
-    """Events per account, grid time and metric, joined on the event type (BIGINT)."""
+def event_count_metrics(
+    events: DataFrame, spec: ChurnSpec, grid: Grid | None = None, swept: DataFrame | None = None
+) -> DataFrame:
+    """Events per account, grid time and metric, joined on the event type (BIGINT); read off ``swept``, the sweep of all counters, if given."""
     counters = Counters(spec, base=spec.base_ids)
-    return unpivot(sweep(events, counters, grid), counters.values())
+    return unpivot(sweep(events, counters, grid) if swept is None else swept, counters.values())
 
 
 def derived_metrics(
-    events: DataFrame, spec: ChurnSpec, ids: Iterable[int] | None = None, grid: Grid | None = None
+    events: DataFrame, spec: ChurnSpec, ids: Iterable[int] | None = None, grid: Grid | None = None, swept: DataFrame | None = None
 ) -> DataFrame:
-    """Totals, distinct counts, sums of metrics and ratios (DOUBLE); all kinds unless ``ids`` is given."""
+    """Totals, distinct counts, sums of metrics and ratios (DOUBLE); all kinds unless ``ids`` is given. ``swept`` as above."""
     counters = Counters(spec, derived=spec.derived_ids if ids is None else ids)
-    return unpivot(sweep(events, counters, grid), counters.values())
+    return unpivot(sweep(events, counters, grid) if swept is None else swept, counters.values())
 
 
 def _of_kind(events: DataFrame, spec: ChurnSpec, metric_id: int, kind: str) -> DataFrame:
