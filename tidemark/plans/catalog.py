@@ -29,7 +29,7 @@ from tidemark.operators import (
 from tidemark.plans import models
 from tidemark.sources import definitions
 from tidemark.sources import events as ev
-from tidemark.sources.storage import lasting_dir, read_dataset, shared_dir, stored, write_csv, write_parquet
+from tidemark.sources.storage import lasting_dir, read_dataset, release, shared_dir, stored, write_csv, write_parquet
 from tidemark.spec import TARGET, ChurnSpec
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,8 +75,8 @@ def _labelled(events: DataFrame, spec: ChurnSpec) -> DataFrame:
 
 
 def _prepared(events: DataFrame, spec: ChurnSpec) -> prepare.Prepared:
-    """One read of the log: what the two snapshots need of it is stored, and they share the grid."""
-    log = stored(events.select("account_id", "event_time", "event_type", "product_id"))
+    """The two snapshots share the stored log and the grid."""
+    log = _log(events)
     shared = grid.Grid.of(log, spec)
     return prepare.prepare(
         stored(datasets.churn_training_dataset(log, spec, shared)),
@@ -133,20 +133,36 @@ def _dataset_csv_roundtrip(events: DataFrame, spec: ChurnSpec) -> DataFrame:
     return back.withColumn("metric_time", F.col("metric_time").cast("timestamp_ntz"))
 
 
-def _stored_metrics(events: DataFrame, spec: ChurnSpec) -> DataFrame:
-    grid_of_log = grid.Grid.of(events, spec)
-    return metrics.union_metrics(
-        stored(metrics.event_count_metrics(events, spec, grid_of_log)),
-        stored(metrics.derived_metrics(events, spec, grid=grid_of_log)),
+def _log(events: DataFrame) -> DataFrame:
+    """One read of the log: what metrics and labels need of it is stored."""
+    return stored(events.select("account_id", "event_time", "event_type", "product_id"))
+
+
+def _stored_metrics(log: DataFrame, spec: ChurnSpec, shared: grid.Grid) -> DataFrame:
+    """Both metric tables, stored, from one sweep."""
+    swept = stored(metrics.sweep(log, metrics.all_counters(spec), shared))
+    tables = (
+        stored(metrics.event_count_metrics(log, spec, shared, swept)),
+        stored(metrics.derived_metrics(log, spec, grid=shared, swept=swept)),
     )
+    release(swept)
+    return metrics.union_metrics(*tables)
 
 
 def _from_stored_metrics(events: DataFrame, spec: ChurnSpec) -> DataFrame:
-    table = _stored_metrics(events, spec)
-    dataset = datasets.training_dataset_from_metrics(table, labels.observation(events, spec), spec)
+    log = _log(events)
+    shared = grid.Grid.of(log, spec)
+    table = _stored_metrics(log, spec, shared)
+    dataset = datasets.training_dataset_from_metrics(table, labels.observation(log, spec, shared), spec)
     return date_text(dataset, "observation_date")
 
 
+def _current_from_stored_metrics(events: DataFrame, spec: ChurnSpec) -> DataFrame:
+    log = _log(events)
+    table = _stored_metrics(log, spec, grid.Grid.of(log, spec))
+    return datasets.current_dataset_from_metrics(table, spec)
+
+
 def _model_scores(events: DataFrame, spec: ChurnSpec) -> DataFrame:
     data, trained = _trained(events, spec)
     return score.score_current(trained.model, data.current, data.features)
@@ -227,7 +243,7 @@ ON_EVENTS: dict[str, Callable[[DataFrame, ChurnSpec], DataFrame]] = {
     ),
     "training_dataset_from_metrics": _from_stored_metrics,
     "current_customer_dataset": datasets.current_customer_dataset,
-    "current_dataset_from_metrics": lambda e, s: datasets.current_dataset_from_metrics(_stored_metrics(e, s), s),
+    "current_dataset_from_metrics": _current_from_stored_metrics,
     "events_per_account_per_month": lambda e, s: rounded(
         quality.events_per_account_per_month(e),
         "events_per_account",
