@@ -44,26 +44,27 @@ def model_leaves(model: PipelineModel) -> list[Leaf]:
     booster = model.stages[-1]
     leaves: list[Leaf] = []
     for tree, weight in zip(booster.trees, booster.treeWeights, strict=True):
-        _walk(tree._call_java("rootNode"), weight * LOG_ODDS_PER_MARGIN, {}, leaves)
+        root = tree._call_java("rootNode")
+        _walk(root, root.impurityStats().count(), weight * LOG_ODDS_PER_MARGIN, {}, leaves)
     return leaves
 
 
-def _walk(node, scale: float, path: dict[int, tuple[float, float, float]], leaves: list[Leaf]) -> None:
+def _walk(node, rows: int, scale: float, path: dict[int, tuple[float, float, float]], leaves: list[Leaf]) -> None:
     if node.subtreeDepth() == 0:
         conditions = np.array([path[f] for f in path], dtype=float).reshape(len(path), 3)
         leaves.append(
             Leaf(scale * node.prediction(), np.array(list(path), dtype=int), *(conditions[:, k] for k in range(3)))
         )
         return
-    split, rows = node.split(), node.impurityStats().count()
+    split = node.split()
     feature, threshold = split.featureIndex(), split.threshold()
     above, upto, share = path.get(feature, (-np.inf, np.inf, 1.0))
     for child, low, high in (
         (node.leftChild(), above, min(upto, threshold)),
         (node.rightChild(), max(above, threshold), upto),
     ):
-        part = share * child.impurityStats().count() / rows
-        _walk(child, scale, path | {feature: (low, high, part)}, leaves)
+        below = child.impurityStats().count()
+        _walk(child, below, scale, path | {feature: (low, high, share * below / rows)}, leaves)
 
 
 def baseline(leaves: Sequence[Leaf]) -> float:
@@ -76,22 +77,23 @@ def shapley_kernel(leaves: Sequence[Leaf]) -> Callable[[np.ndarray], np.ndarray]
 
     It carries plain arrays only, so executors need nothing but numpy to run it.
     """
-    parts = [(x.value, x.features, x.above, x.upto, x.share) for x in leaves if len(x.features)]
+    parts = [(x.value, x.features, *(v[:, None] for v in (x.above, x.upto, x.share))) for x in leaves if len(x.features)]
     depth = max((len(x.features) for x in leaves), default=0)
     nodes, weights = np.polynomial.legendre.leggauss(max(1, (depth + 1) // 2))
     quadrature = list(zip((nodes + 1) / 2, weights / 2, strict=True))
 
     def contributions(x: np.ndarray) -> np.ndarray:
-        out = np.zeros(x.shape)
+        columns = np.ascontiguousarray(x.T)  # long runs of one feature, as a path has few
+        out = np.zeros(columns.shape)
         for value, features, above, upto, share in parts:
-            on_path = x[:, features]
+            on_path = columns[features]
             met = ((on_path > above) & (on_path <= upto)).astype(float)
             others = np.zeros(met.shape)
             for t, w in quadrature:
                 factor = t * met + (1 - t) * share
-                others += w * factor.prod(axis=1, keepdims=True) / factor
-            out[:, features] += value * (met - share) * others
-        return out
+                others += w * factor.prod(axis=0) / factor
+            out[features] += value * (met - share) * others
+        return out.T
 
     return contributions
 
