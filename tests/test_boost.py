@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tidemark.operators import boost
@@ -162,3 +163,43 @@ def test_equal_rows_are_one_line(spark, tmp_path, monkeypatch):
     blocks = state.select("block").distinct().count()
     assert state.count() <= 3 * 2 * 6 * blocks
     assert state.selectExpr("sum(size(h)) as n").first().n == 600 * blocks
+
+
+def lines_of(labels, folds, hashes, bins, chains):
+    """Lines of a state without scores, for the chains of one block."""
+    empty = [bytes(8 * len(chains))] * len(labels)
+    data = {"label": pa.array(labels, pa.int8()), "fold": pa.array(folds, pa.int32()), "h": pa.array(hashes, pa.list_(pa.int64()))}
+    data |= {"bins": pa.array([bytes(b) for b in bins], pa.binary()), "scores": pa.array(empty, pa.binary())}
+    return boost.Rows(pa.table(data), chains, len(bins[0]))
+
+
+def test_one_draw_serves_the_chains_of_a_block(monkeypatch):
+    rng = np.random.default_rng(2)
+    n, chains = 300, [Chain(f, 4, d, 0.3, share, 0.7) for f in (0, 1) for d in (2, 3) for share in (0.5, 0.8)]
+    given = rng.integers(0, 2, n), np.arange(n) % 3, [[int(x)] for x in rng.integers(-(2**62), 2**62, n)], rng.integers(0, 6, (n, 3)).astype(np.uint8)
+    calls, draw = [], boost.drawn
+    monkeypatch.setattr(boost, "drawn", lambda *a: calls.append(a[1:]) or draw(*a))
+    together = boost.grow(lines_of(*given, chains), 0, 4, 9, 8)
+    assert sorted(calls) == [(9, turn, share) for turn in range(4) for share in (0.5, 0.8)]
+    for chain, trees in zip(chains, together, strict=True):
+        assert same(trees, boost.grow(lines_of(*given, [chain]), 0, 4, 9, 8)[0])
+
+
+def test_sums_of_lines_with_many_rows(monkeypatch):
+    """Lines of so many rows that curvatures and rows no longer fit into one number."""
+    rng = np.random.default_rng(4)
+    counts = [3, 200_000, 1, 70_000, 70_000, 5]
+    hashes, bins = [list(range(k)) for k in counts], rng.integers(0, 4, (6, 2)).astype(np.uint8)
+    rows = lines_of([0, 1, 1, 0, 0, 1], [0, 1, 2, 0, 1, 2], hashes, bins, [Chain(0, 1, 2, 0.3, 1.0, 1.0)])
+    rows.scores[:, 0] = [0.3, -2, 1, 0.1, 4, -0.2]
+    p = 1 / (1 + np.exp(-rows.scores[:, 0]))
+    at = np.array([1, 2, 1, 2, 0, 1])
+    for size in (2, 4, 6):
+        monkeypatch.setattr(boost, "CHUNK", size)
+        found = rows.sums(rows.given(0, 0, 9), at, 1, 4, np.array([True, True]))
+        expected = np.zeros((3, 2, 2, 4), np.int64)
+        for i in (1, 2, 5):  # outside of fold 0 and in a node of the level
+            for f in range(2):
+                g, h = round((p[i] - rows.label[i]) * 2**20), round(p[i] * (1 - p[i]) * 2**20)
+                expected[:, at[i] - 1, f, bins[i, f]] += counts[i] * np.array([g, h, 1])
+        assert np.array_equal(found, expected)

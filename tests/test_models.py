@@ -9,7 +9,7 @@ import pytest
 from conftest import TESTDATA
 
 from tidemark.operators import boost, evaluate, explain, prepare, score, train
-from tidemark.plans import models, pipeline
+from tidemark.plans import catalog, models, pipeline
 from tidemark.plans.catalog import LOGS, QUERY_GRID
 from tidemark.sources.storage import load_model, save_model
 
@@ -186,3 +186,23 @@ def test_whole_flow(spark, tmp_path):
     assert spark.read.parquet(f"{out}/reports/contributions").count() == valid * 12
     assert spark.read.parquet(f"{out}/reports/probability_histogram").agg({"n_rows": "sum"}).first()[0] == 51
     assert spark.read.option("header", True).csv(f"{out}/exports/churn_training_dataset_csv").count() == 141
+
+
+def test_the_model_of_a_log_reads_it_once(spark, monkeypatch):
+    """Its name in the store and both snapshots come from one pass over the log, however costly that is."""
+    load, spec = LOGS["o"]
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    given = load(spark, TESTDATA)
+    monkeypatch.setattr(catalog, "QUERY_GRID", {"n_estimators": [2], "max_depth": [2]})
+    data, one = catalog._trained(given.mapInArrow(counted, given.schema), spec)
+    assert seen.value == given.count()
+    assert data.train.count() + data.valid.count() == 141
+    monkeypatch.setattr(models, "train_model", None)  # the same log has the same model, whatever its layout
+    _, two = catalog._trained(given.repartition(5), spec)
+    assert one.search == two.search

@@ -49,9 +49,11 @@ RIDGE, LEAST = 1.0, 1.0
 BINS = 64
 #: Lines that one task may hold with the scores of its chains, rows for each of them on average, and the rows of a part of a larger table.
 SMALL, ROWS_A_LINE, PART = 1_000_000, 8, 200_000
+#: Lines that are added up at a time, few enough for a processor's cache.
+CHUNK = 1 << 15
 #: Rounds between two stored states of a small and of a large table.
 STEP_SMALL, STEP = 50, 10
-_UNIT = float(1 << 20)
+_UNIT, _SHARE = float(1 << 20), 1 << 17
 _STATE = "block int, label byte, fold int, h array<long>, bins binary, scores binary"
 
 
@@ -106,22 +108,30 @@ class Trees:
 
 def nodes_of(bins: np.ndarray, feature: np.ndarray, split: np.ndarray, depth: int) -> np.ndarray:
     """The node of every row after at most ``depth`` splits."""
-    at, rows = np.zeros(len(bins), np.int64), np.arange(len(bins))
+    at = np.zeros(len(bins), np.int64)
     for _ in range(depth):
-        chosen = feature[at]
-        right = bins[rows, chosen] > split[at]
-        at = np.where(chosen >= 0, 2 * at + 1 + right, at)
+        at = below(bins, feature, split, at)
     return at
 
 
+def below(bins: np.ndarray, feature: np.ndarray, split: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The node of every row after one more split."""
+    chosen = feature[at]
+    right = bins[np.arange(len(bins)), chosen] > split[at]
+    return np.where(chosen >= 0, 2 * at + 1 + right, at)
+
+
 def drawn(h: np.ndarray, seed: int, turn: int, share: float) -> np.ndarray:
     """Which rows a round draws."""
     if share >= 1:
         return np.ones(len(h), bool)
-    x = h + np.uint64((seed * 1_000_003 + turn + 1) * 0x9E3779B97F4A7C15 % 2**64)
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return (x ^ (x >> np.uint64(31))) >> np.uint64(40) < np.uint64(share * (1 << 24))
+    kept = np.empty(len(h), bool)
+    for i in range(0, len(h), CHUNK):
+        x = h[i : i + CHUNK] + np.uint64((seed * 1_000_003 + turn + 1) * 0x9E3779B97F4A7C15 % 2**64)
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        kept[i : i + CHUNK] = (x ^ (x >> np.uint64(31))) >> np.uint64(40) < np.uint64(share * (1 << 24))
+    return kept
 
 
 def columns_drawn(n: int, seed: int, turn: int, share: float) -> np.ndarray:
@@ -143,9 +153,10 @@ class Rows:
         self.h = hashes.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
         self.count = pc.list_value_length(hashes).to_numpy(zero_copy_only=False).astype(np.int64)
         self.start = np.cumsum(self.count) - self.count
-        self.last_draw = None, None
+        self.draws = None, {}
         n = len(self.label)
-        self.bins = np.frombuffer(b"".join(column["bins"].to_pylist()), np.uint8).reshape(n, n_features)
+        given = np.frombuffer(b"".join(column["bins"].to_pylist()), np.uint8).reshape(n, n_features)
+        self.bins = np.ascontiguousarray(given.T).T  # sums go through one feature after the other
         self.scores = np.frombuffer(b"".join(column["scores"].to_pylist()), float).reshape(n, len(chains)).copy()
 
     def add(self, c: int, trees: Trees) -> None:
@@ -155,35 +166,60 @@ class Rows:
             self.scores[:, c] += chain.learning_rate * value[nodes_of(self.bins, feature, split, chain.max_depth)]
 
     def drawn(self, seed: int, turn: int, share: float) -> np.ndarray:
-        """How many rows of each line a round draws."""
+        """How many rows of each line a round draws; chains with the same share have the same rows."""
         if share >= 1:
             return self.count
-        if self.last_draw[0] != (seed, turn, share):
-            self.last_draw = (seed, turn, share), np.add.reduceat(drawn(self.h, seed, turn, share), self.start, dtype=np.int64)
-        return self.last_draw[1]
-
-    def sums(self, c: int, feature: np.ndarray, split: np.ndarray, level: int, turn: int, seed: int, bins: int) -> np.ndarray:
-        """Gradients, curvatures and rows per node of the level, feature and bin."""
+        if self.draws[0] != (seed, turn):
+            self.draws = (seed, turn), {}
+        if share not in self.draws[1]:
+            self.draws[1][share] = np.add.reduceat(drawn(self.h, seed, turn, share), self.start, dtype=np.int64)
+        return self.draws[1][share]
+
+    def given(self, c: int, turn: int, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """What a round adds up, on all of its levels: the lines that take part, their gradients, curvatures and rows."""
         chain = self.chains[c]
         weight = self.drawn(seed, turn, chain.subsample)
-        rows = (self.fold != chain.fold) & (weight > 0)
-        weight = weight[rows]
-        given = self.bins[rows]
-        slot = nodes_of(given, feature, split, level) - (2**level - 1)
-        p = 1 / (1 + np.exp(-self.scores[rows, c]))
-        gradient, curvature = weight * np.rint((p - self.label[rows]) * _UNIT), weight * np.rint(p * (1 - p) * _UNIT)
-        inside = slot >= 0
-        n = given.shape[1]
-        place = ((slot[inside, None] * n + np.arange(n)) * bins + given[inside]).ravel()
-        shape = 2**level, n, bins
-        add = lambda w: np.bincount(place, w, minlength=np.prod(shape)).reshape(shape)
-        return np.stack([add(np.repeat(x[inside], n)) for x in (gradient, curvature, weight)]).astype(np.int64)
+        lines = np.flatnonzero((self.fold != chain.fold) & (weight > 0))
+        weight = weight[lines].astype(float)
+        p = 1 / (1 + np.exp(-self.scores[lines, c]))
+        return lines, weight * np.rint((p - self.label[lines]) * _UNIT), weight * np.rint(p * (1 - p) * _UNIT), weight
+
+    def sums(self, given: tuple[np.ndarray, ...], at: np.ndarray, level: int, bins: int, allowed: np.ndarray) -> np.ndarray:
+        """Gradients, curvatures and rows per node of the level, feature and bin; ``at`` is the node of every line.
+
+        Whole numbers below 2^53 are exact in double precision, so curvatures (up to 2^18 each) and rows share one sum
+        where there are few enough rows.
+        """
+        total = np.zeros((3, 2**level, len(allowed), bins), np.int64)
+        cells = 2**level * bins
+        for i in range(0, len(given[0]), CHUNK):
+            lines, gradient, curvature, weight = (x[i : i + CHUNK] for x in given)
+            slot = at[lines] - (2**level - 1)
+            inside = slot >= 0
+            if not inside.all():
+                lines, slot, gradient, curvature, weight = (x[inside] for x in (lines, slot, gradient, curvature, weight))
+            slot *= bins
+            packed = weight.sum() < _SHARE
+            both = curvature * _SHARE + weight if packed else None
+            for f in np.flatnonzero(allowed):
+                place = slot + self.bins[:, f][lines]
+                add = lambda w: np.bincount(place, w, cells).astype(np.int64).reshape(2**level, bins)  # noqa: B023, E731
+                total[0, :, f] += add(gradient)
+                if packed:
+                    found = add(both)
+                    total[1, :, f] += found // _SHARE
+                    total[2, :, f] += found % _SHARE
+                else:
+                    total[1, :, f] += add(curvature)
+                    total[2, :, f] += add(weight)
+        return total
 
 
 def choose(sums: np.ndarray, allowed: np.ndarray) -> np.ndarray:
     """For every node: feature (-1: none), bin, gain, and value and rows of the node and its two children."""
     running = sums.cumsum(axis=-1)
-    whole = running[:, :, :1, -1:]
+    one = int(allowed.argmax())  # every feature adds up to the whole node
+    whole = running[:, :, one : one + 1, -1:]
     (g, h, _), (gl, hl, _), (gr, hr, _) = whole / _UNIT, running / _UNIT, (whole - running) / _UNIT
     with np.errstate(divide="ignore", invalid="ignore"):
         gain = gl**2 / (hl + RIDGE) + gr**2 / (hr + RIDGE) - g**2 / (h + RIDGE)
@@ -213,17 +249,23 @@ def place(trees: Trees, chain: int, turn: int, level: int, chosen: np.ndarray) -
             trees.count[chain, turn, 2 * node + 1 : 2 * node + 3] = n_left, n_right
 
 
-def grow(rows: Rows, c: int, first: int, last: int, seed: int, bins: int) -> Trees:
-    """Rounds ``first`` to ``last`` of a chain, from rows that are all there."""
-    chain = rows.chains[c]
-    trees = Trees.none(1, last - first, chain.max_depth)
+def grow(rows: Rows, first: int, last: int, seed: int, bins: int) -> list[Trees]:
+    """Rounds ``first`` to ``last`` of all chains of a block, from rows that are all there.
+
+    Chains go on round by round, so that one draw of rows serves all of them.
+    """
+    grown = [Trees.none(1, max(0, min(last, x.rounds) - first), x.max_depth) for x in rows.chains]
     for i, turn in enumerate(range(first, last)):
-        allowed = columns_drawn(rows.bins.shape[1], seed, turn, chain.colsample)
-        for level in range(chain.max_depth):
-            sums = rows.sums(c, trees.feature[0, i], trees.split[0, i], level, turn, seed, bins)
-            place(trees, 0, i, level, choose(sums, allowed))
-        rows.add(c, trees.part([0], slice(i, i + 1)))
-    return trees
+        for c, (chain, trees) in enumerate(zip(rows.chains, grown, strict=True)):
+            if turn >= chain.rounds:
+                continue
+            allowed = columns_drawn(rows.bins.shape[1], seed, turn, chain.colsample)
+            given, at = rows.given(c, turn, seed), np.zeros(len(rows.label), np.int64)
+            for level in range(chain.max_depth):
+                place(trees, 0, i, level, choose(rows.sums(given, at, level, bins, allowed), allowed))
+                at = below(rows.bins, trees.feature[0, i], trees.split[0, i], at)
+            rows.scores[:, c] += chain.learning_rate * trees.value[0, i][at]
+    return grown
 
 
 # --- the table of rows and scores ----------------------------------------------------
@@ -296,7 +338,7 @@ class Fit:
         def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
             rows = Rows(table, [chains[c] for c in blocks[key[0].as_py()]], n)
             mine = blocks[key[0].as_py()]
-            grown = [grow(rows, i, first, max(first, min(last, chains[c].rounds)), seed, bins).to_bytes() for i, c in enumerate(mine)]
+            grown = [trees.to_bytes() for trees in grow(rows, first, last, seed, bins)]
             return pa.table({"chain": pa.array(mine, pa.int32()), "trees": pa.array(grown, pa.binary())})
 
         run.__annotations__ = {"key": tuple[pa.Scalar, ...], "table": pa.Table, "return": pa.Table}
@@ -323,7 +365,8 @@ class Fit:
                         if c not in live:
                             continue
                         rows.add(i, known.part([c], slice(0, turn - first)))
-                        sums = rows.sums(i, known.feature[c, -1], known.split[c, -1], level, turn, seed, bins)
+                        at = nodes_of(rows.bins, known.feature[c, -1], known.split[c, -1], level)
+                        sums = rows.sums(rows.given(i, turn, seed), at, level, bins, columns_drawn(fit.n_features, seed, turn, chains[c].colsample))
                         total[c] = total[c] + sums if c in total else sums
             for c, sums in total.items():
                 yield pa.record_batch([pa.array([c], pa.int32()), pa.array([sums.tobytes()], pa.binary())], names=["chain", "sums"])
@@ -490,25 +533,29 @@ def to_model(trees: Trees, chain: Chain, edges: Sequence[np.ndarray], features:
     by rows for the importance of a feature.
     """
     gateway = SparkContext._active_spark_context._gateway
-    jvm = gateway.jvm.org.apache.spark
-    ml, numbers = jvm.ml, gateway.jvm.double
+    ml, java = gateway.jvm.org.apache.spark.ml, gateway.jvm.java
+    # every mention of a class asks the JVM: once each, as there are thousands of nodes
+    leaf, inner, split, tree = ml.tree.LeafNode, ml.tree.InternalNode, ml.tree.ContinuousSplit, ml.regression.DecisionTreeRegressionModel
+    variance, part = gateway.jvm.org.apache.spark.mllib.tree.impurity.VarianceCalculator, java.util.Arrays.copyOfRange
+    n, values = trees.count[0, : chain.rounds].astype(float), trees.value[0, : chain.rounds] / 2
+    held = np.stack([n, n * values, n * values * values], axis=-1)
+    stats = gateway.new_array(gateway.jvm.double, held.size)
+    java.nio.ByteBuffer.wrap(held.astype(">f8").tobytes()).asDoubleBuffer().get(stats)
 
     def node(turn: int, i: int):
-        feature, value = int(trees.feature[0, turn, i]), float(trees.value[0, turn, i]) / 2
-        n = float(trees.count[0, turn, i])
-        stats = gateway.new_array(numbers, 3)
-        stats[0], stats[1], stats[2] = n, n * value, n * value * value
-        held = jvm.mllib.tree.impurity.VarianceCalculator(stats, int(n))
+        feature, value, count = int(trees.feature[0, turn, i]), float(values[turn, i]), float(n[turn, i])
+        at = 3 * (turn * n.shape[1] + i)
+        own = variance(part(stats, at, at + 3), int(count))
         if feature < 0:
-            return ml.tree.LeafNode(value, 0.0, held)
-        split = ml.tree.ContinuousSplit(feature, float(edges[feature][int(trees.split[0, turn, i])]))
-        gain = float(trees.gain[0, turn, i]) / max(n, 1.0)
-        return ml.tree.InternalNode(value, 0.0, gain, node(turn, 2 * i + 1), node(turn, 2 * i + 2), split, held)
+            return leaf(value, 0.0, own)
+        gain = float(trees.gain[0, turn, i]) / max(count, 1.0)
+        cut = split(feature, float(edges[feature][int(trees.split[0, turn, i])]))
+        return inner(value, 0.0, gain, node(turn, 2 * i + 1), node(turn, 2 * i + 2), cut, own)
 
     made = gateway.new_array(ml.regression.DecisionTreeRegressionModel, chain.rounds)
-    weights = gateway.new_array(numbers, chain.rounds)
+    weights = gateway.new_array(gateway.jvm.double, chain.rounds)
     for turn in range(chain.rounds):
-        made[turn] = ml.regression.DecisionTreeRegressionModel(f"tree_{turn}", node(turn, 0), len(features))
+        made[turn] = tree(f"tree_{turn}", node(turn, 0), len(features))
         weights[turn] = chain.learning_rate
     model = GBTClassificationModel(ml.classification.GBTClassificationModel("boosted", made, weights, len(features), 2))
     model = model.setFeaturesCol("features")

@@ -75,8 +75,11 @@ def _labelled(events: DataFrame, spec: ChurnSpec) -> DataFrame:
 
 
 def _prepared(events: DataFrame, spec: ChurnSpec) -> prepare.Prepared:
+    return _prepared_log(_log(events), spec)
+
+
+def _prepared_log(log: DataFrame, spec: ChurnSpec) -> prepare.Prepared:
     """The two snapshots share the stored log and the grid."""
-    log = _log(events)
     shared = grid.Grid.of(log, spec)
     return prepare.prepare(
         stored(datasets.churn_training_dataset(log, spec, shared)),
@@ -85,10 +88,15 @@ def _prepared(events: DataFrame, spec: ChurnSpec) -> prepare.Prepared:
 
 
 def _trained(events: DataFrame, spec: ChurnSpec) -> tuple[prepare.Prepared, train.Trained]:
-    """The model of a log, from the store below the shared folder; the first query to ask for it fits it."""
-    spark = events.sparkSession
-    key = models.store_key(train.fingerprint(events), spec, QUERY_GRID, prepare.SEED)
-    return models.fitted(spark, f"{lasting_dir(spark, 'models')}/{key}", lambda: _prepared(events, spec), QUERY_GRID)
+    """The model of a log, from the store below the shared folder; the first query to ask for it fits it.
+
+    The log is made once: its name in the store and the snapshots come from one stored table of the columns that they need.
+    """
+    spark, log = events.sparkSession, _log(events)
+    key = models.store_key(train.fingerprint(log), spec, QUERY_GRID, prepare.SEED)
+    found = models.fitted(spark, f"{lasting_dir(spark, 'models')}/{key}", lambda: _prepared_log(log, spec), QUERY_GRID)
+    release(log)
+    return found
 
 
 #: Metrics that only the table of definitions knows: a sum, a sum with a sum, a ratio of the two, another look-back.
