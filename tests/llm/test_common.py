@@ -77,3 +77,20 @@ def test_ids_of_words_in_batches():
     tokenizer = Tokenizer.from_file(path)
     for i in range(0, 5000, 617):
         assert np.frombuffer(found[i], "<u4").tolist() == tokenizer.encode(words[i].decode(), add_special_tokens=False).ids
+
+
+def test_many_texts_are_remembered_at_once(monkeypatch):
+    monkeypatch.setattr(common.Memo, "_live", [])
+    made = []
+    memo = common.Memo(lambda key: made.append(key) or b"new")
+    assert memo.fill({b"a": b"1", b"b": b"2"})
+    assert not memo.fill({b"c": b"3", b"d" * 300: b"4"}) and b"d" * 300 not in memo
+    assert [memo[k] for k in (b"a", b"b", b"c")] == [b"1", b"2", b"3"] and made == []
+    assert memo.size == 3 * (2 + 200) and memo.added == 3
+    monkeypatch.setattr(common.Memo, "budget", 2000)
+    memo.fill({b"%d" % i: b"x" for i in range(5)})  # half the budget is passed: all of it is the older half now
+    assert not dict(memo) and memo.old_size == 3 * 202 + 5 * 202
+    assert memo[b"a"] == b"1" and made == []
+    other = common.Memo(lambda key: key)
+    other.fill({b"%d" % i: b"x" for i in range(300)})  # the budget is that of all memos together
+    assert not memo.old and not dict(memo)

@@ -104,12 +104,22 @@ class Memo(dict):
         if len(key) > self.longest:
             return
         self[key] = value
-        self.size += _bytes(key) + _bytes(value) + _ENTRY
+        self._grown(1, _bytes(key) + _bytes(value) + _ENTRY)
+
+    def fill(self, pairs: dict[bytes, bytes]) -> bool:
+        """Remembers many short texts at once; says whether all of them were short."""
+        short = pairs if max(map(len, pairs), default=0) <= self.longest else {k: v for k, v in pairs.items() if len(k) <= self.longest}
+        self.update(short)
+        self._grown(len(short), sum(map(len, short)) + sum(map(len, short.values())) + _ENTRY * len(short))
+        return short is pairs
+
+    def _grown(self, n: int, size: int) -> None:
+        self.size += size
         if self.size > self.budget // 2:
             self.old, self.old_size, self.size = dict(self), self.size, 0
             self.clear()
-        self.added += 1
-        if self.added % 256 == 0:
+        self.added += n
+        if self.added % 256 < n:
             self._share()
 
     def _share(self) -> None:

@@ -16,6 +16,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Callable, Iterator
+from operator import itemgetter
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -50,7 +51,7 @@ def word_ids(path: str) -> Callable[[list[bytes]], list[bytes]]:
             texts = [w.decode() for w in words]
             found = tokenizer.encode(" ".join(texts), add_special_tokens=False)
             data = np.array(found.ids, "<u4").tobytes()
-            starts = np.fromiter((o[0] for o in found.offsets), np.int64, len(data) // 4)
+            starts = np.fromiter(map(itemgetter(0), found.offsets), np.int64, len(data) // 4)
             cuts = np.searchsorted(starts, np.cumsum([0] + [len(t) + 1 for t in texts])).tolist()
             return [data[4 * a : 4 * b] for a, b in zip(cuts, cuts[1:])]
 
@@ -59,13 +60,12 @@ def word_ids(path: str) -> Callable[[list[bytes]], list[bytes]]:
         def ids_of(words: list[bytes]) -> list[bytes]:
             found = list(map(memo.get, words))
             if None in found:
-                new = memo.lacking(w for w, x in zip(words, found, strict=True) if x is None)
-                fresh = {}
+                new, fresh = memo.lacking(w for w, x in zip(words, found, strict=True) if x is None), {}
                 for i in range(0, len(new), 1024):
                     fresh |= zip(new[i : i + 1024], ids(new[i : i + 1024]), strict=True)
-                for word, x in fresh.items():
-                    memo.put(word, x)
-                found = [x if x is not None else fresh[w] if w in fresh else memo[w] for w, x in zip(words, found, strict=True)]
+                if not memo.fill(fresh):
+                    return [fresh[w] if w in fresh else memo[w] for w in words]
+                found = list(map(memo.__getitem__, words))
             return found
 
         return ids_of
