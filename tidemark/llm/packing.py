@@ -48,11 +48,12 @@ def word_ids(path: str) -> Callable[[list[bytes]], list[bytes]]:
 
         def ids(words: list[bytes]) -> list[bytes]:
             """Many words cost one call: they are one text, cut where the words begin."""
-            texts = [w.decode() for w in words]
-            found = tokenizer.encode(" ".join(texts), add_special_tokens=False)
+            text = b" ".join(words).decode()
+            found = tokenizer.encode(text, add_special_tokens=False)
             data = np.array(found.ids, "<u4").tobytes()
             starts = np.fromiter(map(itemgetter(0), found.offsets), np.int64, len(data) // 4)
-            cuts = np.searchsorted(starts, np.cumsum([0] + [len(t) + 1 for t in texts])).tolist()
+            sizes = np.fromiter(map(len, words if text.isascii() else text.split(" ")), np.int64, len(words))
+            cuts = np.searchsorted(starts, np.concatenate([[0], np.cumsum(sizes + 1)])).tolist()
             return [data[4 * a : 4 * b] for a, b in zip(cuts, cuts[1:])]
 
         memo = Memo(lambda word: ids([word])[0])
@@ -123,26 +124,30 @@ def windows(lengths: list[int], capacity: int) -> Iterator[list[tuple[int, int,
     for item, length in enumerate(lengths):
         stock.setdefault(length, []).append((item, 0))
 
+    left = {length: len(pieces) for length, pieces in stock.items()}
+
     def draw(length: int) -> tuple[int, int, int]:
-        pieces = stock[length]
-        item, start = pieces.pop()
-        if not pieces:
-            del stock[length]
+        item, start = stock[length].pop()
+        left[length] -= 1
+        if not left[length]:
+            del stock[length], left[length]
         return item, start, length
 
     total = sum(lengths)
     while total >= capacity:
-        longest = max(stock)
-        counts = {x: len(p) - (x == longest) for x, p in stock.items() if len(p) > (x == longest)}
-        taken = choose(counts, capacity - longest)
+        longest = max(left)
+        left[longest] -= 1
+        taken = choose(left, capacity - longest)
+        left[longest] += 1
         taken[longest] = taken.get(longest, 0) + 1
         slack = capacity - sum(x * n for x, n in taken.items())
-        for _ in range(min(len(stock[x]) // n for x, n in taken.items()) if not slack else 1):
+        for _ in range(min(left[x] // n for x, n in taken.items()) if not slack else 1):
             out = [draw(x) for x, n in taken.items() for _ in range(n)]
             if slack:  # every remaining tail is longer than the slack: cut one
                 item, start, length = draw(max(stock))
                 out.append((item, start, slack))
                 stock.setdefault(length - slack, []).append((item, start + slack))
+                left[length - slack] = left.get(length - slack, 0) + 1
             total -= capacity
             yield out
     rest = [draw(length) for length in sorted(stock, reverse=True) for _ in range(len(stock[length]))]
