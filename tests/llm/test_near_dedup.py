@@ -186,3 +186,21 @@ def test_odd_rows(spark):
             assert r.component_id == 3 and r.kept
     assert near_duplicates(odd_table(spark).limit(0)).count() == 0
     assert len(shingle_set("A b\tc")) == 1 and list(shingle_set("A b\tc")) == list(shingle_set("a B c"))
+
+
+def test_open_pairs_are_made_once(spark):
+    """Two documents that share many buckets meet in each of them and are one pair."""
+    sign = [0] * (BANDS * ROWS // 8)
+    rows = [(k, i, c, 100, sign, 7) for i, c, keys in ((1, 1, range(9)), (2, 2, range(2, 12)), (3, 2, (5, 8, 20)), (4, 2, (30,))) for k in keys]
+    placed = spark.createDataFrame(rows, "key long, id long, component long, n_shingles long, signature array<long>, band int")
+    open_ = spark.createDataFrame([(1, 2, 7)], "id long, of long, band int")
+    pairs = near_dedup.open_pairs(open_, placed, PERCENT, BANDS * ROWS).collect()
+    assert sorted(map(tuple, pairs)) == [(1, 2), (1, 3)]
+
+
+def test_bytes_may_be_read_as_others(spark):
+    """Texts that are equal but for what the table makes equal are copies; without it they are not."""
+    table = bytes.maketrans(b"123456789", b"0" * 9)
+    docs = spark.createDataFrame([(i, " ".join(f"w {i}{k}" for k in range(20))) for i in range(1, 4)], "doc_id long, text string")
+    assert {r.component_id for r in near_duplicates(docs, table=table).collect()} == {1}
+    assert {r.component_id for r in near_duplicates(docs).collect()} == {1, 2, 3}

@@ -53,9 +53,13 @@ WANTED_BITS = 1 << 25
 _MIX = np.uint32(0x9E3779B1)
 
 
-def shingle_set(text: str | None, width: int = SHINGLE) -> np.ndarray:
-    """Sorted distinct hashes of the runs of ``width`` words, A-Z in lower case; of all words if there are fewer."""
-    words = (text or "").encode().lower().split()  # bytes: lower() changes A-Z, split() cuts at ASCII blanks
+def shingle_set(text: str | None, width: int = SHINGLE, table: bytes | None = None) -> np.ndarray:
+    """Sorted distinct hashes of the runs of ``width`` words, A-Z in lower case; of all words if there are fewer.
+
+    ``table`` (256 bytes) says which byte each one is read as.
+    """
+    data = (text or "").encode()
+    words = (data.translate(table) if table else data).lower().split()  # bytes: lower() changes A-Z, split() cuts at ASCII blanks
     if len(words) >= width:
         return np.unique(window_hashes(word_hashes(words), width))
     if not words:
@@ -98,7 +102,7 @@ def signature(low: np.ndarray) -> np.ndarray:
     return np.pad(some, (0, -len(some) % 8)).view(np.uint64)
 
 
-def describe(df: DataFrame, id_column: str, text_column: str, bands: int, rows: int) -> DataFrame:
+def describe(df: DataFrame, id_column: str, text_column: str, table: bytes | None, bands: int, rows: int) -> DataFrame:
     schema = T.StructType(
         [
             T.StructField("id", df.schema[id_column].dataType),
@@ -113,7 +117,7 @@ def describe(df: DataFrame, id_column: str, text_column: str, bands: int, rows:
         functions = hash_functions(bands * rows)
 
         def call(key, text):
-            shingles = shingle_set(text)
+            shingles = shingle_set(text, table=table)
             if len(shingles) and key is not None:
                 low = minima(shingles, functions)
                 lists = band_keys(low, bands).view(np.int64).tolist(), signature(low).view(np.int64).tolist()
@@ -147,7 +151,7 @@ def rows_with(df: DataFrame, id_column: str, ids: DataFrame) -> DataFrame:
     return joined.where(F.getbit(byte, F.pmod(bit, F.lit(8)).cast("int")) == 1).select(*df.columns)
 
 
-def full_sets(df: DataFrame, id_column: str, text_column: str, ids: DataFrame, once: bool) -> DataFrame:
+def full_sets(df: DataFrame, id_column: str, text_column: str, table: bytes | None, ids: DataFrame, once: bool) -> DataFrame:
     """The sets of the rows with these ids; with ``once``, one for each id."""
     schema = T.StructType(
         [T.StructField("id", df.schema[id_column].dataType), T.StructField("shingles", T.ArrayType(T.LongType()))]
@@ -155,7 +159,7 @@ def full_sets(df: DataFrame, id_column: str, text_column: str, ids: DataFrame, o
 
     def start():
         def call(key, text):
-            yield key, shingle_set(text).view(np.int64).tolist()
+            yield key, shingle_set(text, table=table).view(np.int64).tolist()
 
         return call
 
@@ -188,7 +192,7 @@ def may_be_linked(a: str, b: str, percent: int, minima: int) -> Column:
 
 
 def confirmed(
-    pairs: DataFrame, classes: DataFrame, df: DataFrame, names: tuple[str, str], percent: int, minima: int, once: bool
+    pairs: DataFrame, classes: DataFrame, df: DataFrame, names: tuple, percent: int, minima: int, once: bool
 ) -> DataFrame:
     """Those of the pairs (a < b) that are links, checked by size and signature, then on the full sets."""
     facts = classes.select("id", F.struct("n_shingles", "signature").alias("f"))
@@ -271,6 +275,22 @@ def _band_least(band: Column) -> Column:
     return F.ceil(F.pow(F.lit(SIZE_BAND), band) - 1e-6)
 
 
+def open_pairs(open_: DataFrame, placed: DataFrame, percent: int, minima: int) -> DataFrame:
+    """Pairs (a, b) of the documents in ``open_`` (id, of, band) and the members of their groups, where signatures leave a link possible.
+
+    ``placed`` has (key, id, component, n_shingles, signature, band), one row for each bucket of a document. Two documents that share
+    many buckets meet in each of them, and become a pair in the first only.
+    """
+    keys = placed.groupBy("id").agg(F.collect_set("key").alias("keys"))
+    facts = F.struct("id", "n_shingles", "signature", "keys")
+    known = placed.join(keys, "id")
+    mine = open_.join(known.select("id", "key", facts.alias("x")), "id").drop("id")
+    others = known.select("key", F.col("component").alias("of"), "band", facts.alias("y"))
+    first = F.array_min(F.array_intersect("x.keys", "y.keys"))
+    pairs = mine.join(others, ["key", "of", "band"]).where(may_be_linked("x", "y", percent, minima) & (F.col("key") == first))
+    return pairs.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
+
+
 def possible_pairs(members: DataFrame, sets_of, percent: int, minima: int) -> DataFrame:
     """Pairs (a, b) of members of different components in one bucket, without those that unions of sets or signatures rule out.
 
@@ -308,12 +328,7 @@ def possible_pairs(members: DataFrame, sets_of, percent: int, minima: int) -> Da
     shared = held.join(joint, ["of", "band", "shingle"]).groupBy("id", "of", "band", "n").agg(F.count("*").alias("h"))
     # at most h are shared with a set of the group, which has at least as many and at least the band's least
     open_ = shared.where(100 * F.col("h") >= percent * (F.col("n") + F.greatest("h", _band_least(F.col("band"))) - F.col("h")))
-    facts = F.struct("id", "n_shingles", "signature")
-    open_ = open_.select("id", "of", "band").join(placed.select("id", "key", facts.alias("x")), "id").drop("id")
-    others = placed.select("key", F.col("component").alias("of"), "band", facts.alias("y"))
-    pairs = open_.alias("o").join(others.alias("p"), ["key", "of", "band"]).where(may_be_linked("x", "y", percent, minima))
-    pairs = pairs.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
-    pairs = stored(pairs.union(direct).distinct())
+    pairs = stored(open_pairs(open_.select("id", "of", "band"), placed, percent, minima).union(direct).distinct())
     release(near, sets, placed)
     return pairs
 
@@ -327,22 +342,23 @@ def near_duplicates(
     bands: int = BANDS,
     rows: int = ROWS,
     ids: DataFrame | None = None,
+    table: bytes | None = None,
 ) -> DataFrame:
     """n_shingles, component_id and kept for every row.
 
     Sets are linked if 100 * intersection >= ``percent`` * union; a component is what links connect, named after its
-    smallest id; kept is true for that document. With ``ids`` (one column, named like the id) only rows with one of
+    smallest id; kept is true for that document. ``table`` says which byte each byte of a text is read as. With ``ids`` (one column, named like the id) only rows with one of
     these ids take part, and one row stands for all that share its id: their texts must have the same shingles. Null, empty and blank texts have no shingles and are
     linked with nothing. Rows that repeat an id share its component; if their texts differ, it is the smallest
     of any of them. Rows with a null id are linked with nothing, have no component and are kept. Other columns are ignored. An empty table gives no rows.
     """
-    names, minima = (id_column, text_column), bands * rows
+    names, minima = (id_column, text_column, table), bands * rows
     if ids is None:
         every = stored(describe(df, *names, bands, rows))
     else:
         # the bitmap leaves most texts unread, the join is exact
         ids = ids.select(F.col(id_column).alias("id")).distinct()
-        near = describe(rows_with(df.select(*names), id_column, ids), *names, bands, rows)
+        near = describe(rows_with(df.select(id_column, text_column), id_column, ids), *names, bands, rows)
         every = stored(near.join(ids, "id", "left_semi").dropDuplicates(["id"]))
     sets = every.where("set_key is not null")
     copies = sets.groupBy("set_key").agg(F.min("id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
