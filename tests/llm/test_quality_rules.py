@@ -4,7 +4,9 @@ import numpy as np
 import pytest
 from brute import ODD, base_facts, odd_table
 
-from tidemark.llm.quality_rules import quality_rules, repeated_words, word_hashes
+from pyspark.sql import functions as F
+
+from tidemark.llm.quality_rules import quality_rules, repeated_words, text_facts, word_hashes
 
 TEST = "/root/testdata/sf0.001"
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
@@ -80,3 +82,22 @@ def test_odd_rows(spark):
         if r.doc_id is not None and r.doc_id != 3:
             assert tuple(r[c] for c in BASE) == base_facts(ODD[r.doc_id])
     assert quality_rules(odd_table(spark).limit(0)).count() == 0
+
+
+def test_texts_are_normalised_in_python_only(crowd, monkeypatch):
+    """Functions of Spark that go through a text character by character took most of the JVM's time, in every pass."""
+
+    def slow(*_):
+        raise AssertionError("a text is normalised by the JVM")
+
+    expected = sorted(map(tuple, quality_rules(crowd).collect()))
+    for name in ("translate", "regexp_replace"):
+        monkeypatch.setattr(F, name, slow)
+    assert sorted(map(tuple, quality_rules(crowd).collect())) == expected
+
+
+def test_whole_texts_are_equal_once_normalised():
+    """A-Z, digits and blanks do not tell documents apart; other characters do."""
+    same = ["One 12  two\n\n THREE", "one 34 two three", "\tone\x0b99 two\r\nthree "]
+    assert len({text_facts(t)[0] for t in same}) == 1 and len(text_facts(same[0])[0]) == 16
+    assert len({text_facts(t)[0] for t in ("a b", "ab", "", "a \u00a0b", "\u00c9 a", "\u00e9 a")}) == 6

@@ -16,6 +16,8 @@ Documents that share a long license and little else are linked as wholes, but ea
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -71,24 +73,13 @@ def line_key(parts: list[bytes]) -> int:
     return hash64(b" ".join(parts))
 
 
-def normal_text(text: Column) -> Column:
-    """A-Z in lower case, digits to 0."""
-    upper, digits = "".join(map(chr, range(65, 91))), "123456789"
-    return F.translate(F.coalesce(text, F.lit("")), upper + digits, upper.lower() + "0" * 9)
-
-
-def document_key(text: Column) -> Column:
-    """A hash (128 bits) of the whole normalised text, with single blanks."""
-    return F.unhex(F.md5(F.trim(F.regexp_replace(normal_text(text), r"[ \t\n\x0B\f\r]+", " ")).cast("binary")))
-
-
 def raw_key(text: Column) -> Column:
-    """A quick hash of the text as it is, to find the rows that are to be read again."""
-    return F.xxhash64(F.coalesce(text, F.lit("")))
+    """A hash (128 bits) of the text as it is, to find the rows that are to be read again."""
+    return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
 
 
 def text_facts(text: str) -> tuple:
-    """(n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, line hashes, line words)."""
+    """(hash (128 bits) of the whole normalised text, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, line hashes, line words)."""
     data = text.encode()
     words = data.split()
     hashes = word_hashes(words)
@@ -96,10 +87,14 @@ def text_facts(text: str) -> tuple:
     word_chars = len(text) - (len(data) - len(data.translate(None, BLANKS)))
     lines = [line for line in data.split(b"\n") if line.strip(BLANKS)]
     counts: dict[int, int] = {}
+    whole = []
     for parts in normal_lines(data):
-        key = line_key(parts)
+        line = b" ".join(parts)
+        whole.append(line)
+        key = hash64(line)
         counts[key] = counts.get(key, 0) + len(parts)
     return (
+        hashlib.md5(b" ".join(whole)).digest(),
         len(words),
         word_chars,
         n_symbols,
@@ -118,8 +113,8 @@ def document_facts(df: DataFrame, id_column: str, text_column: str, host_column:
             T.StructField("_row", T.LongType()),
             T.StructField(id_column, df.schema[id_column].dataType),
             T.StructField("_host", T.StringType()),
+            T.StructField("_raw", T.BinaryType()),
             T.StructField("_doc", T.BinaryType()),
-            T.StructField("_raw", T.LongType()),
             *(T.StructField(c, T.LongType()) for c in longs),
             T.StructField("line_hash", T.ArrayType(T.LongType())),
             T.StructField("line_words", T.ArrayType(T.IntegerType())),
@@ -127,22 +122,21 @@ def document_facts(df: DataFrame, id_column: str, text_column: str, host_column:
     )
 
     def start():
-        def call(row, key, host, doc, raw, text):
-            yield row, key, NO_HOST if host is None else host, doc, raw, *text_facts(text or "")
+        def call(row, key, host, raw, text):
+            yield row, key, NO_HOST if host is None else host, raw, *text_facts(text or "")
 
         return call
 
     text = F.col(text_column)
-    rows = df.select(
-        F.monotonically_increasing_id(), id_column, F.col(host_column).cast("string"), document_key(text), raw_key(text), text
-    )
+    rows = df.select(F.monotonically_increasing_id(), id_column, F.col(host_column).cast("string"), raw_key(text), text)
     return map_rows(rows, schema, start)
 
 
-def own_texts(holders: DataFrame, texts: DataFrame) -> DataFrame:
+def own_texts(holders: DataFrame, texts: DataFrame, read: DataFrame) -> DataFrame:
     """(_host, _doc, component, text): the lines of each document that are neither among those it has in ``holders``
     (_host, _doc, line_hash, component) nor edited versions of any that its component has there.
 
+    ``read`` says which of ``texts`` (_raw, text) is read for a _doc.
     Documents without such lines have no row.
     """
     schema = T.StructType(
@@ -167,8 +161,9 @@ def own_texts(holders: DataFrame, texts: DataFrame) -> DataFrame:
         return call
 
     of_doc = holders.groupBy("_host", "_doc", "component").agg(F.collect_set("line_hash").alias("held"))
-    texts = rows_with(texts, "_doc", of_doc.select(F.col("_doc").alias("id"))).dropDuplicates(["_doc"])
-    lines = stored(map_rows(of_doc.join(texts, "_doc").select("_host", "_doc", "component", "held", "text"), schema, start))
+    of_doc = of_doc.join(read, "_doc")
+    texts = rows_with(texts, "_raw", of_doc.select(F.col("_raw").alias("id"))).dropDuplicates(["_raw"])
+    lines = stored(map_rows(of_doc.join(texts, "_raw").select("_host", "_doc", "component", "held", "text"), schema, start))
     window, line = F.explode("windows").alias("window"), ("_host", "_doc", "place")
     known = lines.where("held").select("_host", "component", window).distinct()
     found = lines.where("not held").select(*line, "component", window).join(known, ["_host", "component", "window"])
@@ -179,26 +174,27 @@ def own_texts(holders: DataFrame, texts: DataFrame) -> DataFrame:
     return own.groupBy("_host", "_doc", "component").agg(F.concat_ws("\n", F.transform(parts, lambda p: p["line"])).alias("text"))
 
 
-def document_classes(pairs: DataFrame, holders: DataFrame, texts: DataFrame) -> DataFrame:
+def document_classes(pairs: DataFrame, holders: DataFrame, texts: DataFrame, read: DataFrame) -> DataFrame:
     """``pairs`` (_host, _doc) with ``class``, the same for near copies.
 
-    ``holders`` has the lines (_host, _doc, line_hash) that too many texts have, ``texts`` the normalised text of every row
-    with its _doc; they are read where they are.
+    ``holders`` has the lines (_host, _doc, line_hash) that too many texts have, ``texts`` the text of every row
+    as it is, with its _raw, and ``read`` one _raw for each _doc. Texts are read where they are, and normalised behind the filter for the wanted ones.
     """
 
     def linked(rows: DataFrame, key: str, name: str, **options) -> DataFrame:
         found = near_duplicates(rows, id_column=key, text_column="text", **options)
         return found.select(key, F.col("component_id").alias(name))
 
-    parts = linked(texts, "_doc", "component", ids=pairs.select("_doc"))
+    parts = linked(texts, "_raw", "component", ids=read.select("_raw"), table=_NORMAL)
+    parts = stored(parts.join(read, "_raw").drop("_raw"))
     groups = parts.groupBy("component").agg(F.count("*").alias("n")).where("n > 1").select("component")
     shared = stored(holders.join(parts.join(groups, "component", "left_semi"), "_doc"))
     key = F.unhex(F.md5(F.concat(F.col("_host").cast("binary"), F.col("_doc"))))
-    own = stored(own_texts(shared, texts).withColumn("_key", key))
+    own = stored(own_texts(shared, texts, read).withColumn("_key", key))
     found = own.select("_host", "_doc", "_key").join(linked(own, "_key", "own"), "_key").drop("_key")
     placed = pairs.join(parts, "_doc").join(found, ["_host", "_doc"], "left")
     classes = stored(placed.select("_host", "_doc", F.struct("component", "own").alias("class")))
-    release(shared, own)
+    release(shared, own, parts)
     return classes
 
 
@@ -224,11 +220,10 @@ def boilerplate_lines(
     above = totals.where(F.col("_docs") > F.col("_all") * max_share).select("_host", "line_hash", "_all")
     holders = holders.join(above, ["_host", "line_hash"])
     wanted = stored(holders.select("_host", "_doc").distinct())
-    # only the rows of the wanted documents, and a few others, are normalised again
-    raw = facts.join(wanted.select("_doc").distinct(), "_doc", "left_semi").select(F.col("_raw").alias("id")).distinct()
-    given = rows_with(df.select(raw_key(F.col(text_column)).alias("_raw"), F.col(text_column).alias("text")), "_raw", stored(raw))
-    texts = given.select(document_key(F.col("text")).alias("_doc"), normal_text(F.col("text")).alias("text"))
-    classes = document_classes(wanted, holders.drop("_all"), texts)
+    # one text stands for all that are equal once normalised
+    read = facts.join(wanted.select("_doc").distinct(), "_doc", "left_semi").groupBy("_doc").agg(F.min("_raw").alias("_raw"))
+    texts = df.select(raw_key(F.col(text_column)).alias("_raw"), F.coalesce(text_column, F.lit("")).alias("text"))
+    classes = document_classes(wanted, holders.drop("_all"), texts, stored(read))
     per_line = holders.join(classes, ["_host", "_doc"]).select("_host", "line_hash", "_all", "class").distinct()
     per_line = per_line.groupBy("_host", "line_hash", "_all").agg(F.count("*").alias("_docs"))
     found = per_line.where((F.col("_docs") > max_documents) & (F.col("_docs") > F.col("_all") * max_share))
