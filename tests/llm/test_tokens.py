@@ -7,7 +7,7 @@ import pytest
 from brute import ODD, odd_table
 from tokenizers import Tokenizer
 
-from tidemark.llm.packing import choose, pack, windows
+from tidemark.llm.packing import choose, pack, windows, word_ids, words_of
 from tidemark.llm.queries import op7_token_counts, op8_packing, tokenizer_path
 from tidemark.llm.token_counts import count_in_chunks, token_counts
 
@@ -118,3 +118,15 @@ def test_packing_of_odd_texts(spark, word_bpe, capacity, group):
     assert sum(r.length for r in whole if r.doc_id is None) == 61
     assert sum(r.length for r in whole if r.doc_id == 3) == 31 * 2 + 1
     assert pack(odd_table(spark).limit(0), WORDS).count() == 0
+
+
+def test_punctuation_behind_a_letter_is_a_word(word_bpe):
+    """Words are cut where the tokenizer cuts them too, so that a word is remembered once."""
+    assert words_of(b'Alpha, alpha. (alpha) "alpha"! it\'s') == [b"alpha", b",", b"alpha", b".", b"(alpha", b")", b'"alpha', b'"!', b"it's"]
+    texts = [
+        "Alpha, beta...gamma?! it's, we'll; they'd.x a.b,c d$$$ e&&&f (g) h-i/j k:l m@n o's. p'", "x<|endoftext|>. y<|endoftext|>,z<|startoftext",
+        "a.\u0301 b,\u0308 e\u0301, \u00e9. \u00c9, \u0130. \u00df! \u4e2d, 3. 3,4 a3. .a,", "q=\u0338, r<\u0338. s>\u0338; t!\u0338= u#*+%",
+    ]
+    read = word_ids(WORDS)
+    for text in texts:
+        assert np.frombuffer(b"".join(read(words_of(text.encode()))), "<u4").tolist() == ids(word_bpe, text)

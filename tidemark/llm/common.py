@@ -100,6 +100,10 @@ class Memo(dict):
         """The distinct keys that are not remembered."""
         return [k for k in set(keys) if k not in self and k not in self.old]
 
+    def recalled(self, keys: Iterable) -> dict:
+        """Those of the keys that the older half holds, with their values."""
+        return {k: x for k in set(keys) if (x := self.old.get(k)) is not None}
+
     def put(self, key, value) -> None:
         if len(key) > self.longest:
             return
