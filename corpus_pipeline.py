@@ -2,25 +2,40 @@
 
 Each stage takes (spark, docs, sf_dir) and works on all rows its predecessor kept. All but the last return the columns of
 ``documents``; the last returns the packed pieces. A document that a stage rejects is gone for the later ones.
-Rows are rejected one by one, by a key that each stage writes once beside its input: rows that share a doc_id, or have none,
-do not share their fate. Null and empty texts fail the quality rules.
+Rows are rejected one by one, by file and place in the file: rows that share a doc_id, or have none, do not share their fate.
+Only an input that is no read of files is written once more, with a number for each row. Null and empty texts fail the quality rules.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import near_dedup, packing, quality_rules, secrets_scan, toxicity
 from tidemark.llm.queries import tokenizer_path
-from tidemark.sources.storage import stored
+from tidemark.sources.storage import release, stored
 
 
 def keyed(docs: DataFrame) -> tuple[DataFrame, str]:
-    """The documents with a number for the row, stored so that every read sees the same numbers, and its column."""
+    """The documents with a number for the row, the same whenever they are read, and its column.
+
+    Of a read of Parquet files the number is made of the file and the row's place in it. Other frames are stored with one, and so are the
+    rare files whose numbers meet.
+    """
     key = "_stage_row"
     while key in docs.columns:
         key += "_"
+    # a plan without a part below it is a plain read; others (a limit, say) may give other rows when they are read again
+    if docs._jdf.queryExecution().analyzed().children().isEmpty() and "_metadata" not in docs.columns:
+        file = F.shiftleft(F.crc32(F.col("_metadata.file_path").cast("binary")).bitwiseAND((1 << 31) - 1), 32)
+        try:
+            numbered = docs.withColumn(key, file.bitwiseOR(F.col("_metadata.row_index")))
+        except AnalysisException:  # no files, or files without numbers of rows
+            pass
+        else:
+            if numbered.groupBy(key).count().where("count > 1").isEmpty():
+                return numbered, key
     return stored(docs.withColumn(key, F.monotonically_increasing_id())), key
 
 
@@ -45,11 +60,14 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one row, the one with the smallest id, of each group of near duplicates. Missing ids come last."""
     docs, key = keyed(docs)
-    found = near_dedup.near_duplicates(docs, id_column=key).select(key, "component_id")
+    classes = near_dedup.near_duplicates(docs, id_column=key)
+    found = classes.select(key, "component_id")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", key)
     placed = stored(found.join(docs.select(key, order.alias("place")), key))
     first = placed.groupBy("component_id").agg(F.min("place").alias("first"))
-    return without(docs, stored(placed.join(first, "component_id").where("place != first").select(key)), key)
+    rejected = stored(placed.join(first, "component_id").where("place != first").select(key))
+    release(classes, placed)
+    return without(docs, rejected, key)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -79,5 +97,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages one after the other, from ``documents`` on; each result but the last is written and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir))
+        last, docs = docs, stored(stage(spark, docs, sf_dir))
+        release(last)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -1,6 +1,7 @@
 """Each stage against plain versions, on its own input; the whole run; odd rows."""
 
 from collections import defaultdict
+from pathlib import Path
 
 import pytest
 from brute import base_facts, base_secrets, odd_table
@@ -98,6 +99,40 @@ def test_clean_rows_stay_beside_rejected_ones_with_their_id(spark, stages):
     assert sorted((r.doc_id, r.text) for r in after) == [more[0], more[2]]
 
 
+def shared_files(spark):
+    return {f for f in Path(spark.conf.get("spark.checkpoint.dir")).rglob("*.parquet") if f.is_file()}
+
+
+@pytest.mark.parametrize("name", ["quality_rules", "toxicity", "near_dedup"])
+def test_a_stage_keeps_no_copy_of_the_texts(spark, name):
+    """Each stage left its whole input, and all tables on its way, on the disk until the application ended."""
+    before = shared_files(spark)
+    after = dict(corpus_pipeline.STAGES)[name](spark, spark.read.parquet(f"{TEST}/documents.parquet"), TEST)
+    left = [f for f in shared_files(spark) - before]
+    assert after.count() > 0
+    for f in left:
+        assert "text" not in spark.read.parquet(str(f)).columns
+    assert len({f.parent for f in left}) <= 3
+
+
+def test_rows_are_numbered_alike_in_every_read(spark, tmp_path):
+    docs = spark.createDataFrame([(i % 3, f"text {i}") for i in range(90)], "doc_id long, text string")
+    docs.repartition(4).write.parquet(str(tmp_path / "d"))
+    before = shared_files(spark)
+    read, key = corpus_pipeline.keyed(spark.read.parquet(str(tmp_path / "d")))
+    assert shared_files(spark) == before
+    one = {r[key]: r.text for r in read.collect()}
+    assert len(one) == 90 and one == {r[key]: r.text for r in read.select("text", key).repartition(3).collect()}
+    # rows of a file keep their order; a file that is read twice has two numbers for a row, and so has a frame of other kinds
+    file = next(f for f in (tmp_path / "d").iterdir() if f.suffix == ".parquet")
+    numbers = [r[key] for r in corpus_pipeline.keyed(spark.read.parquet(str(file)))[0].collect()]
+    assert numbers == sorted(set(numbers))
+    once = spark.read.parquet(str(tmp_path / "d"))
+    for other in (spark.read.parquet(str(file), str(file)), once.limit(50), once.union(once), docs):
+        read, key = corpus_pipeline.keyed(other)
+        assert read.select(key).distinct().count() == read.count() == other.count()
+
+
 def test_odd_rows(spark, tmp_path):
     odd = odd_table(spark)
     words = " ".join(f"w{'abcdefghij'[i % 10]}{'klmno'[i // 10]}" for i in range(50))

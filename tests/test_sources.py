@@ -1,4 +1,6 @@
 import datetime as dt
+import time
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -236,6 +238,24 @@ def test_wrong_compositions(spark, rows, message):
         definitions.spec_with_definitions(spark.createDataFrame(rows, definitions.DEFINITION_SCHEMA))
 
 
+def test_a_stored_table_leaves_no_shuffle_files(spark):
+    """Until the driver collected its garbage, the exchanges of all tables of a query lay on the disks."""
+
+    def shuffle_files():
+        folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+        return {f.name for folder in folders for f in Path(folder).rglob("shuffle_*")}
+
+    before, setting = shuffle_files(), spark.conf.get(storage.SHUFFLE_CLEANUP)
+    counts = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    found = storage.stored(counts.join(counts.select("k", F.col("count").alias("n")), "k"))
+    until = time.time() + 20
+    while shuffle_files() - before and time.time() < until:
+        time.sleep(0.1)
+    assert not shuffle_files() - before
+    assert found.count() == 7 and found.where("count = n").count() == 7
+    assert spark.conf.get(storage.SHUFFLE_CLEANUP) == setting
+
+
 def test_a_write_that_fails_leaves_the_old_rows(spark, tmp_path):
     path = storage.write_parquet(spark.range(3), str(tmp_path / "t"))
     broken = spark.range(5).selectExpr("if(id = 4, raise_error('no'), id) as id")

@@ -133,7 +133,7 @@ def document_facts(df: DataFrame, id_column: str, text_column: str, host_column:
 
 
 def own_texts(holders: DataFrame, texts: DataFrame, read: DataFrame) -> DataFrame:
-    """(_host, _doc, component, text): the lines of each document that are neither among those it has in ``holders``
+    """(_host, _doc, component, text), stored: the lines of each document that are neither among those it has in ``holders``
     (_host, _doc, line_hash, component) nor edited versions of any that its component has there.
 
     ``read`` says which of ``texts`` (_raw, text) is read for a _doc.
@@ -171,7 +171,10 @@ def own_texts(holders: DataFrame, texts: DataFrame, read: DataFrame) -> DataFram
     edited = F.coalesce("found", F.lit(0)) >= F.size("windows") * F.lit(MIN_SHARE_EDITED)
     own = lines.where("not held").join(found, [*line], "left").where(~edited)
     parts = F.array_sort(F.collect_list(F.struct("place", "line")))
-    return own.groupBy("_host", "_doc", "component").agg(F.concat_ws("\n", F.transform(parts, lambda p: p["line"])).alias("text"))
+    own = own.groupBy("_host", "_doc", "component").agg(F.concat_ws("\n", F.transform(parts, lambda p: p["line"])).alias("text"))
+    own = stored(own)
+    release(lines)
+    return own
 
 
 def document_classes(pairs: DataFrame, holders: DataFrame, texts: DataFrame, read: DataFrame) -> DataFrame:
@@ -181,20 +184,19 @@ def document_classes(pairs: DataFrame, holders: DataFrame, texts: DataFrame, rea
     as it is, with its _raw, and ``read`` one _raw for each _doc. Texts are read where they are, and normalised behind the filter for the wanted ones.
     """
 
-    def linked(rows: DataFrame, key: str, name: str, **options) -> DataFrame:
-        found = near_duplicates(rows, id_column=key, text_column="text", **options)
-        return found.select(key, F.col("component_id").alias(name))
-
-    parts = linked(texts, "_raw", "component", ids=read.select("_raw"), table=_NORMAL)
-    parts = stored(parts.join(read, "_raw").drop("_raw"))
+    linked = near_duplicates(texts, id_column="_raw", text_column="text", ids=read.select("_raw"), table=_NORMAL)
+    parts = stored(linked.select("_raw", F.col("component_id").alias("component")).join(read, "_raw").drop("_raw"))
+    release(linked)
     groups = parts.groupBy("component").agg(F.count("*").alias("n")).where("n > 1").select("component")
     shared = stored(holders.join(parts.join(groups, "component", "left_semi"), "_doc"))
     key = F.unhex(F.md5(F.concat(F.col("_host").cast("binary"), F.col("_doc"))))
-    own = stored(own_texts(shared, texts, read).withColumn("_key", key))
-    found = own.select("_host", "_doc", "_key").join(linked(own, "_key", "own"), "_key").drop("_key")
+    own = own_texts(shared, texts, read)
+    named = own.withColumn("_key", key)
+    linked = near_duplicates(named, id_column="_key", text_column="text")
+    found = named.select("_host", "_doc", "_key").join(linked.select("_key", F.col("component_id").alias("own")), "_key").drop("_key")
     placed = pairs.join(parts, "_doc").join(found, ["_host", "_doc"], "left")
     classes = stored(placed.select("_host", "_doc", F.struct("component", "own").alias("class")))
-    release(shared, own, parts)
+    release(shared, own, parts, linked)
     return classes
 
 
@@ -212,22 +214,25 @@ def boilerplate_lines(
     many = stored(many.select("_host", "line_hash"))
     if many.isEmpty():
         return many
-    holders = stored(lines.join(many, ["_host", "line_hash"], "left_semi"))
+    held = stored(lines.join(many, ["_host", "line_hash"], "left_semi"))
     hosts = facts.join(many.select("_host").distinct(), "_host", "left_semi").select("_host", "_doc").distinct()
     hosts = hosts.groupBy("_host").agg(F.count("*").alias("_all"))
     # lines that the share alone lets stay need no comparison
-    totals = stored(holders.groupBy("_host", "line_hash").agg(F.count("*").alias("_docs")).join(hosts, "_host"))
+    totals = stored(held.groupBy("_host", "line_hash").agg(F.count("*").alias("_docs")).join(hosts, "_host"))
     above = totals.where(F.col("_docs") > F.col("_all") * max_share).select("_host", "line_hash", "_all")
-    holders = holders.join(above, ["_host", "line_hash"])
+    holders = held.join(above, ["_host", "line_hash"])
     wanted = stored(holders.select("_host", "_doc").distinct())
     # one text stands for all that are equal once normalised
     read = facts.join(wanted.select("_doc").distinct(), "_doc", "left_semi").groupBy("_doc").agg(F.min("_raw").alias("_raw"))
     texts = df.select(raw_key(F.col(text_column)).alias("_raw"), F.coalesce(text_column, F.lit("")).alias("text"))
-    classes = document_classes(wanted, holders.drop("_all"), texts, stored(read))
+    read = stored(read)
+    classes = document_classes(wanted, holders.drop("_all"), texts, read)
     per_line = holders.join(classes, ["_host", "_doc"]).select("_host", "line_hash", "_all", "class").distinct()
     per_line = per_line.groupBy("_host", "line_hash", "_all").agg(F.count("*").alias("_docs"))
     found = per_line.where((F.col("_docs") > max_documents) & (F.col("_docs") > F.col("_all") * max_share))
-    return found.select("_host", "line_hash")
+    found = stored(found.select("_host", "line_hash"))
+    release(many, held, totals, wanted, read, classes)
+    return found
 
 
 def quality_rules(

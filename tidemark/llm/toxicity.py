@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.common import Memo, map_rows
-from tidemark.sources.storage import stored
+from tidemark.sources.storage import release, stored
 
 THRESHOLD = 0.7
 MAX_TOXIC = 20_000
@@ -219,6 +219,7 @@ def learned_terms(texts: DataFrame, max_terms: int) -> list[frozenset[str]]:
         chosen = per_term.where((t >= MIN_SUPPORT) & (odds >= MIN_LOG_ODDS))
         top = chosen.orderBy(F.desc(t * odds), "term").limit(max_terms)  # the lexicon is a bounded list
         out.append(frozenset(r["term"] for r in top.select("term").collect()))
+    release(per_term)
     return out
 
 
@@ -251,12 +252,14 @@ def fit(
     # at most max_toxic + max_clean small rows, so this side may be broadcast
     texts = docs.select(key.alias("key"), F.col(text_column).alias("text")).join(F.broadcast(sample), "key")
     part = (F.crc32(F.concat(F.lit("part "), F.col("key").cast("string")).cast("binary")) % PARTS).cast("int")
-    texts = stored(texts.select("text", "toxic", part.alias("part")))
+    chosen_texts = stored(texts.select("text", "toxic", part.alias("part")))
+    release(sample)
     weight = {y: max(1.0, n / taken[y]) for y, n in total.items()}
-    texts = texts.withColumn("weight", F.when(F.col("toxic") == 1, weight.get(1, 1.0)).otherwise(weight.get(0, 1.0)))
+    texts = chosen_texts.withColumn("weight", F.when(F.col("toxic") == 1, weight.get(1, 1.0)).otherwise(weight.get(0, 1.0)))
     *others, terms = learned_terms(texts, max_terms)
-    rows = stored(with_features(texts.select("toxic", "part", "weight", "text"), "text", others, "part"))
-    rows = rows.withColumn("features", array_to_vector("features")).withColumn("label", F.col("toxic").cast("double"))
+    featured = stored(with_features(texts.select("toxic", "part", "weight", "text"), "text", others, "part"))
+    release(chosen_texts)
+    rows = featured.withColumn("features", array_to_vector("features")).withColumn("label", F.col("toxic").cast("double"))
     classes = {(r["part"], r["toxic"]) for r in rows.select("part", "toxic").distinct().collect()}
     if len({y for _, y in classes}) < 2:
         return ToxicityModel(terms, None, None, (total.get(1, 0) + 1) / (sum(total.values()) + 2))
@@ -271,7 +274,9 @@ def fit(
     points = scored.groupBy("raw").agg(
         F.sum("weight").alias("weight"), (F.sum(F.col("weight") * F.col("label")) / F.sum("weight")).alias("label")
     )
-    return ToxicityModel(terms, fitted, isotonic.fit(points), 0.0)
+    calibration = isotonic.fit(points)
+    release(featured)
+    return ToxicityModel(terms, fitted, calibration, 0.0)
 
 
 def with_raw(trees: GBTClassificationModel, rows: DataFrame) -> DataFrame:

@@ -6,7 +6,8 @@ import json
 import shutil
 import tempfile
 import uuid
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping
+from contextlib import contextmanager
 from pathlib import Path, PurePosixPath
 
 from pyspark.ml import PipelineModel
@@ -14,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+#: With it Spark removes the shuffle files of a query when the query ends, not when the driver happens to collect its garbage.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Stands for NULL inside the CSV reader. No text is equal to it, so that only empty fields without quotes are NULL.
 NO_VALUE = "\ufffe\ufffeNULL"
 
@@ -60,6 +63,20 @@ def release(*frames: DataFrame) -> None:
             remove(df.sparkSession, path)
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Writes inside leave no shuffle files: a query that has been written is read from its table, so nobody asks for them again."""
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 def replace(spark: SparkSession, path: str, write: Callable[[str], None]) -> str:
     """Puts what ``write`` writes to a folder in the place of ``path``.
 
@@ -70,7 +87,8 @@ def replace(spark: SparkSession, path: str, write: Callable[[str], None]) -> str
     make = spark._jvm.org.apache.hadoop.fs.Path
     new, old = (make(f"{path.rstrip('/')}.{word}-{uuid.uuid4().hex}") for word in ("new", "old"))
     try:
-        write(new.toString())
+        with shuffles_removed(spark):
+            write(new.toString())
         had = fs.exists(target)
         if had and not fs.rename(target, old):
             raise OSError(f"cannot move {path} away")
