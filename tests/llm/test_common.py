@@ -94,3 +94,11 @@ def test_many_texts_are_remembered_at_once(monkeypatch):
     other = common.Memo(lambda key: key)
     other.fill({b"%d" % i: b"x" for i in range(300)})  # the budget is that of all memos together
     assert not memo.old and not dict(memo)
+
+
+def test_memos_of_a_worker_stay_small():
+    """Two workers with 128 MB of memos each took an executor beyond its memory."""
+    memo, lines = common.Memo(hashing.hash64), common.Memo(len)
+    for i in range(300_000):
+        memo[b"w%d" % i], lines[b"l%d" % i]
+    assert held() <= common.Memo.budget <= 64 << 20

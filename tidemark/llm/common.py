@@ -69,6 +69,7 @@ def map_rows(df: DataFrame, schema: T.StructType, start: Callable[[], Callable[.
         out.extend(getattr(call, "close", tuple)())
         if out:
             yield batch(out)
+        pa.default_memory_pool().release_unused()  # the worker stays for later tasks
 
     return df.mapInArrow(run, schema)
 
@@ -80,7 +81,7 @@ class Memo(dict):
     added to for the longest time are emptied: a worker that goes on to another stage does not keep what the last one remembered.
     """
 
-    budget = 128 << 20
+    budget = 64 << 20
     longest = 256
     _live: list[weakref.ref] = []  # the one that was added to last comes last
 
